@@ -49,7 +49,8 @@ def parse(c: Column, strict: bool = False) -> Column:
 
     Other text is an error when ``strict``, null otherwise (count it with :func:`unparsed`).
     """
-    value = F.when(c.rlike(_TWO_FORMATS), c.try_cast("timestamp_ntz"))
+    # text of another form is extracted as '', which no cast can read
+    value = F.regexp_extract(c, _TWO_FORMATS, 0).try_cast("timestamp_ntz")
     if not strict:
         return value
     message = F.concat(F.lit("Date string '"), c, F.lit("' does not match any known format."))
@@ -58,8 +59,7 @@ def parse(c: Column, strict: bool = False) -> Column:
 
 def unparsed(c: Column) -> Column:
     """True for text that :func:`parse` cannot read."""
-    value = F.when(c.rlike(_TWO_FORMATS), c.try_cast("timestamp_ntz"))
-    return c.isNotNull() & (c != "NaT") & value.isNull()
+    return F.coalesce(c != "NaT", F.lit(False)) & parse(c).isNull()
 
 
 def shift_zone(c: Column, zone: str, source: str = "UTC") -> Column:

@@ -8,9 +8,9 @@ from tidemark.functions.names import column, columns
 from tidemark.functions.rows import order_key, orderable
 
 
-def latest_per_key(df: DataFrame, keys, insert_col: str, update_col: str | None = None,
+def latest_per_key(df: DataFrame, keys, insert_col: str | None, update_col: str | None = None,
                    tiebreak=None, nulls: str = "first") -> DataFrame:
-    """Keep one row per key: the greatest update time, else insert time.
+    """Keep one row per key: the greatest update time, else insert time (no columns given: the tie-break alone).
 
     ``nulls="first"`` lets a row without any time win, as the warehouse's descending order does; ``"last"``
     lets it lose. ``tiebreak`` names columns (descending) that settle equal times; by default every other
@@ -19,8 +19,10 @@ def latest_per_key(df: DataFrame, keys, insert_col: str, update_col: str | None
     Spark limits each key to one row per map task before the shuffle (``WindowGroupLimit``), so a key that
     holds a large share of the rows, or a large group of null keys, reaches the reducer as one row per task.
     """
-    time = order_key(column(update_col), column(insert_col)) if update_col else column(insert_col)
-    order = [_descending(time, nulls)]
+    order = []
+    if insert_col:
+        time = order_key(column(update_col), column(insert_col)) if update_col else column(insert_col)
+        order = [_descending(time, nulls)]
     order += [_descending(column(n), "first") for n in _tiebreak(df, keys, tiebreak)]
     rank = F.row_number().over(Window.partitionBy(*columns(keys)).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

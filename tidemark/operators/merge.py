@@ -8,12 +8,11 @@ A merge is one lazy DataFrame holding the next version of the target plus an ``_
 ``broadcast``  for a source far smaller than the target: the target streams past the source without being
                shuffled. Catalyst broadcasts only below ``spark.sql.autoBroadcastJoinThreshold``; no hint is
                given, so adaptive execution may still fall back to a shuffle.
-``salted``     for a target in which one key repeats massively (see :func:`has_hot_key`): the source is copied
-               to each salt, the target is spread over the salts.
 
-Rows whose key holds a null never match, so they bypass the join: otherwise all of them would be hashed to
-one task. The filter sits on the key columns, hence reaches the scans, and costs almost nothing when row
-group statistics show no nulls.
+Two kinds of rows stay out of that join because hashing would send them all to one task. Rows whose key holds
+a null never match and are passed on; the filter sits on the key columns, hence reaches the scans, and costs
+almost nothing when row group statistics show no nulls. Rows of hot keys (see :func:`hot_keys`), which a target
+that was not loaded by key may hold, meet their few source rows in a broadcast join of their own.
 """
 
 from __future__ import annotations
@@ -45,12 +44,13 @@ def with_stamps(df: DataFrame, inserted: str | None = None, updated: str | None
 
 
 def merge(target: DataFrame, source: DataFrame, keys, stamp: str, strategy: str = "auto",
-          null_keys: str = "insert", salts: int = 32, newer_by=None) -> DataFrame:
+          null_keys: str = "insert", hot=(), newer_by=None) -> DataFrame:
     """Next version of ``target`` after upserting ``source`` (one row per key), with ``_action``.
 
     Matched and different: every data column is taken from the source, the update stamp is set, the insert
     stamp stays. Matched and equal, or only in the target: kept untouched. Only in the source: inserted.
     ``null_keys="reject"`` drops source rows whose key holds a null instead of inserting them at every run.
+    ``hot`` lists key hashes from :func:`hot_keys`.
     ``newer_by`` = (insert column, update column) makes an update also need a time that is not older than the
     target row's, so that batches arriving out of order cannot undo each other.
     """
@@ -62,22 +62,23 @@ def merge(target: DataFrame, source: DataFrame, keys, stamp: str, strategy: str
     source = _align(source, target, names)
     if strategy == "auto":
         strategy = choose_strategy(target, source)
-    t_null = any_null(keys)
-    keyed_target, unkeyed_target = target.where(~t_null), target.where(t_null)
-    keyed_source = source.where(~t_null)
+    null = any_null(keys)
+    keyed_target, keyed_source = target.where(~null), source.where(~null)
     rules = _Rules(target, names, keys, stamp, newer_by)
+    parts = [rules.kept(target.where(null))]
+    if null_keys == "insert":
+        parts.append(rules.inserted(source.where(null)))
+    if hot:
+        is_hot = key_hash(keys).isin(list(hot))
+        parts.append(rules.left_then_insert(keyed_target.where(is_hot), F.broadcast(keyed_source.where(is_hot))))
+        keyed_target, keyed_source = keyed_target.where(~is_hot), keyed_source.where(~is_hot)
     if strategy == "shuffle":
         merged = rules.full_outer(keyed_target, keyed_source)
     elif strategy == "broadcast":
         merged = rules.left_then_insert(keyed_target, keyed_source)
-    elif strategy == "salted":
-        merged = rules.salted(keyed_target, keyed_source, salts)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    parts = [merged, rules.kept(unkeyed_target)]
-    if null_keys == "insert":
-        parts.append(rules.inserted(source.where(t_null)))
-    return reduce(DataFrame.unionAll, parts)
+    return reduce(DataFrame.unionAll, parts, merged)
 
 
 class _Rules:
@@ -96,14 +97,6 @@ class _Rules:
             source.select(*columns(self.keys)), self.keys, "left_semi")
         return kept.unionAll(self.inserted(self._absent(source, present)))
 
-    def salted(self, target, source, salts):
-        # the target is a scan of written files, so a recomputed task numbers its rows alike
-        left = self._left(target).withColumn("_lsalt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-        right = self._right(source).withColumn(
-            "_rsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        kept = self._resolve(left.join(right, self._on() + [F.col("_lsalt") == F.col("_rsalt")], "left_outer"))
-        return kept.unionAll(self.inserted(self._absent(source, target.select(*columns(self.keys)))))
-
     def kept(self, target):
         return target.select(*columns(self.names), INSERTED, UPDATED, F.lit("keep").alias(ACTION))
 
@@ -183,22 +176,28 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def choose_strategy(target: DataFrame, source: DataFrame) -> str:
-    """``broadcast`` when the source is below Spark's own limit and well below the target, else ``shuffle``."""
+    """``broadcast`` when the source is below Spark's own limit and far below the target, else ``shuffle``.
+
+    The broadcast form reads the source three times and the target's keys twice, so it must save a large shuffle.
+    """
     limit = source.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = plan_bytes(source)
-    return "broadcast" if size <= limit and size * 4 <= plan_bytes(target) else "shuffle"
+    return "broadcast" if size <= limit and size * 16 <= plan_bytes(target) else "shuffle"
+
+
+def key_hash(keys) -> Column:
+    return F.xxhash64(*columns(keys))
 
 
-def has_hot_key(target: DataFrame, keys, share: float = 0.01) -> bool:
-    """Whether one non-null key holds more than ``share`` of the rows.
+def hot_keys(target: DataFrame, keys, share: float = 0.01, most: int = 100) -> list[int]:
+    """Hashes of non-null keys that each hold more than ``share`` of the rows.
 
-    One scan of the key columns without a shuffle; the sketch it returns has a fixed size. It only picks
-    the join strategy, never the rows.
+    One scan of the key columns without a shuffle; the sketch it returns has a fixed size, and the list can
+    never be longer than 1 / ``share``. It only decides how rows are joined, never which rows come out.
     """
-    row = target.where(~any_null(keys)).select(F.xxhash64(*columns(keys)).alias("k")).agg(
-        F.count(F.lit(1)).alias("rows"), F.expr("approx_top_k(k, 1, 10000)").alias("top")
-    ).first()
-    return bool(row["top"]) and row["rows"] > 0 and row["top"][0]["count"] > max(1.0, share * row["rows"])
+    row = target.where(~any_null(keys)).select(key_hash(keys).alias("k")).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(k, {most}, 10000)").alias("top")).first()
+    return [e["item"] for e in row["top"] or [] if e["count"] > max(1.0, share * row["rows"])]
 
 
 def next_version(merged: DataFrame) -> DataFrame:
@@ -222,20 +221,29 @@ def changed_since_stamp(target: DataFrame, keys, stamp: str) -> DataFrame:
         *columns(keys), F.when(F.col(UPDATED) >= at, F.lit("update")).otherwise(F.lit("insert")).alias("kind"))
 
 
-def delete_by_feed(target: DataFrame, feed: DataFrame, keys) -> DataFrame:
+def delete_by_feed(target: DataFrame, feed: DataFrame, keys, hot=()) -> DataFrame:
     """Target rows whose key is not in the deletion feed.
 
     Joins on the key columns: concatenated keys make ('1','23') and ('12','3') meet. A null in the key
-    matches nothing, so such rows bypass the join.
+    matches nothing, so such rows bypass the join; rows of ``hot`` keys meet the feed in a broadcast join.
     """
     null = any_null(keys)
     gone = feed.select(*columns(keys)).where(~null).distinct()
-    return target.where(~null).join(gone, list(keys), "left_anti").select(*target.columns).unionAll(target.where(null))
+    keyed, parts = target.where(~null), [target.where(null)]
+    if hot:
+        is_hot = key_hash(keys).isin(list(hot))
+        parts.append(_without(keyed.where(is_hot), F.broadcast(gone.where(is_hot)), keys))
+        keyed, gone = keyed.where(~is_hot), gone.where(~is_hot)
+    return reduce(DataFrame.unionAll, parts, _without(keyed, gone, keys))
+
+
+def _without(df: DataFrame, gone: DataFrame, keys) -> DataFrame:
+    return df.join(gone, list(keys), "left_anti").select(*columns(df.columns))
 
 
 def deleted_rows(target: DataFrame, feed: DataFrame, keys) -> DataFrame:
     """Target rows that the feed removes."""
-    return target.join(feed.select(*columns(keys)).distinct(), list(keys), "left_semi").select(*target.columns)
+    return target.join(feed.select(*columns(keys)).distinct(), list(keys), "left_semi").select(*columns(target.columns))
 
 
 def master_refresh(source: DataFrame, stamp: str) -> DataFrame:

@@ -27,7 +27,7 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.evolve import drift, evolve
 from tidemark.operators.increment import changed_since, last_mark, new_mark
 from tidemark.operators.merge import (
-    choose_strategy, delete_by_feed, has_hot_key, master_refresh, merge, next_version,
+    choose_strategy, delete_by_feed, hot_keys, master_refresh, merge, next_version,
 )
 from tidemark.sinks.storage import exists
 from tidemark.sinks.tables import VersionedTable, target_struct, write_stage, written_counts
@@ -142,17 +142,19 @@ class Loader:
     def _write(self, job, table, target, staged, insert_col, update_col, mark, stamp):
         keys = job.keys
         before = target.count()
-        latest = latest_per_key(staged, keys, insert_col, update_col) if insert_col else staged.dropDuplicates(keys)
+        latest = latest_per_key(staged, keys, insert_col, update_col)
         if job.is_master:
             return table.write(master_refresh(latest, stamp)), before
         if job.deletes and job.source in self.feeds:
             feed = self.feeds[job.source](self.spark, job, mark)
             feed = feed.rows if isinstance(feed, Extract) else feed
-            target = delete_by_feed(target, feed, keys)
+        else:
+            feed = None
         strategy = choose_strategy(target, staged)
-        if strategy == "shuffle" and has_hot_key(target, keys):
-            strategy = "salted"
-        return table.write(next_version(merge(target, latest, keys, stamp, strategy))), before
+        hot = hot_keys(target, keys) if strategy == "shuffle" or feed is not None else []
+        if feed is not None:
+            target = delete_by_feed(target, feed, keys, hot)
+        return table.write(next_version(merge(target, latest, keys, stamp, strategy, hot=hot))), before
 
     def _extract(self, job, mark, stamp) -> DataFrame:
         reader = self.readers.get("file" if job.is_file else job.source)

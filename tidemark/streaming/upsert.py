@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.merge import merge, next_version
+from tidemark.operators.merge import choose_strategy, hot_keys, merge, next_version
 from tidemark.sinks.tables import VersionedTable, target_struct
 
 
@@ -34,7 +34,11 @@ def upsert_stream(stream: DataFrame, table: VersionedTable, keys, insert_col: st
         batch.persist()
         try:
             latest = latest_per_key(batch, keys, insert_col, update_col, tiebreak)
-            table.write(next_version(merge(table.read(), latest, keys, at, newer_by=(insert_col, update_col))))
+            target = table.read()
+            strategy = choose_strategy(target, batch)
+            hot = hot_keys(target, keys) if strategy == "shuffle" else []
+            table.write(next_version(
+                merge(target, latest, keys, at, strategy, hot=hot, newer_by=(insert_col, update_col))))
             table.drop_old(keep_versions)
         finally:
             batch.unpersist()

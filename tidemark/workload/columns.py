@@ -202,15 +202,17 @@ def doc_states(spark, sf_dir):
     updated = F.when(F.col("event_type") != "error", F.col("ts") + F.make_dt_interval(F.lit(1) - F.col("_age")))
     created = F.col("ts") - F.make_dt_interval(F.col("_age"))
     balance = F.when(F.col("_age") == 0, F.col("value")).otherwise(F.lit(0.5))
-    return parse_documents(states.withColumn("ts", created).select(fx.document_text(balance, updated).alias("body")), "body")
+    return states.withColumn("ts", created).select(fx.document_text(balance, updated).alias("body"))
 
 
 def latest_documents(spark, sf_dir):
+    """Only the winners are turned into canonical text."""
     d = F.col(RAW)
     created, updated = doc_times(d)
-    rows = doc_states(spark, sf_dir).select(
-        field(d, "_id").alias("id"), created.alias("created"), updated.alias("updated"), canonical(d).alias("document"))
-    return latest_document_per_key(rows, F.col("id"), F.col("created"), F.col("updated"), F.col("document")).select("id", "document")
+    rows = parse_documents(doc_states(spark, sf_dir), "body").select(
+        field(d, "_id").alias("id"), created.alias("created"), updated.alias("updated"), "body")
+    latest = latest_document_per_key(rows, F.col("id"), F.col("created"), F.col("updated"), F.col("body"))
+    return latest.select("id", canonical(F.parse_json("body")).alias("document"))
 
 
 def doc_merge(spark, sf_dir):
@@ -220,7 +222,7 @@ def doc_merge(spark, sf_dir):
     d = F.col(RAW)
     target = parse_documents(e.select(fx.document_text(balance).alias("body")), "body").select(
         field(d, "_id").alias("id"), canonical(d).alias("document"))
-    out = m.merge(m.with_stamps(target, OLD_STAMP), latest_documents(spark, sf_dir), ["id"], STAMP)
+    out = m.merge(m.with_stamps(target, OLD_STAMP), latest_documents(spark, sf_dir), ["id"], STAMP, null_keys="reject")
     return out.select("id", F.col(m.ACTION).alias("action"))
 
 

@@ -122,8 +122,22 @@ def merge_upsert_broadcast(spark, sf_dir):
     return m.next_version(merged(spark, sf_dir, "broadcast"))
 
 
-def merge_upsert_salted(spark, sf_dir):
-    return m.next_version(merged(spark, sf_dir, "salted"))
+def one_third_key(df):
+    """Pending orders share one key: it holds a third of all rows."""
+    return df.withColumn("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(F.lit(-1)))
+
+
+def merge_hot_key(spark, sf_dir):
+    """A target and a source in which one key holds a third of the rows."""
+    target = one_third_key(fx.target(spark, sf_dir))
+    latest = latest_orders(one_third_key(fx.timed_orders(spark, sf_dir)))
+    return m.next_version(m.merge(target, latest, KEY, STAMP, "shuffle", hot=m.hot_keys(target, KEY)))
+
+
+def delete_hot_key(spark, sf_dir):
+    target = one_third_key(fx.target(spark, sf_dir))
+    feed = one_third_key(table(spark, sf_dir, "orders").where("o_orderpriority <> '1-URGENT'")).select("o_orderkey")
+    return m.delete_by_feed(target, feed, KEY, m.hot_keys(target, KEY))
 
 
 def merge_actions(spark, sf_dir):
@@ -149,6 +163,7 @@ def merge_null_keys(spark, sf_dir):
     return out.select("o_orderkey", "o_custkey", "o_totalprice", F.col(m.ACTION).alias("action"))
 
 
+_ONE_THIRD = "SELECT * REPLACE (CASE WHEN o_orderstatus <> 'P' THEN o_orderkey ELSE -1 END AS o_orderkey)"
 _KEYLESS = "SELECT * REPLACE (CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderkey END AS o_orderkey)"
 
 
@@ -298,7 +313,7 @@ QUERIES = {
     "merge_upsert": merge_upsert,
     "merge_upsert_shuffle": merge_upsert_shuffle,
     "merge_upsert_broadcast": merge_upsert_broadcast,
-    "merge_upsert_salted": merge_upsert_salted,
+    "merge_hot_key": merge_hot_key,
     "merge_actions": merge_actions,
     "merge_counts": merge_counts,
     "merge_null_keys": merge_null_keys,
@@ -308,6 +323,7 @@ QUERIES = {
     "incr_load_merge": incr_load_merge,
     "lineitem_merge_counts": flagship,
     "delete_by_feed": delete_by_feed,
+    "delete_hot_key": delete_hot_key,
     "delete_then_merge": delete_then_merge,
     "deleted_rows": deleted_rows,
     "master_refresh": master_refresh,
@@ -362,7 +378,11 @@ ORACLES = {
     "merge_upsert": _UPSERT,
     "merge_upsert_shuffle": _UPSERT,
     "merge_upsert_broadcast": _UPSERT,
-    "merge_upsert_salted": _UPSERT,
+    "merge_hot_key": f"""WITH {TARGET}, htarget AS ({_ONE_THIRD} FROM target), stage AS ({_ONE_THIRD} FROM timed_orders),
+        {LATEST}, {merge_sql('htarget')} SELECT {MERGED_COLUMNS} FROM merged""",
+    "delete_hot_key": f"""WITH {TARGET}, htarget AS ({_ONE_THIRD} FROM target),
+        gone AS ({_ONE_THIRD} FROM orders WHERE o_orderpriority <> '1-URGENT')
+        SELECT * FROM htarget WHERE o_orderkey NOT IN (SELECT o_orderkey FROM gone)""",
     "merge_actions": MERGED_SQL + "SELECT o_orderkey, action FROM merged",
     "merge_counts": MERGED_SQL + "SELECT action, count(*) AS rows FROM merged GROUP BY action",
     "merge_null_keys": f"""WITH {TARGET}, {STAGE.replace('stage AS', 'full_stage AS')},
