@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``; a temporary one where it is unset (tests)."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given:
-        given = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", given)
-    return given.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _local_dir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
