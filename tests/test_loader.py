@@ -240,3 +240,45 @@ def test_job_table(spark, tmp_path):
     old = tmp_path / "old.csv"
     old.write_text("CONTROL_ID,SRC_DB_NAME,OBJ_NAME,OBJ_TYPE,SF_TBL,PRIMARY_KEY_COL\n1,sqlserver,x,table,X,id\n")
     assert read_jobs(spark, str(old))[0].sf_tbl == "X"
+
+
+def test_tables_without_a_time_go_by_snapshots(spark, loader, source):
+    spec = job(insrt_time_col=None, updt_time_col=None)
+    rows = frame(spark, *[(i, "x", float(i), None, None) for i in range(5)]).select("id", "name", "amount")
+    source.tables["people"] = rows
+    assert loader.full_load([spec])[0].inserted == 5
+    changed = rows.withColumn("amount", F.when(F.col("id") == 2, None).otherwise(F.col("amount"))).where("id <> 4")
+    # a load that fails after the snapshot was written must not lose the change
+    source.tables["people"] = changed.unionAll(changed.select("id", "name", F.lit(1.0)).where("id = 0"))
+    keys = spec.keys
+    broken = loader.incr_load([job(insrt_time_col=None, updt_time_col=None, primary_key_col="no_such_column")])[0]
+    assert broken.status == "FAILED" and keys == ["id"]
+    source.tables["people"] = changed
+    out = loader.incr_load([spec])[0]
+    assert (out.error, out.inserted, out.updated) == ("-", 0, 1)
+    stage = sorted(spark.read.parquet(f"{loader.root}/stage/tbl_people").select("load_ts").distinct().collect())[-1][0]
+    assert spark.read.parquet(f"{loader.root}/stage/tbl_people").where(F.col("load_ts") == stage).count() == 1
+    again = loader.incr_load([spec])[0]
+    assert (again.status, again.inserted, again.updated) == ("SUCCESS", 0, 0)
+
+
+def test_control_log_is_compacted(spark, loader, source):
+    source.tables["people"] = frame(spark, (1, "a", 1.0, ts("2024-01-01"), None))
+    for _ in range(3):
+        loader.full_load([job()])
+    loader.compact_control()
+    loader.incr_load([job()])
+    assert source.marks["people"] == ts("2023-12-31 23:50:00")
+    assert [r.RUN_ID for r in loader.control().orderBy("RUN_ID").collect()] == [1, 2, 3, 4]
+    assert len(loader.control().inputFiles()) == 2
+
+
+def test_bucketed_targets(spark, tmp_path, source):
+    loader = Loader(spark, str(tmp_path / "lake"), {"postgresql": source}, buckets=4, clock=Clock())
+    spec = job(f"b{tmp_path.name}")
+    source.tables[spec.obj_name] = frame(spark, *[(i, "x", 1.0, ts("2024-01-01"), None) for i in range(50)])
+    loader.full_load([spec])
+    source.tables[spec.obj_name] = frame(spark, *[(i, "y", 1.0, ts("2024-02-01"), None) for i in range(40, 60)])
+    out = loader.incr_load([spec])[0]
+    assert (out.error, out.inserted, out.updated) == ("-", 10, 10)
+    assert loader.table(spec).read().count() == 60

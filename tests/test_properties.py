@@ -60,7 +60,7 @@ def test_strategies_and_hot_split_agree(spark, seed):
     crowd = target.where("k < 3").withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(30)))).drop("_c")
     target = target.unionAll(crowd)
     latest = unique(table(spark, seed + 10))
-    hot = m.hot_keys(target, KEYS, share=0.02)
+    hot = m.hot_keys(target, KEYS, share=0.02, floor=0)
     assert hot
     want = bag(m.merge(target, latest, KEYS, STAMP, "shuffle"))
     assert bag(m.merge(target, latest, KEYS, STAMP, "broadcast")) == want
@@ -143,10 +143,18 @@ def test_delete_then_merge_is_a_fresh_insert(spark):
     assert [r["action"] for r in m.action_counts(out).collect()] == ["insert"]
 
 
+def test_hot_keys_are_the_frequent_ones(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"))
+    want = df.where("id = -1").select(m.key_hash(["id"])).first()[0]
+    assert m.hot_keys(df, ["id"], floor=100) == [want]
+    assert m.hot_keys(df, ["id"]) == []
+    assert m.hot_keys(df.limit(0), ["id"], floor=0) == []
+
+
 def test_delete_with_hot_keys(spark):
     target = m.with_stamps(table(spark, 14, n=300, keys=5), STAMP)
     feed = table(spark, 15, n=6, keys=5)
-    hot = m.hot_keys(target, KEYS)
+    hot = m.hot_keys(target, KEYS, floor=0)
     assert hot
     assert bag(m.delete_by_feed(target, feed, KEYS, hot)) == bag(m.delete_by_feed(target, feed, KEYS))
 

@@ -189,15 +189,27 @@ def key_hash(keys) -> Column:
     return F.xxhash64(*columns(keys))
 
 
-def hot_keys(target: DataFrame, keys, share: float = 0.01, most: int = 100) -> list[int]:
-    """Hashes of non-null keys that each hold more than ``share`` of the rows.
+def hot_keys(target: DataFrame, keys, share: float = 0.0005, floor: int = 100_000) -> list[int]:
+    """Hashes of non-null keys that each hold more than ``share`` of the rows, and more than ``floor`` rows.
 
-    One scan of the key columns without a shuffle; the sketch it returns has a fixed size, and the list can
-    never be longer than 1 / ``share``. It only decides how rows are joined, never which rows come out.
+    One scan of the key columns. Each task leaves a sketch of fixed size; sketches meet in as many groups as
+    there are shuffle partitions, then in one. The list cannot be longer than 1 / ``share``. It only decides how
+    rows are joined, never which rows come out.
     """
-    row = target.where(~any_null(keys)).select(key_hash(keys).alias("k")).agg(
-        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(k, {most}, 10000)").alias("top")).first()
-    return [e["item"] for e in row["top"] or [] if e["count"] > max(1.0, share * row["rows"])]
+    groups = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketches = (
+        target.where(~any_null(keys)).select(key_hash(keys).alias("k"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.expr("approx_top_k_accumulate(k, 8192)").alias("sketch"))
+    )
+    # grouped by a constant, because the sketches of an empty table cannot be combined
+    row = sketches.groupBy(F.lit(1).alias("all")).agg(
+        F.sum("rows").alias("rows"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, 8192), {min(8192, int(1 / share))})").alias("top"),
+    ).first()
+    if row is None:
+        return []
+    return [e["item"] for e in row["top"] if e["count"] > max(floor, share * row["rows"])]
 
 
 def next_version(merged: DataFrame) -> DataFrame:

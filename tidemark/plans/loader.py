@@ -29,7 +29,7 @@ from tidemark.operators.increment import changed_since, last_mark, new_mark
 from tidemark.operators.merge import (
     choose_strategy, delete_by_feed, hot_keys, master_refresh, merge, next_version,
 )
-from tidemark.sinks.storage import exists
+from tidemark.operators.snapshot import snapshot_diff
 from tidemark.sinks.tables import VersionedTable, target_struct, write_stage, written_counts
 from tidemark.spec import JobSpec, read_jobs
 
@@ -103,13 +103,21 @@ class Loader:
     # -- one object ------------------------------------------------------------------------------------
 
     def table(self, job: JobSpec) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/target/{job.sf_tbl.lower()}", self._keys(job), self.buckets)
+        return VersionedTable(self.spark, f"{self.root}/target/{job.sf_tbl.lower()}", job.keys, self.buckets)
 
     def control(self) -> DataFrame:
-        return self.spark.read.schema(CONTROL_SCHEMA).parquet(f"{self.root}/control")
+        """Runs so far. A run is appended to the current version's folder; :meth:`compact_control` starts a new one."""
+        return self._control().read().select(*CONTROL_SCHEMA.names)
 
-    def _keys(self, job):
-        return job.keys
+    def compact_control(self) -> None:
+        """Rewrite the many one-row files of past runs as one."""
+        with self._log:
+            table = self._control()
+            table.write(table.read().coalesce(1))
+            table.drop_old(keep=2)
+
+    def _control(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/control")
 
     def _load(self, job, incremental, start) -> Outcome:
         stamp = start.isoformat(sep=" ", timespec="microseconds")
@@ -123,21 +131,32 @@ class Loader:
                 mark = None
                 rows = self._extract(job, None, stamp)
         insert_col, update_col = self._time_columns(job, rows)
-        rows = changed_since(rows, mark, insert_col, update_col) if insert_col else rows
+        snapshot = None
+        if insert_col:
+            rows = changed_since(rows, mark, insert_col, update_col)
+        elif not job.is_master:
+            archive = VersionedTable(self.spark, f"{self.root}/snapshot/{job.sf_tbl.lower()}", marker="_MERGED")
+            snapshot = archive.write(rows)
+            rows = self._new_in_snapshot(archive, snapshot, incremental)
         stage = write_stage(rows, f"{self.root}/stage/{job.sf_tbl.lower()}", start.strftime("%Y%m%dT%H%M%S%f"))
         staged = self.spark.read.schema(rows.schema).parquet(stage)
         if target is None:
             target = self.spark.createDataFrame([], target_struct(rows.schema))
-        target, staged = self._same_columns(target, staged)
+        staged = self._same_columns(target, staged)
+        outcome = Outcome(job, "SUCCESS")
         if staged.isEmpty() and not job.is_master:
             table.create(target.schema)
-            return Outcome(job, "SUCCESS")
-        next_at = new_mark(staged, insert_col, update_col, mark).first()["next_mark"] if insert_col else None
-        version, before = self._write(job, table, target, staged, insert_col, update_col, mark, stamp)
-        counts = written_counts(table, version, stamp, before)
-        if job.is_master:
-            counts["deleted"] = 0
-        return Outcome(job, "SUCCESS", counts["inserted"], counts["updated"], counts["deleted"], next_at)
+        else:
+            next_at = new_mark(staged, insert_col, update_col, mark).first()["next_mark"] if insert_col else None
+            version, before = self._write(job, table, target, staged, insert_col, update_col, mark, stamp)
+            counts = written_counts(table, version, stamp, before)
+            if job.is_master:
+                counts["deleted"] = 0
+            outcome = Outcome(job, "SUCCESS", counts["inserted"], counts["updated"], counts["deleted"], next_at)
+        if snapshot is not None:
+            archive.commit(snapshot)
+            archive.drop_old(keep=1)
+        return outcome
 
     def _write(self, job, table, target, staged, insert_col, update_col, mark, stamp):
         keys = job.keys
@@ -183,7 +202,17 @@ class Loader:
         for name in missing:
             f = by_fold[name]
             staged = staged.withColumn(f.name, F.lit(None).cast(f.dataType))
-        return target, staged
+        return staged
+
+    def _new_in_snapshot(self, archive, snapshot, incremental) -> DataFrame:
+        """For tables without a modification time: the rows of the current snapshot that the last one lacked.
+
+        The current snapshot becomes the archive only when its rows are merged, so a failed run loses nothing.
+        """
+        current, last = archive.read(snapshot), archive.read()
+        if not incremental or last is None or set(last.columns) != set(current.columns):
+            return current
+        return snapshot_diff(current, last)
 
     def _mark(self, job):
         return last_mark(self.control(), job.source, job.obj_type, job.obj_name, job.sf_tbl)
@@ -191,8 +220,7 @@ class Loader:
     # -- control table ---------------------------------------------------------------------------------
 
     def _ensure_control(self):
-        if not exists(self.spark, f"{self.root}/control"):
-            self.spark.createDataFrame([], CONTROL_SCHEMA).write.parquet(f"{self.root}/control")
+        self._control().create(CONTROL_SCHEMA)
 
     def _audit(self, o: Outcome, start, end):
         job = o.job
@@ -209,7 +237,9 @@ class Loader:
                 "MAX_TIMESTAMP": o.mark, "CREATED_TIMESTAMP": end, "CREATED_BY": getpass.getuser(),
             }
             values = tuple(row.get(f.name) for f in CONTROL_SCHEMA.fields)
-            self.spark.createDataFrame([values], CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/control")
+            control = self._control()
+            self.spark.createDataFrame([values], CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(
+                control.version_path(control.current()))
 
 
 def document_rows(raw: DataFrame, job: JobSpec) -> DataFrame:

@@ -45,3 +45,9 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()

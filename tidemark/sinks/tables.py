@@ -10,7 +10,7 @@ from tidemark.functions.names import column
 from tidemark.functions.rows import comparable, differs
 from tidemark.functions.times import ntz
 from tidemark.operators.merge import INSERTED, UPDATED, data_columns
-from tidemark.sinks.storage import child_dirs, exists, remove
+from tidemark.sinks.storage import child_dirs, exists, remove, touch
 
 
 class VersionedTable:
@@ -19,18 +19,22 @@ class VersionedTable:
     A version counts once Spark's commit marker ``_SUCCESS`` is in it, so a reader never sees half a load and a
     failed write is simply written again. A path is never overwritten while it is read.
 
+    With another ``marker`` a version counts only after :meth:`commit`, i.e. once something that depends on it is
+    done too.
+
     With ``buckets`` the version is a bucketed catalog table: a merge that shuffles then leaves the target
     where it is and moves the source only.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys=(), buckets: int = 0):
+    def __init__(self, spark: SparkSession, path: str, keys=(), buckets: int = 0, marker: str = "_SUCCESS"):
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self.marker = marker
 
     def versions(self) -> list[int]:
         found = []
         for name in child_dirs(self.spark, self.path):
             m = re.fullmatch(r"v=(\d+)", name)
-            if m and exists(self.spark, f"{self.path}/{name}/_SUCCESS"):
+            if m and exists(self.spark, f"{self.path}/{name}/{self.marker}"):
                 found.append(int(m.group(1)))
         return sorted(found)
 
@@ -60,6 +64,9 @@ class VersionedTable:
             writer.parquet(self.version_path(version))
         return version
 
+    def commit(self, version: int) -> None:
+        touch(self.spark, f"{self.version_path(version)}/{self.marker}")
+
     def create(self, schema: T.StructType) -> int:
         """An empty first version, unless there is one."""
         return self.current() or self.write(self.spark.createDataFrame([], schema))

@@ -131,13 +131,13 @@ def merge_hot_key(spark, sf_dir):
     """A target and a source in which one key holds a third of the rows."""
     target = one_third_key(fx.target(spark, sf_dir))
     latest = latest_orders(one_third_key(fx.timed_orders(spark, sf_dir)))
-    return m.next_version(m.merge(target, latest, KEY, STAMP, "shuffle", hot=m.hot_keys(target, KEY)))
+    return m.next_version(m.merge(target, latest, KEY, STAMP, "shuffle", hot=m.hot_keys(target, KEY, floor=0)))
 
 
 def delete_hot_key(spark, sf_dir):
     target = one_third_key(fx.target(spark, sf_dir))
     feed = one_third_key(table(spark, sf_dir, "orders").where("o_orderpriority <> '1-URGENT'")).select("o_orderkey")
-    return m.delete_by_feed(target, feed, KEY, m.hot_keys(target, KEY))
+    return m.delete_by_feed(target, feed, KEY, m.hot_keys(target, KEY, floor=0))
 
 
 def merge_actions(spark, sf_dir):
