@@ -10,6 +10,7 @@ from tidemark.functions import documents, names, rows, text, times
 from tidemark.functions.typemap import TypeMap, cast_to, default_rows, failed_casts, read_type_map, system_of, target_schema
 from tidemark.operators import merge as m
 from tidemark.operators.evolve import drift, evolve, evolve_drop
+from tidemark.operators.snapshot import hash_archive, snapshot_diff, snapshot_diff_by_hash
 from tidemark.sources.odata import filter_text
 
 
@@ -20,7 +21,7 @@ def test_row_hash_keeps_nulls_and_separators_apart(spark):
 
 def test_change_test_sees_swapped_nulls(spark):
     df = spark.createDataFrame([("a", None, None, "a"), ("a", None, "a", None)], "x string, y string, p string, q string")
-    got = [r[0] for r in df.select(rows.differs([F.col("x"), F.col("y")], [F.col("p"), F.col("q")])).collect()]
+    got = [r[0] for r in df.selectExpr(rows.differs(["x", "y"], ["p", "q"])).collect()]
     assert got == [True, False]
 
 
@@ -45,6 +46,18 @@ def test_merge_compares_variant_and_map_columns(spark):
     assert m.merge(target, other, ["k"], "2030-01-01 00:00:00").first()["_action"] == "update"
 
 
+def test_snapshot_diff_of_semi_structured_rows(spark):
+    old = spark.sql("""select 1 as k, parse_json('{"a":1,"b":2}') as doc, map('x', 1, 'y', 2) as tags, struct(map('z', 1) as m) as s""")
+    same = spark.sql("""select 1 as k, parse_json('{"b":2,"a":1}') as doc, map('y', 2, 'x', 1) as tags, struct(map('z', 1) as m) as s""")
+    new = spark.sql("""select 1 as k, parse_json('{"b":2,"a":5}') as doc, map('y', 2, 'x', 1) as tags, struct(map('z', 7) as m) as s""")
+    assert snapshot_diff(same, old).count() == 0
+    diff = snapshot_diff(new, old)
+    assert diff.schema.simpleString() == new.schema.simpleString()
+    assert diff.selectExpr("variant_get(doc, '$.a', 'int')", "tags['y']", "s.m['z']").first()[:] == (5, 2, 7)
+    assert snapshot_diff_by_hash(same, hash_archive(old)).count() == 0
+    assert snapshot_diff_by_hash(new, hash_archive(old)).count() == 1
+
+
 def test_json_null_is_null(spark):
     df = spark.sql("""select parse_json('{"u":null,"n":{"x":5}}') as d""")
     assert tuple(df.select(documents.field(F.col("d"), "u"), documents.field(F.col("d"), "n.x", "int"),

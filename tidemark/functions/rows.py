@@ -2,26 +2,38 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.names import column
+from tidemark.functions.names import column, quote
+
+# The first functions return SQL text: wide tables need hundreds of them, and text reaches the JVM in one call.
 
 
-def order_key(update: Column, insert: Column) -> Column:
+def order_key(update: str | None, insert: str) -> str:
     """Update time, else insert time."""
-    return F.coalesce(update, insert)
+    return f"coalesce({update}, {insert})" if update else insert
 
 
-def comparable(c: Column, dtype: T.DataType) -> Column:
+def comparable(c: str, dtype: T.DataType) -> str:
     """A form of ``c`` that Spark can compare: VARIANT and values holding one go through JSON text
     (object keys come out sorted), maps become sorted entry lists."""
-    if _holds(dtype, T.VariantType):
-        return F.to_json(c if isinstance(dtype, T.VariantType) else F.struct(c))
-    if isinstance(dtype, T.MapType):
-        return F.array_sort(F.map_entries(c))
-    return c
+    if isinstance(dtype, T.VariantType):
+        return f"to_json({c})"
+    if isinstance(dtype, T.MapType) and orderable(dtype.valueType):
+        return f"array_sort(map_entries({c}))"
+    return c if orderable(dtype) else f"to_json(named_struct('v', {c}))"
+
+
+def any_null(names) -> str:
+    return "(" + " OR ".join(f"{quote(n)} IS NULL" for n in names) + ")"
+
+
+def differs(left, right) -> str:
+    """Null-safe "any column differs" over two equally long lists of comparable expressions.
+
+    Exact, unlike a hash comparison: Spark's ``xxhash64`` skips nulls, so ('a', null) and (null, 'a') meet.
+    """
+    return f"NOT (struct({', '.join(left)}) <=> struct({', '.join(right)}))"
 
 
 def _holds(dtype: T.DataType, kind) -> bool:
@@ -40,18 +52,6 @@ def orderable(dtype: T.DataType) -> bool:
     return not _holds(dtype, T.VariantType) and not _holds(dtype, T.MapType)
 
 
-def any_null(names) -> Column:
-    return reduce(lambda a, b: a | b, [column(n).isNull() for n in names])
-
-
-def differs(left, right) -> Column:
-    """Null-safe "any column differs" over two equally long lists of comparable columns.
-
-    Exact, unlike a hash comparison: Spark's ``xxhash64`` skips nulls, so ('a', null) and (null, 'a') meet.
-    """
-    return ~F.struct(*left).eqNullSafe(F.struct(*right))
-
-
 def row_hash(df: DataFrame, names=None) -> Column:
     """SHA-256 over a row in which nulls and separators cannot collide (``concat_ws`` drops nulls)."""
     return F.sha2(F.to_json(F.struct(*[column(n) for n in (names or df.columns)]), {"ignoreNullFields": "false"}), 256)

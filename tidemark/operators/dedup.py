@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.names import column, columns
+from tidemark.functions.names import quote
 from tidemark.functions.rows import order_key, orderable
 
 
@@ -21,19 +21,19 @@ def latest_per_key(df: DataFrame, keys, insert_col: str | None, update_col: str
     """
     order = []
     if insert_col:
-        time = order_key(column(update_col), column(insert_col)) if update_col else column(insert_col)
-        order = [_descending(time, nulls)]
-    order += [_descending(column(n), "first") for n in _tiebreak(df, keys, tiebreak)]
-    rank = F.row_number().over(Window.partitionBy(*columns(keys)).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+        time = order_key(quote(update_col) if update_col else None, quote(insert_col))
+        order = [f"{time} DESC NULLS {nulls.upper()}"]
+    order += [f"{quote(n)} DESC NULLS FIRST" for n in _tiebreak(df, keys, tiebreak)]
+    window = f"PARTITION BY {', '.join(map(quote, keys))} ORDER BY {', '.join(order)}"
+    return df.selectExpr("*", f"row_number() OVER ({window}) AS _rank").where("_rank = 1").drop("_rank")
 
 
 def latest_document_per_key(df: DataFrame, key: Column, insert_time: Column, update_time: Column,
                             text: Column, nulls: str = "first") -> DataFrame:
     """The same for documents: key and times are expressions on the document, its text settles ties."""
-    rank = F.row_number().over(
-        Window.partitionBy(key).orderBy(_descending(order_key(update_time, insert_time), nulls), text.desc())
-    )
+    time = F.coalesce(update_time, insert_time)
+    time = time.desc_nulls_first() if nulls == "first" else time.desc_nulls_last()
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(time, text.desc()))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
@@ -42,7 +42,3 @@ def _tiebreak(df: DataFrame, keys, given):
         return list(given)
     skip = {k.lower() for k in keys}
     return [f.name for f in df.schema.fields if f.name.lower() not in skip and orderable(f.dataType)]
-
-
-def _descending(c: Column, nulls: str) -> Column:
-    return c.desc_nulls_first() if nulls == "first" else c.desc_nulls_last()

@@ -21,7 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.names import column, columns
+from tidemark.functions.names import column, columns, quote
 from tidemark.functions.rows import any_null, comparable, differs, order_key
 from tidemark.functions.times import ntz
 
@@ -62,8 +62,8 @@ def merge(target: DataFrame, source: DataFrame, keys, stamp: str, strategy: str
     source = _align(source, target, names)
     if strategy == "auto":
         strategy = choose_strategy(target, source)
-    null = any_null(keys)
-    keyed_target, keyed_source = target.where(~null), source.where(~null)
+    null, keyed = any_null(keys), "NOT " + any_null(keys)
+    keyed_target, keyed_source = target.where(keyed), source.where(keyed)
     rules = _Rules(target, names, keys, stamp, newer_by)
     parts = [rules.kept(target.where(null))]
     if null_keys == "insert":
@@ -85,73 +85,58 @@ class _Rules:
     """The row rules of one merge, shared by the join strategies."""
 
     def __init__(self, target, names, keys, stamp, newer_by):
-        self.names, self.keys, self.stamp, self.newer_by = names, list(keys), ntz(stamp), newer_by
+        self.names, self.keys, self.stamp, self.newer_by = names, list(keys), f"TIMESTAMP_NTZ '{stamp}'", newer_by
         self.types = {f.name: f.dataType for f in target.schema.fields}
+        self.quoted = [quote(n) for n in names]
 
     def full_outer(self, target, source):
         return self._resolve(self._left(target).join(self._right(source), self._on(), "full_outer"))
 
     def left_then_insert(self, target, source):
         kept = self._resolve(self._left(target).join(self._right(source), self._on(), "left_outer"))
-        present = target.select(*columns(self.keys)).join(
-            source.select(*columns(self.keys)), self.keys, "left_semi")
-        return kept.unionAll(self.inserted(self._absent(source, present)))
+        keys = [quote(k) for k in self.keys]
+        # distinct() collapses repeated keys map-side before they are shuffled
+        present = target.selectExpr(*keys).join(source.selectExpr(*keys), self.keys, "left_semi").distinct()
+        return kept.unionAll(self.inserted(source.join(present, self.keys, "left_anti")))
 
     def kept(self, target):
-        return target.select(*columns(self.names), INSERTED, UPDATED, F.lit("keep").alias(ACTION))
+        return target.selectExpr(*self.quoted, INSERTED, UPDATED, f"'keep' AS {ACTION}")
 
     def inserted(self, source):
-        return source.select(*columns(self.names), self.stamp.alias(INSERTED),
-                             F.lit(None).cast("timestamp_ntz").alias(UPDATED), F.lit("insert").alias(ACTION))
-
-    def _absent(self, source, keys_present):
-        # distinct() collapses repeated keys map-side before they are shuffled
-        return source.join(keys_present.distinct(), self.keys, "left_anti")
+        return source.selectExpr(*self.quoted, f"{self.stamp} AS {INSERTED}",
+                                 f"CAST(NULL AS TIMESTAMP_NTZ) AS {UPDATED}", f"'insert' AS {ACTION}")
 
     def _left(self, df):
-        return df.select(*[column(n).alias(f"_t{i}") for i, n in enumerate(self.names)], INSERTED, UPDATED,
-                         F.lit(True).alias("_in_target"))
+        return df.selectExpr(*[f"{q} AS _t{i}" for i, q in enumerate(self.quoted)], INSERTED, UPDATED, "true AS _in_target")
 
     def _right(self, df):
-        return df.select(*[column(n).alias(f"_s{i}") for i, n in enumerate(self.names)],
-                         F.lit(True).alias("_in_source"))
+        return df.selectExpr(*[f"{q} AS _s{i}" for i, q in enumerate(self.quoted)], "true AS _in_source")
 
     def _on(self):
-        at = [self.names.index(k) for k in self.keys]
-        return [F.col(f"_t{i}") == F.col(f"_s{i}") for i in at]
-
-    def _form(self, side, i, name) -> Column:
-        return comparable(F.col(f"{side}{i}"), self.types[name])
+        return F.expr(" AND ".join(f"_t{i} = _s{i}" for i in map(self.names.index, self.keys)))
 
-    def _not_older(self) -> Column:
-        by_fold = {n.lower(): i for i, n in enumerate(self.names)}
-        insert, update = [by_fold[n.lower()] if n else None for n in self.newer_by]
+    def _form(self, side, i, name) -> str:
+        return comparable(f"{side}{i}", self.types[name])
 
-        def time(side):
-            return F.col(f"{side}{insert}") if update is None else order_key(F.col(f"{side}{update}"), F.col(f"{side}{insert}"))
-
-        return F.coalesce(time("_s") >= time("_t"), F.lit(True))
+    def _changed(self) -> str:
+        rest = [(i, n) for i, n in enumerate(self.names) if n not in self.keys]
+        if not rest:
+            return "false"
+        changed = differs([self._form("_s", i, n) for i, n in rest], [self._form("_t", i, n) for i, n in rest])
+        if not self.newer_by:
+            return changed
+        at = {n.lower(): i for i, n in enumerate(self.names)}
+        insert, update = [at[n.lower()] if n else None for n in self.newer_by]
+        source, old = [order_key(None if update is None else f"{side}{update}", f"{side}{insert}") for side in ("_s", "_t")]
+        return f"{changed} AND coalesce({source} >= {old}, true)"
 
     def _resolve(self, joined):
-        rest = [(i, n) for i, n in enumerate(self.names) if n not in self.keys]
-        changed = (
-            differs([self._form("_s", i, n) for i, n in rest], [self._form("_t", i, n) for i, n in rest])
-            if rest else F.lit(False)
-        )
-        if self.newer_by:
-            changed = changed & self._not_older()
-        action = (
-            F.when(F.col("_in_target").isNull(), F.lit("insert"))
-            .when(F.col("_in_source").isNull(), F.lit("keep"))
-            .when(changed, F.lit("update"))
-            .otherwise(F.lit("keep"))
-        )
-        decided = joined.withColumn(ACTION, action)
-        keep = F.col(ACTION) == "keep"
-        return decided.select(
-            *[F.when(keep, F.col(f"_t{i}")).otherwise(F.col(f"_s{i}")).alias(n) for i, n in enumerate(self.names)],
-            F.when(F.col(ACTION) == "insert", self.stamp).otherwise(F.col(INSERTED)).alias(INSERTED),
-            F.when(F.col(ACTION) == "update", self.stamp).otherwise(F.col(UPDATED)).alias(UPDATED),
+        decided = joined.selectExpr("*", f"""CASE WHEN _in_target IS NULL THEN 'insert' WHEN _in_source IS NULL THEN 'keep'
+            WHEN {self._changed()} THEN 'update' ELSE 'keep' END AS {ACTION}""")
+        return decided.selectExpr(
+            *[f"IF({ACTION} = 'keep', _t{i}, _s{i}) AS {q}" for i, q in enumerate(self.quoted)],
+            f"IF({ACTION} = 'insert', {self.stamp}, {INSERTED}) AS {INSERTED}",
+            f"IF({ACTION} = 'update', {self.stamp}, {UPDATED}) AS {UPDATED}",
             ACTION,
         )
 
@@ -165,9 +150,9 @@ def _align(source: DataFrame, target: DataFrame, names) -> DataFrame:
     out = []
     for n in names:
         name, want = have[n.lower()], target.schema[n].dataType
-        c = column(name)
-        out.append((c if source.schema[name].dataType == want else c.cast(want)).alias(n))
-    return source.select(*out)
+        same = source.schema[name].dataType == want
+        out.append(f"{quote(name)} AS {quote(n)}" if same else f"CAST({quote(name)} AS {want.simpleString()}) AS {quote(n)}")
+    return source.selectExpr(*out)
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -186,7 +171,7 @@ def choose_strategy(target: DataFrame, source: DataFrame) -> str:
 
 
 def key_hash(keys) -> Column:
-    return F.xxhash64(*columns(keys))
+    return F.expr(f"xxhash64({', '.join(map(quote, keys))})")
 
 
 def hot_keys(target: DataFrame, keys, share: float = 0.0005, floor: int = 100_000) -> list[int]:
@@ -198,7 +183,7 @@ def hot_keys(target: DataFrame, keys, share: float = 0.0005, floor: int = 100_00
     """
     groups = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sketches = (
-        target.where(~any_null(keys)).select(key_hash(keys).alias("k"))
+        target.where("NOT " + any_null(keys)).select(key_hash(keys).alias("k"))
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g"))
         .agg(F.count(F.lit(1)).alias("rows"), F.expr("approx_top_k_accumulate(k, 8192)").alias("sketch"))
     )
@@ -240,8 +225,8 @@ def delete_by_feed(target: DataFrame, feed: DataFrame, keys, hot=()) -> DataFram
     matches nothing, so such rows bypass the join; rows of ``hot`` keys meet the feed in a broadcast join.
     """
     null = any_null(keys)
-    gone = feed.select(*columns(keys)).where(~null).distinct()
-    keyed, parts = target.where(~null), [target.where(null)]
+    gone = feed.select(*columns(keys)).where("NOT " + null).distinct()
+    keyed, parts = target.where("NOT " + null), [target.where(null)]
     if hot:
         is_hot = key_hash(keys).isin(list(hot))
         parts.append(_without(keyed.where(is_hot), F.broadcast(gone.where(is_hot)), keys))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions.names import column, columns
+from tidemark.functions.names import column, columns, quote
 from tidemark.functions.rows import comparable, orderable, row_hash
+from tidemark.operators.merge import delete_by_feed
 
 _RUN = 10_000  # copies of one row emitted per intermediate row
 
@@ -17,24 +18,25 @@ def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:
     collapse before the shuffle, so a huge group of copies costs one row per task. An anti-join would bring
     all copies to one task. Copies are written out again at the end, spread over tasks.
     """
-    names = new.columns
-    new, old = _groupable(new), _groupable(old.select(*columns(names)))
-    tagged = new.select(*columns(names), F.lit(1).cast("long").alias("_new"), F.lit(0).cast("long").alias("_old")).unionAll(
-        old.select(*columns(names), F.lit(0).cast("long"), F.lit(1).cast("long")))
-    groups = tagged.groupBy(*columns(names)).agg(F.sum("_new").alias("_copies"), F.max("_old").alias("_known"))
-    return expand_copies(groups.where("_known = 0").drop("_known"), "_copies")
+    names = [quote(n) for n in new.columns]
+    sides = [
+        _groupable(df.selectExpr(*names)).selectExpr("*", f"CAST({1 - old} AS LONG) AS _new", f"{old} AS _old")
+        for df, old in ((new, 0), (old, 1))
+    ]
+    groups = sides[0].unionAll(sides[1]).groupBy(*columns(new.columns)).agg(
+        F.sum("_new").alias("_copies"), F.max("_old").alias("_known"))
+    return _restore(expand_copies(groups.where("_known = 0").drop("_known"), "_copies"), new.schema)
 
 
 def snapshot_deletes(new: DataFrame, old: DataFrame, keys) -> DataFrame:
     """Rows of ``old`` whose key is gone from ``new``. Null keys match nothing, so they count as gone."""
-    from tidemark.operators.merge import delete_by_feed
-
     return delete_by_feed(old, new, keys)
 
 
 def hash_archive(snapshot: DataFrame) -> DataFrame:
     """What to keep of a snapshot when only hashes are archived."""
-    return snapshot.select(row_hash(snapshot).alias("hash_key")).distinct()
+    rows = _groupable(snapshot)
+    return rows.select(row_hash(rows).alias("hash_key")).distinct()
 
 
 def snapshot_diff_by_hash(new: DataFrame, archive: DataFrame) -> DataFrame:
@@ -42,7 +44,7 @@ def snapshot_diff_by_hash(new: DataFrame, archive: DataFrame) -> DataFrame:
     groups = _groupable(new).groupBy(*columns(new.columns)).agg(F.count(F.lit(1)).alias("_copies"))
     groups = groups.withColumn("hash_key", row_hash(groups, new.columns))
     fresh = groups.join(archive.select("hash_key").distinct(), "hash_key", "left_anti").drop("hash_key")
-    return expand_copies(fresh, "_copies")
+    return _restore(expand_copies(fresh, "_copies"), new.schema)
 
 
 def expand_copies(groups: DataFrame, copies: str) -> DataFrame:
@@ -56,6 +58,20 @@ def expand_copies(groups: DataFrame, copies: str) -> DataFrame:
 
 def _groupable(df: DataFrame) -> DataFrame:
     """VARIANT and map columns cannot be grouped by; their comparable text or entry list can."""
-    if all(orderable(f.dataType) for f in df.schema.fields):
-        return df
-    return df.select(*[comparable(column(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[f"{comparable(quote(f.name), f.dataType)} AS {quote(f.name)}" for f in df.schema.fields])
+
+
+def _restore(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Back from the comparable form."""
+    out = []
+    for f in schema.fields:
+        name = quote(f.name)
+        if isinstance(f.dataType, T.VariantType):
+            out.append(f"parse_json({name}) AS {name}")
+        elif isinstance(f.dataType, T.MapType) and orderable(f.dataType.valueType):
+            out.append(f"map_from_entries({name}) AS {name}")
+        elif orderable(f.dataType):
+            out.append(name)
+        else:
+            out.append(f"from_json({name}, 'v {f.dataType.simpleString()}').v AS {name}")
+    return df.selectExpr(*out)

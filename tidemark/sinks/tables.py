@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.names import column
+from tidemark.functions.names import column, quote
 from tidemark.functions.rows import comparable, differs
 from tidemark.functions.times import ntz
 from tidemark.operators.merge import INSERTED, UPDATED, data_columns
@@ -144,15 +144,12 @@ def merge_into(source: DataFrame, table: str, keys, stamp: str) -> None:
     types = {f.name: f.dataType for f in target.schema.fields}
 
     def of(side, n):
-        return F.col(f"{side}.`{n}`")
-
-    on = None
-    for k in keys:
-        part = of(table, k) == of("source", k)
-        on = part if on is None else on & part
-    changed = differs([comparable(of("source", n), types[n]) for n in names],
-                      [comparable(of(table, n), types[n]) for n in names])
-    values = {n: of("source", n) for n in names}
+        return f"{side}.{quote(n)}"
+
+    on = F.expr(" AND ".join(f"{of(table, k)} = {of('source', k)}" for k in keys))
+    changed = F.expr(differs([comparable(of("source", n), types[n]) for n in names],
+                             [comparable(of(table, n), types[n]) for n in names]))
+    values = {n: F.expr(of("source", n)) for n in names}
     (
         source.alias("source").mergeInto(table, on)
         .whenMatched(changed).update({**values, UPDATED: ntz(stamp)})

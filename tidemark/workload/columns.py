@@ -219,9 +219,7 @@ def doc_merge(spark, sf_dir):
     """Signups were not loaded yet, purchases have another balance in the target."""
     e = table(spark, sf_dir, "events").where("event_type <> 'signup'")
     balance = F.when(F.col("event_type") == "purchase", F.col("value") + 1).otherwise(F.col("value"))
-    d = F.col(RAW)
-    target = parse_documents(e.select(fx.document_text(balance).alias("body")), "body").select(
-        field(d, "_id").alias("id"), canonical(d).alias("document"))
+    target = e.select(F.col("event_id").cast("string").alias("id"), fx.document_text(balance, sort_keys=True).alias("document"))
     out = m.merge(m.with_stamps(target, OLD_STAMP), latest_documents(spark, sf_dir), ["id"], STAMP, null_keys="reject")
     return out.select("id", F.col(m.ACTION).alias("action"))
 
