@@ -58,12 +58,15 @@ def test_second_merge_changes_nothing(spark, seed):
 def test_strategies_and_hot_split_agree(spark, seed):
     target = target_of(table(spark, seed))
     crowd = target.where("k < 3").withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(30)))).drop("_c")
-    target = target.unionAll(crowd)
+    orphans = m.with_stamps(table(spark, seed + 20, n=30).withColumn("part", F.lit(None).cast("string")))
+    target = target.unionAll(crowd).unionAll(orphans)
     latest = unique(table(spark, seed + 10))
     hot = m.hot_keys(target, KEYS, share=0.02, floor=0)
     assert hot
     want = bag(m.merge(target, latest, KEYS, STAMP, "shuffle"))
     assert bag(m.merge(target, latest, KEYS, STAMP, "broadcast")) == want
+    assert bag(m.merge(target, latest, KEYS, STAMP, "shuffle", null_keys="rare")) == want
+    assert bag(m.merge(target, latest, KEYS, STAMP, "broadcast", null_keys="rare", hot=hot)) == want
     assert bag(m.merge(target, latest, KEYS, STAMP, "shuffle", hot=hot)) == want
     # a hash that belongs to no hot key, or to a source key only, must not change the result either
     odd = [r[0] for r in latest.where("k is not null and part is not null").select(m.key_hash(KEYS)).limit(5).collect()]

@@ -49,25 +49,29 @@ def merge(target: DataFrame, source: DataFrame, keys, stamp: str, strategy: str
 
     Matched and different: every data column is taken from the source, the update stamp is set, the insert
     stamp stays. Matched and equal, or only in the target: kept untouched. Only in the source: inserted.
-    ``null_keys="reject"`` drops source rows whose key holds a null instead of inserting them at every run.
+    ``null_keys="reject"`` drops source rows whose key holds a null instead of inserting them at every run;
+    ``"rare"`` gives the same rows as ``"insert"`` but lets them go through the join, which saves evaluating a
+    computed key twice where such rows are few.
     ``hot`` lists key hashes from :func:`hot_keys`.
     ``newer_by`` = (insert column, update column) makes an update also need a time that is not older than the
     target row's, so that batches arriving out of order cannot undo each other.
     """
-    if null_keys not in ("insert", "reject"):
-        raise ValueError(f"null_keys must be 'insert' or 'reject', not {null_keys!r}")
+    if null_keys not in ("insert", "reject", "rare"):
+        raise ValueError(f"null_keys must be 'insert', 'reject' or 'rare', not {null_keys!r}")
     names = data_columns(target)
     by_fold = {n.lower(): n for n in names}
     keys = [by_fold[k.lower()] for k in keys]
     source = _align(source, target, names)
     if strategy == "auto":
         strategy = choose_strategy(target, source)
-    null, keyed = any_null(keys), "NOT " + any_null(keys)
-    keyed_target, keyed_source = target.where(keyed), source.where(keyed)
     rules = _Rules(target, names, keys, stamp, newer_by)
-    parts = [rules.kept(target.where(null))]
-    if null_keys == "insert":
-        parts.append(rules.inserted(source.where(null)))
+    keyed_target, keyed_source, parts = target, source, []
+    if null_keys != "rare":
+        null, keyed = any_null(keys), "NOT " + any_null(keys)
+        keyed_target, keyed_source = target.where(keyed), source.where(keyed)
+        parts.append(rules.kept(target.where(null)))
+        if null_keys == "insert":
+            parts.append(rules.inserted(source.where(null)))
     if hot:
         is_hot = key_hash(keys).isin(list(hot))
         parts.append(rules.left_then_insert(keyed_target.where(is_hot), F.broadcast(keyed_source.where(is_hot))))

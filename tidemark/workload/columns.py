@@ -220,7 +220,7 @@ def doc_merge(spark, sf_dir):
     e = table(spark, sf_dir, "events").where("event_type <> 'signup'")
     balance = F.when(F.col("event_type") == "purchase", F.col("value") + 1).otherwise(F.col("value"))
     target = e.select(F.col("event_id").cast("string").alias("id"), fx.document_text(balance, sort_keys=True).alias("document"))
-    out = m.merge(m.with_stamps(target, OLD_STAMP), latest_documents(spark, sf_dir), ["id"], STAMP, null_keys="reject")
+    out = m.merge(m.with_stamps(target, OLD_STAMP), latest_documents(spark, sf_dir), ["id"], STAMP, null_keys="rare")
     return out.select("id", F.col(m.ACTION).alias("action"))
 
 
