@@ -5,11 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.typemap import TypeMap, target_schema
 from tidemark.operators.audit import failure_report, run_summary
-from tidemark.plans.loader import DOCUMENT, Extract, Loader
-from tidemark.sources import catalog, files
-from tidemark.sources.documents import read_lines
+from tidemark.plans import readers
+from tidemark.plans.loader import DOCUMENT, Loader
+from tidemark.sources.odata import ODataSource
 from tidemark.spec import JOB_COLUMNS, JobSpec, read_jobs
 
 SCHEMA = "id long, name string, amount double, ins timestamp_ntz, upd timestamp_ntz"
@@ -53,6 +52,10 @@ def state(loader, spec, *cols):
     return sorted((tuple(r) for r in loader.table(spec).read().select(*cols).collect()), key=repr)
 
 
+def stamp_of(loader, run_id):
+    return loader.control().where(F.col("RUN_ID") == run_id).first()["RUN_START"]
+
+
 @pytest.fixture
 def source():
     return Source()
@@ -81,6 +84,7 @@ def test_full_then_incremental(spark, loader, source):
     third = loader.incr_load([job()])[0]
     assert (third.inserted, third.updated) == (0, 1)
     assert state(loader, job(), "id", "name") == [(1, "a"), (2, "b3"), (3, "c")]
+    assert [tuple(r) for r in loader.changed_keys(job(), stamp_of(loader, 3)).collect()] == [(2, "update")]
     stamps = {r.id: (r.EDW_INSERTED_TIMESTAMP, r.EDW_UPDATED_TIMESTAMP) for r in loader.table(job()).read().collect()}
     assert stamps[2][0] == stamps[1][0] < stamps[2][1] and stamps[1][1] is None
     assert loader.control().orderBy("RUN_ID").select("RUN_ID", "ROWS_INSERTED", "ROWS_UPDATED").collect() == [(1, 2, 0), (2, 1, 0), (3, 0, 1)]
@@ -182,14 +186,14 @@ def test_jobs_in_parallel_get_distinct_run_ids(spark, loader, source):
 
 def test_documents(spark, tmp_path):
     def land(text):
-        (tmp_path / "docs.json").write_text(text)
+        (tmp_path / "members").write_text(text)
 
     land('{"_id":"1","createdAt":"2024-01-01 00:00:00","updatedAt":"NaT","w":{"b":1}}\n'
          '{"_id":"2","createdAt":"2024-01-01 00:00:00","w":{"b":2}}\n'
          '{"updatedAt":"2024-01-02 00:00:00.5","w":{"b":3},"_id":"2","createdAt":"2024-01-01 00:00:00"}\n')
     spec = job("members", src_db_name="mongodb", obj_type="collection", primary_key_col="_id",
                insrt_time_col="createdAt", updt_time_col="updatedAt")
-    loader = Loader(spark, str(tmp_path / "lake"), {"mongodb": lambda s, j, m: read_lines(s, str(tmp_path / "docs.json"))}, clock=Clock())
+    loader = Loader(spark, str(tmp_path / "lake"), {"mongodb": readers.landed_documents(str(tmp_path))}, clock=Clock())
     assert loader.full_load([spec])[0].inserted == 2
     assert state(loader, spec, "_id", F.get_json_object(DOCUMENT, "$.w.b")) == [("1", "1"), ("2", "3")]
     # same document with other key order: no change; the other one changes
@@ -207,15 +211,9 @@ def test_files(spark, tmp_path):
     def land(body):
         (folder / "x_ProductMaster_2024.csv").write_text('"Mat.Code ", Name ,added_date,Qty\n' + body)
 
-    def reader(spark, job, mark):
-        path = files.file_of(files.inventory(spark, str(folder), "*.csv"), job.obj_name).first()["path"]
-        sheet = files.read_sheet(spark, path)
-        found = catalog.file_catalog(sheet).orderBy("ordinal_position").collect()
-        return Extract(sheet, target_schema([(r.column_name, r.data_type) for r in found], "EXCEL", TypeMap()))
-
     spec = job("productmaster", src_db_name=None, obj_type="FILE", primary_key_col="Mat.Code", insrt_time_col="added_date",
                updt_time_col="added_date", col_names=None)
-    loader = Loader(spark, str(tmp_path / "lake"), {"file": reader}, clock=Clock())
+    loader = Loader(spark, str(tmp_path / "lake"), {"file": readers.sheets(str(folder), "*.csv")}, clock=Clock())
     land('A1,  pin ,2024-01-01 10:00:00,5\nA2,"bolt\t",2024-01-02 10:00:00,6\n')
     first = loader.full_load([spec])[0]
     assert (first.error, first.inserted, first.mark) == ("-", 2, ts("2024-01-02 10:00:00"))
@@ -282,3 +280,43 @@ def test_bucketed_targets(spark, tmp_path, source):
     out = loader.incr_load([spec])[0]
     assert (out.error, out.inserted, out.updated) == ("-", 10, 10)
     assert loader.table(spec).read().count() == 60
+
+
+def service():
+    """A delta service: answers with the entities of the asked day, or with all."""
+    metadata = """<edmx:Edmx xmlns:edmx="http://schemas.microsoft.com/ado/2007/06/edmx"><edmx:DataServices>
+        <Schema xmlns="http://schemas.microsoft.com/ado/2008/09/edm"><EntityType Name="OS_ADRC">
+        <Property Name="Client" Type="Edm.String"/><Property Name="Nr" Type="Edm.Int32"/><Property Name="Day" Type="Edm.DateTime"/>
+        <Property Name="Tags" Type="Edm.String"/></EntityType></Schema></edmx:DataServices></edmx:Edmx>"""
+
+    class Service(ODataSource):
+        @classmethod
+        def name(cls):
+            return "loader_odata"
+
+        @staticmethod
+        def fetch(url, options):
+            if "$metadata" in url:
+                return metadata.encode()
+            import json
+            import re
+
+            rows = [{"Client": "1", "Nr": i, "Day": "/Date(%d)/" % (1704067200000 + 86400000 * i), "Tags": [i]} for i in range(7)]
+            if "$filter" in url:
+                rows = [dict(rows[6], Tags="changed")]
+            skip, top = int(re.search(r"skip=(\d+)", url)[1]), int(re.search(r"top=(\d+)", url)[1])
+            return json.dumps({"d": {"results": rows[skip:skip + top]}}).encode()
+
+    return Service
+
+
+def test_odata_delta_service(spark, tmp_path):
+    spec = job("OS_ADRCSet", src_db_name="SAP_ODATA", service_url="http://h/DELTA_SRV/", entity_value="OS_ADRCSet", client="?c=1",
+               primary_key_col="Client,Nr", insrt_time_col="Day", updt_time_col="Day", sf_tbl="ADRC")
+    loader = Loader(spark, str(tmp_path / "lake"), {"sap_odata": readers.entities(service=service(), page=3, partitions=2)}, clock=Clock())
+    first = loader.full_load([spec])[0]
+    assert (first.error, first.inserted, first.mark) == ("-", 7, ts("2024-01-07"))
+    # even a full load asks a delta service for changes only
+    second = loader.full_load([spec])[0]
+    assert (second.error, second.inserted, second.updated) == ("-", 0, 1)
+    assert ("1", 6, "changed") in state(loader, spec, "Client", "Nr", "Tags")

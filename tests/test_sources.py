@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
+from tidemark.functions.typemap import TypeMap
 from tidemark.operators import audit, chunk, merge as m
 from tidemark.sinks import storage, tables
 from tidemark.sources import catalog, documents, files, jdbc, odata
@@ -72,6 +73,12 @@ def test_edmx_files(spark, tmp_path):
     assert more.count() == 3 and catalog.with_synthetic(more).count() == 3
 
 
+def test_metadata_document(spark):
+    text = EDMX.replace('<Property Name="Date" Type="Edm.DateTime"/>', '<Property Name="Amt" Type="Edm.Decimal" Precision="13" Scale="3"/>')
+    found = catalog.of_entity_set(catalog.metadata_columns(spark, text), "OS_ADRCSet")
+    assert sorted((r.column_name, r.data_type) for r in found.collect()) == [("Amt", "Edm.Decimal(13,3)"), ("Client", "Edm.String")]
+
+
 # -- files -----------------------------------------------------------------------------------------------
 
 def test_inventory(spark, tmp_path):
@@ -157,6 +164,17 @@ def test_odata_pages(spark, page, partitions):
     assert rows[3].Nest == '{"a": [3]}' and rows[3].Gone is None
 
 
+def test_odata_types(spark):
+    df = spark.createDataFrame([("/Date(1609459200123)/", "PT12H30M05S", "1.25", "7", "x"), ("2021-01-01T00:00:00", None, None, "y", None)],
+                               "at string, t string, amt string, n string, s string")
+    types = [("at", "Edm.DateTime"), ("t", "Edm.Time"), ("amt", "Edm.Decimal(5,2)"), ("n", "Edm.Int32"), ("s", "Edm.String"), ("gone", "Edm.Byte")]
+    out = odata.typed_entities(df, types, TypeMap())
+    assert out.schema.simpleString() == "struct<at:timestamp_ntz,t:timestamp,amt:decimal(5,2),n:bigint,s:string>"
+    rows = out.select("at", F.date_format("t", "HH:mm:ss").alias("t"), F.col("amt").cast("string"), "n", "s").collect()
+    assert tuple(rows[0]) == (dt.datetime(2021, 1, 1, 0, 0, 0, 123000), "12:30:05", "1.25", 7, "x")
+    assert tuple(rows[1]) == (dt.datetime(2021, 1, 1), None, None, None, None)
+
+
 def test_odata_url():
     reader = odata.ODataReader(None, {"url": "http://x/", "entity": "S", "client": "?c=1", "filter": "'DATE' eq '1'"}, None)
     assert reader.url(500) == "http://x/S?c=1&$skip=500&$top=500&$format=json&$filter=%27DATE%27%20eq%20%271%27"
@@ -200,6 +218,7 @@ def test_stage_archive_and_retention(spark, tmp_path):
     for run, n in (("20240101T000000", 2), ("20240301T000000", 3)):
         assert tables.write_stage(spark.range(n), folder, run).endswith(f"load_ts={run}")
     assert tables.read_archive(spark, folder).groupBy("load_ts").count().count() == 2
+    assert tables.read_stage(spark, folder).count() == 5 and tables.read_stage(spark, folder, "*.json", "id long").count() == 0
     assert tables.drop_expired_stages(spark, folder, "20240201") == ["load_ts=20240101T000000"]
     assert tables.read_archive(spark, folder).count() == 3
     tables.append_archive(spark.range(2), f"{tmp_path}/archive", "2024-01-01 00:00:00")

@@ -102,6 +102,12 @@ def write_stage(df: DataFrame, folder: str, run: str) -> str:
     return path
 
 
+def read_stage(spark: SparkSession, folder: str, pattern: str = "*.parquet", schema=None) -> DataFrame:
+    """All staged files below a folder whose name matches ``pattern``."""
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    return (reader.schema(schema) if schema else reader).parquet(folder)
+
+
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(folder)
 

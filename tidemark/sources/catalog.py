@@ -85,6 +85,19 @@ def read_edmx(spark, path: str) -> DataFrame:
         "entity_type", F.col("p._Name").alias("column_name"), F.col("p._Type").alias("data_type"))
 
 
+def metadata_columns(spark, document: str) -> DataFrame:
+    """The same from the text of one service's metadata document; decimals carry their facets."""
+    prop = "struct<_Name string, _Type string, _Precision string, _Scale string>"
+    shape = f"DataServices struct<Schema array<struct<EntityType array<struct<_Name string, Property array<{prop}>>>>>>"
+    text = spark.createDataFrame([(document,)], "text string")
+    types = text.select(F.from_xml("text", shape, {"ignoreNamespace": "true"}).alias("e")).select(
+        F.explode(F.flatten("e.DataServices.Schema.EntityType")).alias("t"))
+    p = types.select(F.col("t._Name").alias("entity_type"), F.explode("t.Property").alias("p"))
+    facets = F.concat(F.lit("("), F.col("p._Precision"), F.lit(","), F.coalesce("p._Scale", F.lit("0")), F.lit(")"))
+    kind = F.when(F.col("p._Type") == "Edm.Decimal", F.concat(F.col("p._Type"), F.coalesce(facets, F.lit(""))))
+    return p.select("entity_type", F.col("p._Name").alias("column_name"), F.coalesce(kind, "p._Type").alias("data_type"))
+
+
 def of_entity_set(catalog: DataFrame, entity_set: str) -> DataFrame:
     """Columns of the entity type behind an entity set: its name without ``Set``, in any case."""
     return catalog.where(F.lower("entity_type") == entity_set[:-3].lower())

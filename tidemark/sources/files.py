@@ -49,15 +49,18 @@ def file_of(files: DataFrame, table: str) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, path: str, text_columns=(), coerced=()) -> DataFrame:
-    """A sheet landed as CSV or Parquet: headers cleaned, times as text, strings stripped.
+    """A sheet landed as CSV or Parquet, or a workbook through the spark-excel package where it is on the class
+    path: headers cleaned, times as text, strings stripped.
 
     ``text_columns`` become strings; ``coerced`` hold times whose unreadable values become null.
     """
-    raw = (
-        spark.read.parquet(path)
-        if path.rstrip("/").endswith(".parquet")
-        else spark.read.option("header", True).option("multiLine", True).csv(path)
-    )
+    plain = path.rstrip("/").lower()
+    if plain.endswith(".parquet"):
+        raw = spark.read.parquet(path)
+    elif plain.endswith((".xlsx", ".xls")):
+        raw = spark.read.format("excel").option("header", True).load(path)
+    else:
+        raw = spark.read.option("header", True).option("multiLine", True).csv(path)
     return clean_sheet(raw, text_columns, coerced)
 
 

@@ -11,7 +11,9 @@ import urllib.request
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tidemark.functions.names import column
 from tidemark.functions.rows import plain
+from tidemark.functions.typemap import TypeMap, cast_to, target_schema
 
 PAGE = 500
 
@@ -58,6 +60,31 @@ def read_pages(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return flatten_entities(pages.select(F.explode(items).alias("_e")).select("_e.*"))
 
 
+def wall_clock(c: Column) -> Column:
+    """OData time text, ``/Date(<milliseconds>)/`` or ISO, as a zone-free timestamp."""
+    millis = F.regexp_extract(c, r"^/Date\((-?\d+)([+-]\d{4})?\)/$", 1).try_cast("bigint")
+    moment = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=millis / F.lit(1000).cast("decimal(10,3)"))
+    return F.coalesce(moment, c.try_cast("timestamp_ntz"))
+
+
+def time_of_day(c: Column) -> Column:
+    """``PT12H30M05S`` as that time on the first day of 1970."""
+    def part(unit):
+        return F.regexp_extract(c, rf"(\d+){unit}", 1).try_cast("int")
+
+    h, m, sec = [F.coalesce(part(u), F.lit(0)) for u in "HMS"]
+    at = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), h, m, sec.cast("decimal(18,6)"))
+    return F.when(c.rlike(r"^PT(\d+H)?(\d+M)?(\d+(\.\d+)?S)?$"), at)
+
+
+def typed_entities(df: DataFrame, catalog, type_map: TypeMap, strict: bool = False) -> DataFrame:
+    """Entities read as text -> the types of their column catalog (name, EDM type)."""
+    readers = {"edm.datetime": wall_clock, "edm.datetimeoffset": wall_clock, "edm.time": time_of_day}
+    moments = {n: readers[t.lower()](column(n)) for n, t in catalog if t.lower() in readers and n in df.columns}
+    present = [(n, t) for n, t in catalog if n in df.columns]
+    return cast_to(df.withColumns(moments) if moments else df, target_schema(present, "SAP_ODATA", type_map, strict), strict)
+
+
 class ODataSource(DataSource):
     """``spark.read.format("odata").option("url", ...).option("entity", ...).schema(...)``.
 

@@ -69,8 +69,9 @@ class JobSpec:
         return (self.master_tbl or "").lower() == "yes"
 
     @property
-    def update_col(self) -> str | None:
-        return self.updt_time_col
+    def asks_for_changes(self) -> bool:
+        """An OData service or filter that only answers for a given day: its full load is incremental too."""
+        return self.source == "sap_odata" and ("DELTA" in (self.service_url or "") or "DATE" in (self.filter_value or ""))
 
 
 def read_jobs(spark: SparkSession, path: str) -> list[JobSpec]:
