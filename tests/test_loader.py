@@ -260,6 +260,23 @@ def test_tables_without_a_time_go_by_snapshots(spark, loader, source):
     assert (again.status, again.inserted, again.updated) == ("SUCCESS", 0, 0)
 
 
+def test_an_increment_without_news_writes_no_version(spark, loader, source):
+    at = ts("2024-01-01")
+    big = spark.range(100_000).selectExpr(
+        "id", "uuid() AS name", "1.0D AS amount", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id % 1000) AS ins",
+        "CAST(NULL AS timestamp_ntz) AS upd")
+    source.tables["people"] = big
+    loader.full_load([job()])
+    late = loader.table(job()).read().where("id < 2000 and id % 1000 >= 900").drop("EDW_INSERTED_TIMESTAMP", "EDW_UPDATED_TIMESTAMP")
+    source.tables["people"] = late
+    out = loader.incr_load([job()])[0]
+    assert (out.error, out.inserted, out.updated, out.deleted) == ("-", 0, 0, 0) and out.mark > at
+    assert loader.table(job()).versions() == [1]
+    source.tables["people"] = late.withColumn("amount", F.col("amount") + F.col("id") % 2)
+    assert loader.incr_load([job()])[0].updated == 100
+    assert loader.table(job()).versions() == [1, 2]
+
+
 def test_control_log_is_compacted(spark, loader, source):
     source.tables["people"] = frame(spark, (1, "a", 1.0, ts("2024-01-01"), None))
     for _ in range(3):

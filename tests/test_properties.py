@@ -159,7 +159,9 @@ def test_delete_with_hot_keys(spark):
     feed = table(spark, 15, n=6, keys=5)
     hot = m.hot_keys(target, KEYS, floor=0)
     assert hot
-    assert bag(m.delete_by_feed(target, feed, KEYS, hot)) == bag(m.delete_by_feed(target, feed, KEYS))
+    kept, gone = m.delete_by_feed(target, feed, KEYS, hot), m.deleted_rows(target, feed, KEYS, hot)
+    assert bag(kept) == bag(m.delete_by_feed(target, feed, KEYS))
+    assert bag(kept.unionAll(gone)) == bag(target) and gone.count() > 0
 
 
 def test_older_batches_do_not_undo(spark):

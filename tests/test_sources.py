@@ -31,6 +31,7 @@ def test_split_scan_options():
     o = jdbc.table_options({"url": "x"}, "(SELECT 1) subquery", jdbc.Split("id", "0", "100", 4))
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("id", "0", "100", "4")
     assert "partitionColumn" not in jdbc.table_options({"url": "x"}, "t")
+    assert jdbc.table_options({"url": "x"}, "t")["preferTimestampNTZ"] == "true"
 
 
 def test_catalog_query_quotes_its_names():
@@ -136,6 +137,20 @@ def test_chunk_numbers(spark, buckets):
     assert chunk.assign_chunks(df.limit(0), "id", 100, buckets).count() == 0
 
 
+def test_chunks_of_a_hot_id(spark):
+    """One id holds a third of the rows: chunks are still full and in id order, and no task holds them all."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1000).otherwise(F.col("id")).cast("long").alias("id"))
+    got = chunk.assign_chunks(df, "id", 100, 8)
+    sizes = {r["chunk"]: r["count"] for r in got.groupBy("chunk").count().collect()}
+    assert sizes == {i: 100 for i in range(1, 31)}
+    spans = got.groupBy("chunk").agg(F.min("id").alias("low"), F.max("id").alias("high")).orderBy("chunk").collect()
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_bounds_query():
+    assert jdbc.bounds_query("s.t", "id") == "SELECT MIN(id) AS low, MAX(id) AS high FROM s.t"
+
+
 # -- OData -----------------------------------------------------------------------------------------------
 
 def fake_service():

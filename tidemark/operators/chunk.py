@@ -4,38 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.names import column
+from tidemark.functions.names import column, columns
+from tidemark.sinks.storage import scratch_path
 
 
 def assign_chunks(df: DataFrame, id_col: str, size: int, buckets: int | None = None) -> DataFrame:
-    """Add ``chunk`` = (rank by ``id_col`` - 1) div size + 1, for a unique numeric or temporal id.
+    """Add ``chunk`` = (rank by ``id_col`` - 1) div size + 1, for a numeric or temporal id.
 
     Ranges of the id are cut at quantiles that one sketch aggregation finds, so they hold about equally many
     rows. The rank is the rank within the range plus the number of rows in lower ranges; only the list of
-    ranges (``buckets`` of them) is ever brought together.
+    ranges (two per bucket) is ever brought together.
+
+    An id at which several cuts fall is hot. Such an id has a range of its own, whose rows are equal in rank
+    and may be numbered in any order; they are spread over ``buckets`` parts, written to the shared folder first
+    so that counting and numbering see the same parts.
     """
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = [i / buckets for i in range(1, buckets)]
-    cuts = []
-    if at:
-        row = df.agg(F.percentile_approx(column(id_col), at, max(10_000, 10 * buckets)).alias("q")).first()
-        cuts = sorted(set(row["q"] or []))
-    dtype = df.schema[id_col].dataType
-    cut_list = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{dtype.simpleString()}>")
-    # the number of cuts below the id: the same for every id of a range
-    range_no = _range_number(column(id_col), cut_list, len(cuts))
-    ranged = df.withColumn("_range", range_no)
-    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
-    before = counts.withColumn(
-        "_before",
-        F.coalesce(F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).drop("_rows")
-    ranked = ranged.withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy(column(id_col))))
-    # one row per range: bounded by ``buckets``
-    joined = ranked.join(F.broadcast(before), "_range")
+    found = df.agg(F.percentile_approx(column(id_col), at or [0.5], max(10_000, 10 * buckets)).alias("q")).first()["q"] or []
+    cuts = sorted(set(found))
+    ranged = df.withColumn("_range", _range_number(df, id_col, cuts)).withColumn("_part", F.lit(0).cast("long"))
+    if len(cuts) < len(found):
+        # odd ranges hold a single id
+        part = F.pmod(F.monotonically_increasing_id(), F.lit(buckets).cast("long"))
+        path = scratch_path(df.sparkSession, "chunks")
+        ranged.withColumn("_part", F.when(F.col("_range") % 2 == 1, part).otherwise(0)).write.parquet(path)
+        ranged = df.sparkSession.read.parquet(path)
+    counts = ranged.groupBy("_range", "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    lower = Window.orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(lower), F.lit(0))).drop("_rows")
+    rank = F.row_number().over(Window.partitionBy("_range", "_part").orderBy(column(id_col)))
+    # one row per range and part: bounded by the number of buckets, not by the data
+    joined = ranged.withColumn("_rank", rank).join(F.broadcast(before), ["_range", "_part"])
     chunk = F.floor((F.col("_before") + F.col("_rank") - 1) / size) + 1
-    return joined.select(*[column(c) for c in df.columns], chunk.cast("long").alias("chunk"))
+    return joined.select(*columns(df.columns), chunk.cast("long").alias("chunk"))
 
 
-def _range_number(c, cuts, n):
-    return F.size(F.filter(cuts, lambda cut: cut < c)) if n else F.lit(0)
+def _range_number(df: DataFrame, id_col: str, cuts):
+    """Twice the number of cuts below the id, plus one for an id that is a cut itself."""
+    if not cuts:
+        return F.lit(0)
+    dtype = df.schema[id_col].dataType.simpleString()
+    values = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{dtype}>")
+    c = column(id_col)
+    return F.aggregate(values, F.lit(0), lambda n, cut: n + F.when(cut < c, 2).when(cut == c, 1).otherwise(0))

@@ -201,6 +201,11 @@ def hot_keys(target: DataFrame, keys, share: float = 0.0005, floor: int = 100_00
     return [e["item"] for e in row["top"] if e["count"] > max(floor, share * row["rows"])]
 
 
+def has_changes(merged: DataFrame) -> bool:
+    """Whether any row is inserted or updated; stops at the first one found."""
+    return not merged.where(f"{ACTION} <> 'keep'").isEmpty()
+
+
 def next_version(merged: DataFrame) -> DataFrame:
     return merged.drop(ACTION)
 
@@ -228,23 +233,26 @@ def delete_by_feed(target: DataFrame, feed: DataFrame, keys, hot=()) -> DataFram
     Joins on the key columns: concatenated keys make ('1','23') and ('12','3') meet. A null in the key
     matches nothing, so such rows bypass the join; rows of ``hot`` keys meet the feed in a broadcast join.
     """
-    null = any_null(keys)
-    gone = feed.select(*columns(keys)).where("NOT " + null).distinct()
-    keyed, parts = target.where("NOT " + null), [target.where(null)]
-    if hot:
-        is_hot = key_hash(keys).isin(list(hot))
-        parts.append(_without(keyed.where(is_hot), F.broadcast(gone.where(is_hot)), keys))
-        keyed, gone = keyed.where(~is_hot), gone.where(~is_hot)
-    return reduce(DataFrame.unionAll, parts, _without(keyed, gone, keys))
+    return _by_feed(target, feed, keys, hot, "left_anti").unionAll(target.where(any_null(keys)))
 
 
-def _without(df: DataFrame, gone: DataFrame, keys) -> DataFrame:
-    return df.join(gone, list(keys), "left_anti").select(*columns(df.columns))
+def deleted_rows(target: DataFrame, feed: DataFrame, keys, hot=()) -> DataFrame:
+    """Target rows that the feed removes."""
+    return _by_feed(target, feed, keys, hot, "left_semi")
 
 
-def deleted_rows(target: DataFrame, feed: DataFrame, keys) -> DataFrame:
-    """Target rows that the feed removes."""
-    return target.join(feed.select(*columns(keys)).distinct(), list(keys), "left_semi").select(*columns(target.columns))
+def _by_feed(target, feed, keys, hot, how) -> DataFrame:
+    """Rows with a whole key, by whether the feed has it. ``hot`` hashes bound the broadcast side."""
+    keyed = "NOT " + any_null(keys)
+    rows, gone = target.where(keyed), feed.select(*columns(keys)).where(keyed).distinct()
+
+    def meet(left, right):
+        return left.join(right, list(keys), how).select(*columns(target.columns))
+
+    if not hot:
+        return meet(rows, gone)
+    is_hot = key_hash(keys).isin(list(hot))
+    return meet(rows.where(~is_hot), gone.where(~is_hot)).unionAll(meet(rows.where(is_hot), F.broadcast(gone.where(is_hot))))
 
 
 def master_refresh(source: DataFrame, stamp: str) -> DataFrame:

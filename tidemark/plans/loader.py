@@ -28,7 +28,7 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.evolve import drift, evolve
 from tidemark.operators.increment import changed_since, last_mark, new_mark
 from tidemark.operators.merge import (
-    changed_since_stamp, choose_strategy, delete_by_feed, hot_keys, master_refresh, merge, next_version,
+    changed_since_stamp, choose_strategy, delete_by_feed, has_changes, hot_keys, master_refresh, merge, next_version,
 )
 from tidemark.operators.snapshot import snapshot_diff
 from tidemark.sinks.tables import VersionedTable, target_struct, write_stage, written_counts
@@ -131,8 +131,11 @@ class Loader:
         target = table.read()
         mark = self._mark(job) if (incremental or job.asks_for_changes) and target is not None else None
         rows = self._extract(job, mark, stamp)
+        evolved = False
         if target is not None:
+            had = target.columns
             target, reload = evolve(target, rows.schema, self.allow_drop)
+            evolved = target.columns != had
             if reload and mark is not None:
                 mark = None
                 rows = self._extract(job, None, stamp)
@@ -156,7 +159,7 @@ class Loader:
             table.create(target.schema)
         else:
             next_at = new_mark(staged, insert_col, update_col, mark).first()["next_mark"] if insert_col else None
-            version, before = self._write(job, table, target, staged, insert_col, update_col, mark, stamp)
+            version, before = self._write(job, table, target, staged, insert_col, update_col, mark, stamp, evolved)
             counts = written_counts(table, version, stamp, before)
             if job.is_master:
                 counts["deleted"] = 0
@@ -166,7 +169,7 @@ class Loader:
             archive.drop_old(keep=1)
         return outcome
 
-    def _write(self, job, table, target, staged, insert_col, update_col, mark, stamp):
+    def _write(self, job, table, target, staged, insert_col, update_col, mark, stamp, evolved):
         keys = job.keys
         before = target.count()
         latest = latest_per_key(staged, keys, insert_col, update_col)
@@ -181,7 +184,11 @@ class Loader:
         hot = hot_keys(target, keys) if strategy == "shuffle" or feed is not None else []
         if feed is not None:
             target = delete_by_feed(target, feed, keys, hot)
-        return table.write(next_version(merge(target, latest, keys, stamp, strategy, hot=hot))), before
+        merged = merge(target, latest, keys, stamp, strategy, hot=hot)
+        # a small increment often holds only rows that the lookback read again: look before rewriting a large target
+        if strategy == "broadcast" and feed is None and table.current() and not evolved and not has_changes(merged):
+            return table.current(), before
+        return table.write(next_version(merged)), before
 
     def _extract(self, job, mark, stamp) -> DataFrame:
         reader = self.readers.get("file" if job.is_file else job.source)

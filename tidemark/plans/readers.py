@@ -10,14 +10,16 @@ from tidemark.plans.loader import Extract, Reader
 from tidemark.sources import catalog, documents, files, jdbc, odata
 
 
-def relational(source: str, connection: dict | None = None, splits: dict[str, jdbc.Split] | None = None) -> Reader:
-    """SQL Server or PostgreSQL tables. ``splits`` by object name make a scan parallel.
+def relational(source: str, connection: dict | None = None, split_on: dict[str, str] | None = None, partitions: int = 64) -> Reader:
+    """SQL Server or PostgreSQL tables. ``split_on`` names, per object, the column along which a scan is split.
 
     The loader's column list and increment filter become part of the remote query.
     """
     def read(spark, job, mark):
         options = connection or jdbc.options(spark, source, job.database_name)
-        return jdbc.read_table(spark, options, f"{job.schema_name}.{job.obj_name}", job.col_names, (splits or {}).get(job.obj_name))
+        table, name = f"{job.schema_name}.{job.obj_name}", (split_on or {}).get(job.obj_name)
+        split = jdbc.even_split(spark, options, table, name, partitions) if name else None
+        return jdbc.read_table(spark, options, table, job.col_names, split)
 
     return read
 

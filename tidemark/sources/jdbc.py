@@ -51,8 +51,11 @@ def setting(spark: SparkSession, source: str, name: str) -> str:
 
 
 def table_options(connection: dict, table: str, split: Split | None = None, fetch_size: int = 10_000) -> dict:
-    """Options of a table scan; with a split it runs as ``partitions`` range queries instead of one."""
-    out = {**connection, "dbtable": table, "fetchsize": str(fetch_size)}
+    """Options of a table scan; with a split it runs as ``partitions`` range queries instead of one.
+
+    Zone-free times keep their wall clock, and comparing them with a watermark is pushed to the database.
+    """
+    out = {"preferTimestampNTZ": "true", **connection, "dbtable": table, "fetchsize": str(fetch_size)}
     if split:
         out |= {
             "partitionColumn": split.column,
@@ -74,6 +77,16 @@ def read_query(spark: SparkSession, connection: dict, query: str, split: Split |
     return spark.read.format("jdbc").options(**table_options(connection, f"({query}) subquery", split)).load()
 
 
+def even_split(spark: SparkSession, connection: dict, table: str, name: str, partitions: int) -> Split | None:
+    """Bounds of a numeric or time column, asked of the database in one row; None for an empty table."""
+    row = read_query(spark, connection, bounds_query(table, name)).first()
+    return None if row[0] is None else Split(name, str(row[0]), str(row[1]), partitions)
+
+
+def bounds_query(table: str, name: str) -> str:
+    return f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}"
+
+
 def catalog_query(table: str, schema: str, col_names: str | None = None) -> str:
     """Column catalog of one table from ``information_schema``."""
     def text(value):

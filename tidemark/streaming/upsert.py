@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.merge import choose_strategy, hot_keys, merge, next_version
+from tidemark.operators.merge import choose_strategy, has_changes, hot_keys, merge, next_version
 from tidemark.sinks.tables import VersionedTable, target_struct
 
 
@@ -37,8 +37,9 @@ def upsert_stream(stream: DataFrame, table: VersionedTable, keys, insert_col: st
             target = table.read()
             strategy = choose_strategy(target, batch)
             hot = hot_keys(target, keys) if strategy == "shuffle" else []
-            table.write(next_version(
-                merge(target, latest, keys, at, strategy, hot=hot, newer_by=(insert_col, update_col))))
+            merged = merge(target, latest, keys, at, strategy, hot=hot, newer_by=(insert_col, update_col))
+            if strategy == "shuffle" or has_changes(merged):
+                table.write(next_version(merged))
             table.drop_old(keep_versions)
         finally:
             batch.unpersist()
