@@ -127,6 +127,11 @@ def test_deletes_come_before_the_merge(spark, loader, source):
     out = loader.incr_load([job(is_deletion="YES", deleted_tbl="people_deleted")])[0]
     assert (out.inserted, out.updated, out.deleted) == (1, 0, 2)
     assert state(loader, job(), "id") == [(1,), (3,)]
+    # deletions count even when nothing else changed
+    source.tables["people"] = frame(spark)
+    source.tables["gone"] = frame(spark, (1, "", 0.0, ts("2024-03-01"), None)).select("id", "ins")
+    out = loader.incr_load([job(is_deletion="yes", deleted_tbl="people_deleted")])[0]
+    assert (out.error, out.inserted, out.deleted) == ("-", 0, 1) and state(loader, job(), "id") == [(3,)]
 
 
 def test_master_tables_are_replaced(spark, loader, source):
@@ -137,6 +142,11 @@ def test_master_tables_are_replaced(spark, loader, source):
     out = loader.full_load([spec])[0]
     assert (out.inserted, out.deleted) == (1, 0)
     assert state(loader, spec, "id", "name") == [(2, "b")]
+    source.tables["people"] = frame(spark)
+    assert loader.full_load([spec])[0].status == "SUCCESS" and state(loader, spec, "id") == [(2,)]
+    assert loader.drop_old_stages(days=30) == []
+    loader.clock.at += dt.timedelta(days=31)
+    assert len(loader.drop_old_stages(days=30)) == 3
 
 
 def test_new_columns_trigger_a_full_extract(spark, loader, source):

@@ -14,7 +14,7 @@ import traceback
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -31,11 +31,13 @@ from tidemark.operators.merge import (
     changed_since_stamp, choose_strategy, delete_by_feed, has_changes, hot_keys, master_refresh, merge, next_version,
 )
 from tidemark.operators.snapshot import snapshot_diff
-from tidemark.sinks.tables import VersionedTable, target_struct, write_stage, written_counts
+from tidemark.sinks.storage import child_dirs
+from tidemark.sinks.tables import VersionedTable, drop_expired_stages, target_struct, write_stage, written_counts
 from tidemark.spec import JobSpec, read_jobs
 
 SYNTHETIC = "inserted_timestamp"
 DOCUMENT = "JSON_DATA"
+RUN_LABEL = "%Y%m%dT%H%M%S%f"
 
 
 @dataclass
@@ -70,10 +72,11 @@ class Loader:
 
     def __init__(self, spark: SparkSession, root: str, readers: dict[str, Reader], feeds: dict[str, Reader] | None = None,
                  allow_drop: bool = False, strict_casts: bool = True, buckets: int = 0, parallel: int = 1,
-                 zone: str = "UTC", clock: Callable[[], datetime] | None = None):
+                 zone: str = "UTC", keep_versions: int = 2, clock: Callable[[], datetime] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.readers, self.feeds = readers, feeds or {}
         self.allow_drop, self.strict_casts, self.buckets, self.parallel = allow_drop, strict_casts, buckets, parallel
+        self.keep_versions = keep_versions
         self.clock = clock or (lambda: datetime.now(ZoneInfo(zone)).replace(tzinfo=None))
         self._log = threading.Lock()
 
@@ -122,6 +125,12 @@ class Loader:
             table.write(table.read().coalesce(1))
             table.drop_old(keep=2)
 
+    def drop_old_stages(self, days: int = 30) -> list[str]:
+        """Remove staged runs older than ``days``; returns what was removed."""
+        before = (self.clock() - timedelta(days=days)).strftime(RUN_LABEL)
+        folders = [f"{self.root}/stage/{name}" for name in child_dirs(self.spark, f"{self.root}/stage")]
+        return [f"{f}/{run}" for f in folders for run in drop_expired_stages(self.spark, f, before)]
+
     def _control(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/control")
 
@@ -149,18 +158,20 @@ class Loader:
             archive = VersionedTable(self.spark, f"{self.root}/snapshot/{job.sf_tbl.lower()}", marker="_MERGED")
             snapshot = archive.write(rows)
             rows = self._new_in_snapshot(archive, snapshot, incremental)
-        stage = write_stage(rows, f"{self.root}/stage/{job.sf_tbl.lower()}", start.strftime("%Y%m%dT%H%M%S%f"))
+        stage = write_stage(rows, f"{self.root}/stage/{job.sf_tbl.lower()}", start.strftime(RUN_LABEL))
         staged = self.spark.read.schema(rows.schema).parquet(stage)
         if target is None:
             target = self.spark.createDataFrame([], target_struct(rows.schema))
         staged = self._same_columns(target, staged)
         outcome = Outcome(job, "SUCCESS")
-        if staged.isEmpty() and not job.is_master:
-            table.create(target.schema)
+        feed = self._feed(job, mark)
+        if staged.isEmpty() and feed is None:
+            table.create(target.schema)  # nothing to load; a master table keeps its rows
         else:
             next_at = new_mark(staged, insert_col, update_col, mark).first()["next_mark"] if insert_col else None
-            version, before = self._write(job, table, target, staged, insert_col, update_col, mark, stamp, evolved)
+            version, before = self._write(job, table, target, staged, insert_col, update_col, feed, stamp, evolved)
             counts = written_counts(table, version, stamp, before)
+            table.drop_old(self.keep_versions)
             if job.is_master:
                 counts["deleted"] = 0
             outcome = Outcome(job, "SUCCESS", counts["inserted"], counts["updated"], counts["deleted"], next_at)
@@ -169,27 +180,28 @@ class Loader:
             archive.drop_old(keep=1)
         return outcome
 
-    def _write(self, job, table, target, staged, insert_col, update_col, mark, stamp, evolved):
+    def _write(self, job, table, target, staged, insert_col, update_col, feed, stamp, evolved):
         keys = job.keys
         before = target.count()
         latest = latest_per_key(staged, keys, insert_col, update_col)
-        if job.is_master:
+        if job.is_master or table.current() is None:
             return table.write(master_refresh(latest, stamp)), before
-        if job.deletes and job.source in self.feeds:
-            feed = self.feeds[job.source](self.spark, job, mark)
-            feed = feed.rows if isinstance(feed, Extract) else feed
-        else:
-            feed = None
         strategy = choose_strategy(target, staged)
         hot = hot_keys(target, keys) if strategy == "shuffle" or feed is not None else []
         if feed is not None:
             target = delete_by_feed(target, feed, keys, hot)
         merged = merge(target, latest, keys, stamp, strategy, hot=hot)
         # a small increment often holds only rows that the lookback read again: look before rewriting a large target
-        if strategy == "broadcast" and feed is None and table.current() and not evolved and not has_changes(merged):
+        if strategy == "broadcast" and feed is None and not evolved and not has_changes(merged):
             return table.current(), before
         return table.write(next_version(merged)), before
 
+    def _feed(self, job, mark) -> DataFrame | None:
+        if not job.deletes or job.source not in self.feeds:
+            return None
+        feed = self.feeds[job.source](self.spark, job, mark)
+        return feed.rows if isinstance(feed, Extract) else feed
+
     def _extract(self, job, mark, stamp) -> DataFrame:
         reader = self.readers.get("file" if job.is_file else job.source)
         if reader is None:
