@@ -110,6 +110,17 @@ def test_increment_and_rest_make_the_whole(spark):
     assert changed_since(df, None, "ins", "upd").count() == df.count()
 
 
+def test_marks_and_order_follow_the_column_type(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, '2024-01-02 10:00:00'), (1, '2024-1-11 09:00:00'), (2, 'soon'), (3, NULL) AS t(k, text)""")
+    df = df.selectExpr("k", "text", "try_cast(text AS timestamp_ntz) AS wall", "try_cast(text AS timestamp) AS zoned", "try_cast(text AS date) AS day")
+    for name in ("text", "wall", "zoned", "day"):
+        assert [r.k for r in changed_since(df, "2024-01-02 10:30:00", name).collect()] == [1], name
+        assert changed_since(df, "2024-01-01 23:00:00", name).count() == 2, name
+        high = new_mark(df, name, name).first()["next_mark"]
+        assert str(high) == ("2024-01-11 00:00:00" if name == "day" else "2024-01-11 09:00:00"), name
+        assert latest_per_key(df, ["k"], name).where("k = 1").first()["text"] == "2024-1-11 09:00:00", name
+
+
 def test_mark_never_moves_back(spark):
     df = table(spark, 10)
     old = "2025-01-01 00:00:00"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.names import quote
 from tidemark.functions.rows import order_key, orderable
@@ -21,7 +21,7 @@ def latest_per_key(df: DataFrame, keys, insert_col: str | None, update_col: str
     """
     order = []
     if insert_col:
-        time = order_key(quote(update_col) if update_col else None, quote(insert_col))
+        time = order_key(_moment(df, update_col) if update_col else None, _moment(df, insert_col))
         order = [f"{time} DESC NULLS {nulls.upper()}"]
     order += [f"{quote(n)} DESC NULLS FIRST" for n in _tiebreak(df, keys, tiebreak)]
     window = f"PARTITION BY {', '.join(map(quote, keys))} ORDER BY {', '.join(order)}"
@@ -37,6 +37,12 @@ def latest_document_per_key(df: DataFrame, key: Column, insert_time: Column, upd
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def _moment(df: DataFrame, name: str) -> str:
+    """Times kept as text are ordered as times; unreadable text counts as no time."""
+    text = isinstance(df.schema[name].dataType, T.StringType)
+    return f"try_cast({quote(name)} AS TIMESTAMP_NTZ)" if text else quote(name)
+
+
 def _tiebreak(df: DataFrame, keys, given):
     if given is not None:
         return list(given)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.names import column, columns
-from tidemark.functions.times import DAY, LOOKBACK, MILLIS, ODATA_LOOKBACK, SENTINEL, ntz
+from tidemark.functions.times import DAY, LOOKBACK, MILLIS, ODATA_LOOKBACK, SENTINEL, coerce, ntz
 
 
 def changed_since(df: DataFrame, mark, insert_col: str, update_col: str | None = None) -> DataFrame:
@@ -17,13 +17,29 @@ def changed_since(df: DataFrame, mark, insert_col: str, update_col: str | None =
     """
     if mark is None:
         return df
-    at = as_mark(mark)
-    late = column(insert_col) > at
+    late = _after(df, insert_col, mark)
     if update_col and update_col.lower() != insert_col.lower():
-        late = late | (column(update_col) > at)
+        late = late | _after(df, update_col, mark)
     return df.where(late)
 
 
+def _after(df: DataFrame, name: str, mark) -> Column:
+    """``name`` later than ``mark``. The mark takes the column's type, so that the column itself stays bare and
+    the filter can be pushed; a date is later than a time when it is later than its day."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (T.TimestampType, T.DateType)):
+        return column(name) > as_mark(mark).cast(dtype)
+    return moment(df, name) > as_mark(mark)
+
+
+def moment(df: DataFrame, name: str) -> Column:
+    """A time column as a zone-free timestamp; unreadable text is null."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return column(name)
+    return coerce(column(name)) if isinstance(dtype, T.StringType) else column(name).cast("timestamp_ntz")
+
+
 def deletes_since(feed: DataFrame, mark, keys, insert_col: str) -> DataFrame:
     """Keys and insert time of deletions logged after ``mark``."""
     return changed_since(feed.select(*columns(keys), column(insert_col)), mark, insert_col)
@@ -91,8 +107,8 @@ def new_mark(df: DataFrame, insert_col: str, update_col: str | None = None, old=
     Both maxima come from one pass. ``insert_only=True`` ignores update times, which can move a watermark
     backwards when only updates arrive; the default takes the greatest of both and of the old mark.
     """
-    high_insert = F.max(column(insert_col))
-    high_update = F.max(column(update_col)) if update_col else F.lit(None).cast("timestamp_ntz")
+    high_insert = F.max(moment(df, insert_col))
+    high_update = F.max(moment(df, update_col)) if update_col else F.lit(None).cast("timestamp_ntz")
     maxima = df.agg(high_insert.alias("max_insert"), high_update.alias("max_update"))
     nxt = [F.col("max_insert")] if insert_only else [F.col("max_insert"), F.col("max_update")]
     if old is not None and not insert_only:

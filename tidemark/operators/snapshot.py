@@ -16,7 +16,7 @@ def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:
 
     Both sides are tagged and grouped by their columns: one exact, null-safe pass in which copies of a row
     collapse before the shuffle, so a huge group of copies costs one row per task. An anti-join would bring
-    all copies to one task. Copies are written out again at the end, spread over tasks.
+    all copies to one task. Copies are written out again at the end, dealt out to all tasks.
     """
     names = [quote(n) for n in new.columns]
     sides = [
@@ -48,12 +48,22 @@ def snapshot_diff_by_hash(new: DataFrame, archive: DataFrame) -> DataFrame:
 
 
 def expand_copies(groups: DataFrame, copies: str) -> DataFrame:
-    """One row per copy. Large groups are cut into runs that are rebalanced over tasks before they are written out."""
-    n = column(copies)
-    runs = groups.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _RUN))))
-    runs = runs.hint("rebalance").withColumn("_len", F.least(F.lit(_RUN).cast("long"), n - F.col("_run") * _RUN))
-    names = [c for c in groups.columns if c != copies]
-    return runs.select(*columns(names), F.explode(F.array_repeat(F.lit(True), F.col("_len").cast("int"))).alias("_one")).drop("_one")
+    """One row per copy.
+
+    Single rows pass through. Repeated ones are cut into runs, and the runs are dealt out evenly before they are
+    written out; a shuffle sized by bytes would put them all into one task, as a run is one short row. Both branches
+    read the same shuffle of the grouping.
+    """
+    n, names = quote(copies), [quote(c) for c in groups.columns if c != copies]
+    tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = (
+        groups.where(f"{n} > 1")
+        .selectExpr("*", f"explode(sequence(0L, CAST(floor(({n} - 1) / {_RUN}) AS LONG))) AS _run")
+        .repartition(tasks)
+        .selectExpr(*names, f"explode(array_repeat(true, CAST(least({_RUN}, {n} - _run * {_RUN}) AS INT))) AS _one")
+        .drop("_one")
+    )
+    return groups.where(f"{n} = 1").selectExpr(*names).unionAll(runs)
 
 
 def _groupable(df: DataFrame) -> DataFrame:

@@ -68,15 +68,18 @@ class Loader:
 
     ``parallel`` jobs run at a time: small objects then share the cluster instead of queueing. ``buckets`` keeps
     targets bucketed by key, so that merges move the increment only. ``zone`` is the wall clock of all stamps.
+    ``addresses`` by source and ``target_name`` (database, schema) only label the rows of the control table.
     """
 
     def __init__(self, spark: SparkSession, root: str, readers: dict[str, Reader], feeds: dict[str, Reader] | None = None,
                  allow_drop: bool = False, strict_casts: bool = True, buckets: int = 0, parallel: int = 1,
-                 zone: str = "UTC", keep_versions: int = 2, clock: Callable[[], datetime] | None = None):
+                 zone: str = "UTC", keep_versions: int = 2, addresses: dict[str, str] | None = None,
+                 target_name: tuple[str, str] | None = None, clock: Callable[[], datetime] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.readers, self.feeds = readers, feeds or {}
         self.allow_drop, self.strict_casts, self.buckets, self.parallel = allow_drop, strict_casts, buckets, parallel
         self.keep_versions = keep_versions
+        self.addresses, self.target_name = addresses or {}, target_name or (None, None)
         self.clock = clock or (lambda: datetime.now(ZoneInfo(zone)).replace(tzinfo=None))
         self._log = threading.Lock()
 
@@ -255,7 +258,8 @@ class Loader:
             last = self.control().agg(F.max("RUN_ID").alias("r")).first()["r"]
             row = {
                 "RUN_ID": (last or 0) + 1, "RUN_START": start, "RUN_END": end,
-                "DURATION_IN_SEC": (end - start).total_seconds(),
+                "DURATION_IN_SEC": (end - start).total_seconds(), "IP_ADDRESS": self.addresses.get(job.source),
+                "TARGET_DATABASE_NAME": self.target_name[0], "TARGET_SCHEMA_NAME": self.target_name[1],
                 "SOURCE_DATABASE_NAME": "-" if job.is_file else job.database_name,
                 "SOURCE_SCHEMA_NAME": "-" if job.is_file else job.schema_name,
                 "SOURCE_OBJECT_NAME": job.obj_name, "TARGET_TABLE_NAME": job.sf_tbl.upper(),

@@ -89,7 +89,7 @@ class ODataSource(DataSource):
     """``spark.read.format("odata").option("url", ...).option("entity", ...).schema(...)``.
 
     Options: ``url``, ``entity``, ``filter``, ``client`` (query text such as ``?key=value``), ``page`` (rows per
-    request), ``partitions`` (parallel readers), ``user_env`` / ``password_env`` (names of environment variables).
+    request), ``partitions`` (parallel readers), ``prefer`` (a Prefer header), ``user_env`` / ``password_env`` (names of environment variables).
     Each partition fetches every n-th page until an empty one, so pages go straight to the executors.
     """
 
@@ -103,6 +103,8 @@ class ODataSource(DataSource):
     @staticmethod
     def fetch(url: str, options: dict) -> bytes:
         request = urllib.request.Request(url, headers={"Accept": "application/json"})
+        if options.get("prefer"):
+            request.add_header("Prefer", options["prefer"])
         user = os.environ.get(options.get("user_env", "TIDEMARK_SAP_ODATA_USER"), "")
         if user:
             secret = os.environ.get(options.get("password_env", "TIDEMARK_SAP_ODATA_PASSWORD"), "")
