@@ -219,9 +219,9 @@ def test_files(spark, tmp_path):
     folder.mkdir()
 
     def land(body):
-        (folder / "x_ProductMaster_2024.csv").write_text('"Mat.Code ", Name ,added_date,Qty\n' + body)
+        (folder / "x_ItemList_2024.csv").write_text('"Mat.Code ", Name ,added_date,Qty\n' + body)
 
-    spec = job("productmaster", src_db_name=None, obj_type="FILE", primary_key_col="Mat.Code", insrt_time_col="added_date",
+    spec = job("itemlist", src_db_name=None, obj_type="FILE", primary_key_col="Mat.Code", insrt_time_col="added_date",
                updt_time_col="added_date", col_names=None)
     loader = Loader(spark, str(tmp_path / "lake"), {"file": readers.sheets(str(folder), "*.csv")}, clock=Clock())
     land('A1,  pin ,2024-01-01 10:00:00,5\nA2,"bolt\t",2024-01-02 10:00:00,6\n')
@@ -239,11 +239,11 @@ def test_job_table(spark, tmp_path):
     path = tmp_path / "jobs.csv"
     path.write_text(
         ",".join(JOB_COLUMNS) + "\n"
-        '1,SAP_ODATA,DB,SH,http://host/DELTA/,TABLE,OneSet,inserted_timestamp,inserted_timestamp,"Mandt,Vbeln, Posnr",*,NO,,ONE,OneSet,\'A\' eq \'1\' and \'DATE\' eq ,?c=1,yes\n'
+        '1,SAP_ODATA,DB,SH,http://host/DELTA/,TABLE,OneSet,inserted_timestamp,inserted_timestamp,"Client,Order, Item",*,NO,,ONE,OneSet,\'A\' eq \'1\' and \'DATE\' eq ,?c=1,yes\n'
         "2,sqlserver,d,dbo,-,table,two,a,b,id,*,YES,two_del,TWO,-,-,-\n"
         ",,,,,,,,,,,,,,,,,\n\n")
     one, two = read_jobs(spark, str(path))
-    assert one.keys == ["Mandt", "Vbeln", "Posnr"] and one.filter_value.endswith("eq ") and one.is_master and not one.deletes
+    assert one.keys == ["Client", "Order", "Item"] and one.filter_value.endswith("eq ") and one.is_master and not one.deletes
     assert two.deletes and two.service_url is None and two.master_tbl is None
     old = tmp_path / "old.csv"
     old.write_text("CONTROL_ID,SRC_DB_NAME,OBJ_NAME,OBJ_TYPE,SF_TBL,PRIMARY_KEY_COL\n1,sqlserver,x,table,X,id\n")
@@ -312,7 +312,7 @@ def test_bucketed_targets(spark, tmp_path, source):
 def service():
     """A delta service: answers with the entities of the asked day, or with all."""
     metadata = """<edmx:Edmx xmlns:edmx="http://schemas.microsoft.com/ado/2007/06/edmx"><edmx:DataServices>
-        <Schema xmlns="http://schemas.microsoft.com/ado/2008/09/edm"><EntityType Name="OS_ADRC">
+        <Schema xmlns="http://schemas.microsoft.com/ado/2008/09/edm"><EntityType Name="Address">
         <Property Name="Client" Type="Edm.String"/><Property Name="Nr" Type="Edm.Int32"/><Property Name="Day" Type="Edm.DateTime"/>
         <Property Name="Tags" Type="Edm.String"/></EntityType></Schema></edmx:DataServices></edmx:Edmx>"""
 
@@ -338,8 +338,8 @@ def service():
 
 
 def test_odata_delta_service(spark, tmp_path):
-    spec = job("OS_ADRCSet", src_db_name="SAP_ODATA", service_url="http://h/DELTA_SRV/", entity_value="OS_ADRCSet", client="?c=1",
-               primary_key_col="Client,Nr", insrt_time_col="Day", updt_time_col="Day", sf_tbl="ADRC")
+    spec = job("AddressSet", src_db_name="SAP_ODATA", service_url="http://h/DELTA_SRV/", entity_value="AddressSet", client="?c=1",
+               primary_key_col="Client,Nr", insrt_time_col="Day", updt_time_col="Day", sf_tbl="ADDRESS")
     loader = Loader(spark, str(tmp_path / "lake"), {"sap_odata": readers.entities(service=service(), page=3, partitions=2)}, clock=Clock())
     first = loader.full_load([spec])[0]
     assert (first.error, first.inserted, first.mark) == ("-", 7, ts("2024-01-07"))

@@ -114,7 +114,7 @@ def test_times_do_not_depend_on_the_session_zone(spark):
 
 def test_headers():
     assert names.clean_header(" Mat.\nCode    x  y ") == "Mat.Code x  y"
-    assert names.split_list("Mandt, Vbeln,Posnr") == ["Mandt", "Vbeln", "Posnr"]
+    assert names.split_list("Client, Order,Item") == ["Client", "Order", "Item"]
     assert names.quote("a`b.c") == "`a``b.c`"
 
 
@@ -199,10 +199,10 @@ def test_drift_and_evolution(spark):
     ("'P' eq '1' and 'DATE' eq ", "x", "20240101", "'P' eq '1' and 'DATE' eq '20240101'"),
     ("'P' eq '1'", "DELTA", "20240101", "'P' eq '1'"),
     (None, "plain", "20240101", None),
-    (None, "DATA_DELTA_SRV", "20240101", "'DATE' eq '20240101'"),
+    (None, "ORDERS_DELTA", "20240101", "'DATE' eq '20240101'"),
     ("'P' eq '1' and 'DATE' eq ", "x", None, "'P' eq '1'"),
     ("'DATE' eq ", "x", None, None),
-    (None, "DATA_DELTA_SRV", None, None),
+    (None, "ORDERS_DELTA", None, None),
 ])
 def test_odata_filters(given, url, mark, want):
     assert filter_text(given, url, mark) == want

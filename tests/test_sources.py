@@ -60,7 +60,7 @@ def test_typed_catalog_and_target_columns(spark):
 EDMX = """<?xml version="1.0" encoding="utf-8"?>
 <edmx:Edmx Version="1.0" xmlns:edmx="http://schemas.microsoft.com/ado/2007/06/edmx"><edmx:DataServices>
 <Schema xmlns="http://schemas.microsoft.com/ado/2008/09/edm">
-<EntityType Name="OS_ADRC"><Key><PropertyRef Name="Client"/></Key><Property Name="Client" Type="Edm.String" MaxLength="3"/>
+<EntityType Name="Address"><Key><PropertyRef Name="Client"/></Key><Property Name="Client" Type="Edm.String" MaxLength="3"/>
 <Property Name="Date" Type="Edm.DateTime"/></EntityType>
 <EntityType Name="Other"><Property Name="X" Type="Edm.Int32"/></EntityType>
 </Schema></edmx:DataServices></edmx:Edmx>"""
@@ -68,7 +68,7 @@ EDMX = """<?xml version="1.0" encoding="utf-8"?>
 
 def test_edmx_files(spark, tmp_path):
     (tmp_path / "m.xml").write_text(EDMX)
-    found = catalog.of_entity_set(catalog.read_edmx(spark, str(tmp_path)), "os_adrcSet")
+    found = catalog.of_entity_set(catalog.read_edmx(spark, str(tmp_path)), "addressSet")
     assert sorted((r.column_name, r.data_type) for r in found.collect()) == [("Client", "Edm.String"), ("Date", "Edm.DateTime")]
     more = catalog.with_synthetic(found)
     assert more.count() == 3 and catalog.with_synthetic(more).count() == 3
@@ -76,7 +76,7 @@ def test_edmx_files(spark, tmp_path):
 
 def test_metadata_document(spark):
     text = EDMX.replace('<Property Name="Date" Type="Edm.DateTime"/>', '<Property Name="Amt" Type="Edm.Decimal" Precision="13" Scale="3"/>')
-    found = catalog.of_entity_set(catalog.metadata_columns(spark, text), "OS_ADRCSet")
+    found = catalog.of_entity_set(catalog.metadata_columns(spark, text), "AddressSet")
     assert sorted((r.column_name, r.data_type) for r in found.collect()) == [("Amt", "Edm.Decimal(13,3)"), ("Client", "Edm.String")]
 
 

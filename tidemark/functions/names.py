@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def split_list(text: str) -> list[str]:
-    """``"Mandt, Vbeln,Posnr"`` -> ``["Mandt", "Vbeln", "Posnr"]``."""
+    """``"Client, Order,Item"`` -> ``["Client", "Order", "Item"]``."""
     return [part.strip() for part in text.split(",") if part.strip()]
 
 

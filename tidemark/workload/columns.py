@@ -249,7 +249,7 @@ def odata_flatten(spark, sf_dir):
     return plain(e)
 
 
-_SERVICE = "http://service/DATA_LOAD_{}SRV/"
+_SERVICE = "http://service/{}ORDERS/"
 
 
 def odata_filter_cases(spark, sf_dir):
