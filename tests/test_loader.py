@@ -180,8 +180,10 @@ def test_empty_extract_creates_the_table(spark, loader, source):
 def test_synthetic_load_time_and_column_list(spark, loader, source):
     spec = job(insrt_time_col="inserted_timestamp", updt_time_col="inserted_timestamp", col_names="id, name")
     source.tables["people"] = frame(spark, (1, "a", 1.0, None, None), (2, "b", 1.0, None, None))
+    loader.overrides = {("people", "id"): "string"}
     out = loader.full_load([spec])[0]
     assert out.inserted == 2 and out.mark == ts("2024-06-01 00:00:01")
+    assert loader.table(spec).read().schema["id"].dataType.simpleString() == "string"
     assert loader.table(spec).read().columns[:3] == ["id", "name", "inserted_timestamp"]
 
 

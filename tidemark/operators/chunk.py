@@ -19,7 +19,7 @@ def assign_chunks(df: DataFrame, id_col: str, size: int, buckets: int | None = N
     and may be numbered in any order; they are spread over ``buckets`` parts, written to the shared folder first
     so that counting and numbering see the same parts.
     """
-    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or min(2000, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     at = [i / buckets for i in range(1, buckets)]
     found = df.agg(F.percentile_approx(column(id_col), at or [0.5], max(10_000, 10 * buckets)).alias("q")).first()["q"] or []
     cuts = sorted(set(found))

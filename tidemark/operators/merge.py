@@ -21,7 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.names import column, columns, quote
+from tidemark.functions.names import columns, quote
 from tidemark.functions.rows import any_null, comparable, differs, order_key
 from tidemark.functions.times import ntz
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions.names import column, columns, quote
+from tidemark.functions.names import columns, quote
 from tidemark.functions.rows import comparable, orderable, row_hash
 from tidemark.operators.merge import delete_by_feed
 

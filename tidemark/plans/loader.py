@@ -68,17 +68,20 @@ class Loader:
 
     ``parallel`` jobs run at a time: small objects then share the cluster instead of queueing. ``buckets`` keeps
     targets bucketed by key, so that merges move the increment only. ``zone`` is the wall clock of all stamps.
+    ``overrides`` gives (table, column) another Spark type.
     ``addresses`` by source and ``target_name`` (database, schema) only label the rows of the control table.
     """
 
     def __init__(self, spark: SparkSession, root: str, readers: dict[str, Reader], feeds: dict[str, Reader] | None = None,
                  allow_drop: bool = False, strict_casts: bool = True, buckets: int = 0, parallel: int = 1,
                  zone: str = "UTC", keep_versions: int = 2, addresses: dict[str, str] | None = None,
-                 target_name: tuple[str, str] | None = None, clock: Callable[[], datetime] | None = None):
+                 target_name: tuple[str, str] | None = None, overrides: dict[tuple[str, str], str] | None = None,
+                 clock: Callable[[], datetime] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.readers, self.feeds = readers, feeds or {}
         self.allow_drop, self.strict_casts, self.buckets, self.parallel = allow_drop, strict_casts, buckets, parallel
         self.keep_versions = keep_versions
+        self.overrides = {(t.lower(), c.lower()): kind for (t, c), kind in (overrides or {}).items()}
         self.addresses, self.target_name = addresses or {}, target_name or (None, None)
         self.clock = clock or (lambda: datetime.now(ZoneInfo(zone)).replace(tzinfo=None))
         self._log = threading.Lock()
@@ -215,6 +218,9 @@ class Loader:
             return document_rows(got.rows, job)
         rows = project(got.rows, job.col_names)
         rows = cast_to(rows, got.schema, self.strict_casts) if got.schema is not None else rows
+        kinds = {c: self.overrides.get((job.obj_name.lower(), c.lower())) for c in rows.columns}
+        if any(kinds.values()):
+            rows = rows.withColumns({c: column(c).cast(kind) for c, kind in kinds.items() if kind})
         if job.insrt_time_col == SYNTHETIC:
             rows = stamp_column(rows, SYNTHETIC, stamp)
         return rows

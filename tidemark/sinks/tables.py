@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -82,7 +83,8 @@ class VersionedTable:
 
     def _table_name(self, version: int) -> str:
         base = re.sub(r"\W", "_", self.path.split("/")[-1])
-        return f"`{base}_v{version:08d}`"
+        place = hashlib.sha256(self.path.encode()).hexdigest()[:12]  # tables of the same name in other folders
+        return f"`{base}_{place}_v{version:08d}`"
 
 
 def target_struct(schema: T.StructType) -> T.StructType:

@@ -20,7 +20,7 @@ from tidemark.sinks.tables import VersionedTable, with_load_time
 from tidemark.streaming.upsert import drop_repeats, read_landing, upsert_stream
 from tidemark.workload import fixtures as fx
 from tidemark.workload.fixtures import (
-    CONTROL, CUT, FEED, LATEST, MERGED_COLUMNS, OLD_STAMP, ORDER_COLUMNS, SNAPSHOTS, STAGE, STAMP, TARGET,
+    CONTROL, FEED, LATEST, MERGED_COLUMNS, OLD_STAMP, ORDER_COLUMNS, SNAPSHOTS, STAGE, STAMP, TARGET,
     TIMED_ORDERS, merge_sql, table,
 )
 
