@@ -101,7 +101,8 @@ class _Rules:
         keys = [quote(k) for k in self.keys]
         # distinct() collapses repeated keys map-side before they are shuffled
         present = target.selectExpr(*keys).join(source.selectExpr(*keys), self.keys, "left_semi").distinct()
-        return kept.unionAll(self.inserted(source.join(present, self.keys, "left_anti")))
+        # inserts first: finding one takes a scan of the target's keys only (see has_changes)
+        return self.inserted(source.join(present, self.keys, "left_anti")).unionAll(kept)
 
     def kept(self, target):
         return target.selectExpr(*self.quoted, INSERTED, UPDATED, f"'keep' AS {ACTION}")
