@@ -349,3 +349,27 @@ def test_odata_delta_service(spark, tmp_path):
     second = loader.full_load([spec])[0]
     assert (second.error, second.inserted, second.updated) == ("-", 0, 1)
     assert ("1", 6, "changed") in state(loader, spec, "Client", "Nr", "Tags")
+
+
+def test_relational_reader_asks_for_the_right_tables(spark, monkeypatch):
+    asked = []
+    rows = frame(spark, (1, "a", 1.0, ts("2024-01-01"), None), (2, "b", 1.0, ts("2024-02-01"), None))
+    monkeypatch.setattr(readers.jdbc, "read_table", lambda s, o, table, cols=None, split=None: asked.append((table, cols, split)) or rows)
+    monkeypatch.setattr(readers.jdbc, "read_query", lambda s, o, query, split=None: asked.append(query) or spark.sql("SELECT 1 AS low, 9 AS high"))
+    spec = job(is_deletion="yes", deleted_tbl="people_deleted", col_names="id, name")
+    readers.relational("postgresql", {"url": "x"}, {"people": "id"}, partitions=4)(spark, spec, None)
+    feed = readers.relational_deletes("postgresql", {"url": "x"})(spark, spec, "2024-01-15 00:00:00")
+    assert asked == ["SELECT MIN(id) AS low, MAX(id) AS high FROM public.people",
+                     ("public.people", "id, name", readers.jdbc.Split("id", "1", "9", 4)), ("public.people_deleted", None, None)]
+    assert [tuple(r) for r in feed.collect()] == [(2, ts("2024-02-01"))]
+
+
+def test_collection_reader_gives_whole_documents(spark, tmp_path, monkeypatch):
+    schema = "_id string, createdAt timestamp_ntz, updatedAt timestamp_ntz, wallet struct<balance:double>"
+    rows = frame(spark, ("1", ts("2024-01-01"), None, (1.5,)), ("2", ts("2024-01-02"), ts("2024-01-03 10:00:00.25"), None), schema=schema)
+    monkeypatch.setattr(readers.documents, "read_collection", lambda s, uri, db, name, mark: rows)
+    spec = job("members", src_db_name="mongodb", obj_type="collection", primary_key_col="_id", insrt_time_col="createdAt", updt_time_col="updatedAt")
+    loader = Loader(spark, str(tmp_path / "lake"), {"mongodb": readers.collection("uri")}, clock=Clock())
+    out = loader.full_load([spec])[0]
+    assert (out.error, out.inserted, out.mark) == ("-", 2, ts("2024-01-03 10:00:00.25"))
+    assert state(loader, spec, "_id", F.get_json_object(DOCUMENT, "$.wallet.balance")) == [("1", "1.5"), ("2", None)]

@@ -112,6 +112,17 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_now_in_a_zone(spark):
+    utc, local = spark.range(1).select(times.now(), times.now("Asia/Kolkata")).first()
+    assert local - utc == dt.timedelta(hours=5, minutes=30)
+    assert abs(utc - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(minutes=1)
+
+
+def test_synthetic_time_is_added_once(spark):
+    df = times.stamp_column(spark.range(1), "inserted_timestamp", "2030-01-01 00:00:00")
+    assert times.stamp_column(df, "inserted_timestamp", "2031-01-01 00:00:00").first()["inserted_timestamp"] == dt.datetime(2030, 1, 1)
+
+
 def test_headers():
     assert names.clean_header(" Mat.\nCode    x  y ") == "Mat.Code x  y"
     assert names.split_list("Client, Order,Item") == ["Client", "Order", "Item"]

@@ -50,7 +50,11 @@ def upsert_stream(stream: DataFrame, table: VersionedTable, keys, insert_col: st
 
 
 def drop_repeats(stream: DataFrame, keys, time_col: str, lateness: str = "10 minutes") -> DataFrame:
-    """First arrival per key within ``lateness``; state older than that is dropped."""
+    """First arrival per key within ``lateness``; state older than that is dropped.
+
+    All rows of a key pass through one task. A source in which one key floods the stream belongs into
+    :func:`upsert_stream`, which keeps one row per key and task before its shuffle.
+    """
     return stream.withWatermark(time_col, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
