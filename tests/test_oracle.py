@@ -34,7 +34,10 @@ def rows_of(names, rows):
     return sorted(tuple(canonical(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+OWN = {**entry.loads.QUERIES, **entry.columns.QUERIES}
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_sql(spark, sf_dir, oracle, name):
     df = entry.queries()[name](spark, sf_dir)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
@@ -49,7 +52,7 @@ def test_query_matches_sql(spark, sf_dir, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
