@@ -5,9 +5,10 @@
 2. Signatures are cut into bands. Classes that share a band meet the smallest class of that band, never each other: a star per
    band. Pairs whose lengths or signatures rule out the threshold go before any text moves.
 3. The rest is verified on whole texts; verified links give components.
-4. Where a band still joins different components, its members meet across components. Distances to the band's first class bound
-   the others (Jaccard distance is a metric), so only members in neighbouring distance rings meet. Their links complete
-   the components.
+4. Classes of bands that still hold different components are open. Two sets that reach the threshold share one of their
+   rarest shingles, if each brings n - ceil(threshold n) + 1 of them in a common order. Shingles of one component alone come first
+   in that order, common passages last, so that only few open classes meet. Classes outside a large component are counted
+   against its members in cells of bounded size, the rest in pairs. Their links complete the components.
 
 A pair at the threshold shares no band with a chance of (1 - 0.75**4)**32 = 5e-6, and is dropped by its signature with
 less than that.
@@ -74,6 +75,52 @@ def _verify(width: int):
     return run
 
 
+def _spread(width: int):
+    """The number and the hashes of each text's shingles."""
+
+    def run(batches):
+        for batch in batches:
+            parts, sizes = [], [0]
+            for _, hashes, ends in shingle_sets(batch.column("text"), width):
+                parts.append(hashes)
+                sizes.extend(np.diff(ends).tolist())
+            flat = np.concatenate(parts) if parts else np.zeros(0, dtype=U)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("cid"), pa.array(sizes[1:], pa.int32()),
+                pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(flat.view(np.int64))),
+            ], names=["cid", "n", "g"])
+
+    return run
+
+
+def _meet(percent: int):
+    """One link from each left set into the right ones, if there is any; exact, by counting over an inverted list."""
+
+    def run(left, right):
+        out, sizes = ([], []), right.column("n").to_numpy()
+        if left.num_rows and right.num_rows:
+            tokens = right.column("g").combine_chunks()
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            flat = tokens.flatten().to_numpy()
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            ids = right.column("cid").to_numpy()
+            for cid, n, own in zip(left.column("cid").to_pylist(), left.column("n").to_pylist(), left.column("g")):
+                own = own.values.to_numpy()
+                first, last = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                some = last > first
+                first, length = first[some], (last - first)[some]
+                at = np.repeat(first - np.concatenate([[0], np.cumsum(length)[:-1]]) if len(length) else first, length) + np.arange(length.sum())
+                both = np.bincount(owner[at], minlength=len(sizes))
+                linked = np.flatnonzero(100 * both >= percent * (n + sizes - both))
+                if len(linked):
+                    out[0].append(cid)
+                    out[1].append(int(ids[linked[0]]))
+        return pa.table([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+
+    return run
+
+
 class NearDuplicates:
     """Groups ``docs`` by the links between texts that share ``percent`` of all their distinct shingles.
 
@@ -84,8 +131,9 @@ class NearDuplicates:
     """
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5,
-                 bands: int = 32, rows: int = 4, floor: float = 0.5):
+                 bands: int = 32, rows: int = 4, floor: float = 0.5, large: int = 32, cell: int = 1_000_000):
         self.percent, self.width, self.bands, self.rows, self.floor = percent, width, bands, rows, floor
+        self.large, self.cell = large, cell
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("rk"),
                                 F.col(text_col).cast("string").alias("text"))
 
@@ -100,11 +148,14 @@ class NearDuplicates:
                       "near-classes")
 
     def buckets(self, classes: DataFrame) -> DataFrame:
-        """(band, cid, lead) of the bands that more than one class has, lead being the smallest class there."""
-        band = [F.xxhash64(F.slice("sig", b * self.rows + 1, self.rows), F.lit(b)) for b in range(self.bands)]
-        rows = classes.select("cid", F.explode(F.array(*band)).alias("band"))
-        shared = rows.groupBy("band").agg(F.min("cid").alias("lead"), F.max("cid").alias("last")).where("lead != last")
-        return staged(rows.join(shared.select("band", "lead"), "band"), "near-buckets")
+        """(band, cid, lead) of the bands that more than one class has. Leads are drawn anew for every fourth part of the bands, so
+        that a large group has several centres."""
+        band = [F.struct(F.xxhash64(F.slice("sig", b * self.rows + 1, self.rows), F.lit(b)).alias("band"), F.lit(b % 4).alias("turn"))
+                for b in range(self.bands)]
+        rows = classes.select("cid", F.explode(F.array(*band)).alias("b")).select("cid", "b.band", F.xxhash64("cid", "b.turn").alias("draw"))
+        shared = rows.groupBy("band").agg(F.min("draw").alias("draw"), F.max("draw").alias("last")).where("draw != last")
+        leads = rows.join(shared.select("band", "draw"), ["band", "draw"]).groupBy("band").agg(F.min("cid").alias("lead"))
+        return staged(rows.select("band", "cid").join(leads, "band"), "near-buckets")
 
     def verified(self, pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
         """(a, b, both, either) of those pairs that lengths and signatures leave possible."""
@@ -122,23 +173,56 @@ class NearDuplicates:
     def _links(self, checked: DataFrame) -> DataFrame:
         return checked.where(f"100 * both >= {self.percent} * either").select("a", "b")
 
-    def across(self, buckets: DataFrame, roots: DataFrame, checked: DataFrame) -> DataFrame:
-        """Pairs of classes of different components that share a band and that distances to its first class do not rule out."""
-        step = 1 - self.percent / 100
+    def open_classes(self, buckets: DataFrame, roots: DataFrame) -> DataFrame:
+        """(cid, root) of the classes of bands that hold more than one component."""
         root = F.coalesce("root", "cid").alias("root")
-        member = buckets.join(roots, buckets.cid == roots.node, "left").select("band", "cid", "lead", root)
+        member = buckets.join(roots, buckets.cid == roots.node, "left").select("band", "cid", root)
         mixed = member.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
-        known = checked.select(F.col("a").alias("cid"), F.col("b").alias("lead"), (1 - F.col("both") / F.col("either")).alias("d"))
-        member = member.join(mixed, "band").join(known, ["cid", "lead"], "left")
-        # Rings of one threshold's width around the first class; members that were not measured may lie beyond the first ring.
-        ring = F.when(F.col("cid") == F.col("lead"), F.array(F.lit(0))).when(F.col("d").isNull(), F.sequence(F.lit(1), F.lit(int(1 / step))))
-        member = staged(member.select("band", "cid", "root", F.explode(
-            ring.otherwise(F.array(F.floor(F.col("d") / step + 1e-12).cast("int")))).alias("ring")), "near-rings")
-        left = member.select("band", F.col("cid").alias("a"), F.col("root").alias("a_root"), F.explode(F.array("ring", F.col("ring") + 1)).alias("ring"))
-        right = member.select("band", F.col("cid").alias("b"), F.col("root").alias("b_root"), "ring")
-        met = left.join(right, ["band", "ring"]).where("a_root != b_root")
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return met.join(checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        return staged(member.join(mixed, "band").select("cid", "root").distinct(), "near-open")
+
+    def rare_shingles(self, sets: DataFrame, roots: DataFrame) -> DataFrame:
+        """(cid, root, n, most, g): the rarest shingles of open classes, by which classes of different components can reach the
+        threshold; ``most`` of their shingles occur in several components, which bounds what two classes share."""
+        each = sets.join(roots, sets.cid == roots.node, "left").select("cid", F.coalesce("root", "cid").alias("root"), "n", F.explode("g").alias("g"))
+        crossing = each.groupBy("g").agg(F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+        own = each.join(crossing.select("g", "df"), "g").groupBy("cid", "root", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("g"))
+        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1 - (F.col("n") - F.size("g"))
+        rare = own.withColumn("take", prefix.cast("int")).where("take > 0").select(
+            "cid", "root", "n", F.size("g").alias("most"), F.explode(F.slice("g", F.lit(1), F.col("take"))).alias("x"))
+        return staged(rare.select("cid", "root", "n", "most", "x.g"), "near-rare")
+
+    def against_large(self, rare: DataFrame, large: DataFrame, sets: DataFrame) -> DataFrame:
+        """(a, b): for each open class and each large component outside it with which it shares a rare shingle, one link if any.
+
+        Members and outsiders of a component meet in a grid of cells of bounded size, in which overlaps are counted by an
+        inverted list; pairs are never rows. Of two large components the smaller one counts as outside.
+        """
+        rows = rare.join(large, "root", "left").select("g", "cid", "root", F.coalesce("m", F.lit(0)).alias("m"))
+        inside = rows.where("m > 0").select("g", F.col("root").alias("into"), F.col("m").alias("into_m")).distinct()
+        before = F.struct("m", "root") < F.struct(F.col("into_m").alias("m"), F.col("into").alias("root"))
+        outside = rows.join(inside, "g").where(before).select("cid", "into").distinct()
+        outside = staged(outside.join(sets, "cid").select("cid", "n", "g", "into"), "near-outside")
+        inside = rare.select("cid", "root").distinct().join(large.select("root"), "root").join(sets, "cid").select("cid", "n", "g", F.col("root").alias("into"))
+        parts = inside.groupBy("into").agg(F.ceil(F.sum("n") / self.cell).cast("int").alias("i_n")).join(
+            outside.groupBy("into").agg(F.ceil(F.sum("n") / self.cell).cast("int").alias("j_n")), "into")
+
+        def dealt(side, own, other):
+            place = F.pmod(F.xxhash64("cid"), F.col(f"{own}_n").cast("long")).cast("int").alias(own)
+            return side.join(parts, "into").select("into", "cid", "n", "g", place, F.explode(F.sequence(F.lit(0), F.col(f"{other}_n") - 1)).alias(other))
+
+        key = ["into", "i", "j"]
+        met = dealt(outside, "j", "i").groupBy(*key).cogroup(dealt(inside, "i", "j").groupBy(*key))
+        return met.applyInArrow(_meet(self.percent), "a long, b long")
+
+    def across(self, rare: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs of classes of different components that share one of their rarest shingles and enough shingles at all."""
+        rare = staged(rare.join(roots, rare.cid == roots.node, "left").select(
+            "g", "cid", "n", "most", F.coalesce(roots.root, "cid").alias("root")), "near-rooted")
+        left = rare.select("g", F.col("cid").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("most").alias("a_most"))
+        right = rare.select("g", F.col("cid").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"), F.col("most").alias("b_most"))
+        most = F.least("a_most", "b_most")
+        return left.join(right, "g").where("a < b and a_root != b_root").where(
+            100 * most >= self.percent * (F.col("a_n") + F.col("b_n") - most)).select("a", "b").distinct()
 
     def groups(self) -> DataFrame:
         """doc_id, rk (hash of the text), n_shingles, component_id, kept; one row per row of ``docs``."""
@@ -150,10 +234,20 @@ class NearDuplicates:
         texts = staged(found.select("cid", "text"), "near-texts")
         stars = buckets.where("cid != lead").select(F.col("cid").alias("a"), F.col("lead").alias("b")).distinct()
         checked = staged(self.verified(stars, classes, texts), "near-checked", rows=500)
-        roots = components(self._links(checked), "near-roots")
-        more = self._links(staged(self.verified(self.across(buckets, roots, checked), classes, texts), "near-across", rows=500))
+        links = self._links(checked)
+        roots = components(links, "near-roots")
+        opened = self.open_classes(buckets, roots).join(texts, "cid").select("cid", "text")
+        sets = staged(opened.mapInArrow(_spread(self.width), "cid long, n int, g array<long>").dropDuplicates(["cid"]), "near-sets")
+        rare = self.rare_shingles(sets, roots)
+        large = staged(rare.select("cid", "root").distinct().groupBy("root").agg(F.count("*").alias("m")).where(F.col("m") >= self.large), "near-large")
+        joined = staged(self.against_large(rare, large, sets), "near-joined")
+        if not joined.isEmpty():
+            links = links.union(joined)
+            roots = components(links, "near-roots")
+        pairs = self.across(rare.join(large, "root", "left_anti").drop("root"), roots)
+        more = self._links(staged(self.verified(pairs, classes, texts), "near-more", rows=500))
         if not more.isEmpty():
-            roots = components(self._links(checked).union(more), "near-roots")
+            roots = components(links.union(more), "near-roots")
         rooted = classes.join(roots, classes.cid == roots.node, "left").select("f1", "f2", "n", "least", F.coalesce("root", "cid").alias("root"))
         named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
         of_class = rooted.join(named, "root").select("f1", "f2", "n", "component_id")
