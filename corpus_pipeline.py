@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import near_dedup, queries, toxicity
+from tidemark.llm import decontaminate, mixing, near_dedup, queries, sharding, toxicity
 from tidemark.llm.common import staged
 
 
@@ -26,9 +26,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(kept.distinct().hint("shuffle_hash"), same, "left_semi")
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return decontaminate.clean_documents(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources reach their target weights: a document is repeated or left out as the mixture takes it."""
+    return mixing.Mixture(docs).documents()
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row gets its shard; repeats of a document share one."""
+    return sharding.place(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixture", mix_sources),
+    ("shards", shard),
 ]
 
 ORACLE_SQL = None
