@@ -16,18 +16,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import ascii_lower, staged
 
-#: Words of a text before and after A-Z are lower-cased; both cut a text alike.
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Between words. Before and after A-Z are lower-cased, a text is cut alike.
+BREAK = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
 KEY = ["doc_id", "rk"]
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(ANY_CASE), F.lit(0))
+def cut(text: Column) -> Column:
+    """The words of a text, and an empty one after them if something else ends it."""
+    return F.split(F.regexp_replace(F.coalesce(text, F.lit("")), f"^{BREAK}", ""), BREAK)
 
 
-def _folded(text: Column) -> Column:
-    """Words before lower-casing; terms are folded one by one, which is coarser than A-Z alone. Step 3 is exact."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(ANY_CASE), F.lit(0))
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once; an alias could be put in place of each use, inside loops too."""
+    return F.transform(F.array(value), use)[0]
+
+
+def number_of(text: Column) -> Column:
+    return once(cut(text), lambda words: (F.size(words) - (F.element_at(words, -1) == "").cast("int")).cast("long"))
 
 
 class TestItemIndex:
@@ -41,7 +46,7 @@ class TestItemIndex:
                  item_col: str = "item_id", item_text: str = "text", block: int = 200_000):
         self.window, self.text_col = window, text_col
         self.docs = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("rk"))
-        words = words_of(F.col(item_text))
+        words = F.filter(cut(ascii_lower(F.col(item_text))), lambda w: w != "")
         items = items.select(F.col(item_col).cast("string").alias("item_id"), words.alias("words")).where(F.size("words") > 0)
         self.items = staged(items.distinct().withColumn("item", F.monotonically_increasing_id()), "decon-items")
         terms = self.items.select(F.sum(F.size("words"))).first()[0] or 0
@@ -54,9 +59,10 @@ class TestItemIndex:
         return items.select("item", F.posexplode("words").alias("j", "word")).select("item", "j", F.lower("word").alias("term"))
 
     def postings(self, items: DataFrame) -> DataFrame:
-        """(term, doc_id, rk, pos) of every document word that is a term of ``items``."""
+        """(term, doc_id, rk, pos) of every document word that is a term of ``items``. Terms are lower-cased one by one, which is
+        coarser than A-Z alone; the comparison of step 3 is exact."""
         terms = self.places(items).select("term").distinct()
-        words = self.docs.select(*KEY, F.posexplode(_folded(F.col("row")[self.text_col])).alias("pos", "word"))
+        words = self.docs.select(*KEY, F.posexplode(cut(F.col("row")[self.text_col])).alias("pos", "word"))
         words = words.select(*KEY, "pos", F.lower("word").alias("term"))
         return staged(words.join(F.broadcast(terms), "term", "left_semi"), "decon-postings")
 
@@ -118,19 +124,19 @@ class TestItemIndex:
         cases = cases.select(F.col("doc_id").alias("c_id"), F.col("rk").alias("c_rk"), "cases")
         same = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("rk") == F.col("c_rk"))
         text = F.col("row")[self.text_col]
-        rows = self.docs.join(cases.hint("shuffle_hash"), same, "left").select(
-            "row", "doc_id", "cases", F.coalesce(F.regexp_count(text, F.lit(ANY_CASE)), F.lit(0)).cast("long").alias("n_words"),
-            F.when(F.col("cases").isNotNull(), words_of(text)).alias("words"))
+        rows = self.docs.join(cases.hint("shuffle_hash"), same, "left")
 
-        def passages(case):
+        def passages(words, case):
             length = F.least(F.lit(self.window), F.size(case["words"]))
-            starts = F.filter(F.sequence(F.lit(0), F.size(case["words"]) - length), lambda o: (case["shift"] + o >= 0) & (
-                F.slice(F.col("words"), F.greatest(case["shift"] + o + 1, F.lit(1)), length) == F.slice(case["words"], o + 1, length)))
+            starts = F.filter(F.sequence(F.lit(0), F.size(case["words"]) - length), lambda o: (case["shift"] + o >= 0) & (F.transform(
+                F.slice(words, F.greatest(case["shift"] + o + 1, F.lit(1)), length), ascii_lower) == F.slice(case["words"], o + 1, length)))
             return F.transform(starts, lambda o: F.struct(
                 case["item_id"].alias("item_id"), (case["shift"] + o).alias("start"), length.alias("length")))
 
-        found = F.when(F.col("cases").isNull(), F.array()).otherwise(F.flatten(F.transform("cases", passages)))
-        return rows.select("row", "doc_id", "n_words", found.cast("array<struct<item_id:string,start:int,length:int>>").alias("passages"))
+        found = F.when(F.col("cases").isNull(), F.array()).otherwise(once(cut(text), lambda words: F.flatten(
+            F.transform("cases", lambda case: passages(words, case)))))
+        return rows.select("row", "doc_id", number_of(text).alias("n_words"),
+                           found.cast("array<struct<item_id:string,start:int,length:int>>").alias("passages"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
