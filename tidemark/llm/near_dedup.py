@@ -94,7 +94,7 @@ def _spread(width: int):
 
 
 def _meet(percent: int):
-    """One link from each left set into the right ones, if there is any; exact, by counting over an inverted list."""
+    """Links from left sets to right ones: to each that is marked so, and to one of the others; exact, by an inverted list."""
 
     def run(left, right):
         out, sizes = ([], []), right.column("n").to_numpy()
@@ -104,7 +104,7 @@ def _meet(percent: int):
             flat = tokens.flatten().to_numpy()
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
-            ids = right.column("cid").to_numpy()
+            ids, each = right.column("cid").to_numpy(), right.column("each").to_numpy()
             for cid, n, own in zip(left.column("cid").to_pylist(), left.column("n").to_pylist(), left.column("g")):
                 own = own.values.to_numpy()
                 first, last = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
@@ -113,9 +113,9 @@ def _meet(percent: int):
                 at = np.repeat(first - np.concatenate([[0], np.cumsum(length)[:-1]]) if len(length) else first, length) + np.arange(length.sum())
                 both = np.bincount(owner[at], minlength=len(sizes))
                 linked = np.flatnonzero(100 * both >= percent * (n + sizes - both))
-                if len(linked):
-                    out[0].append(cid)
-                    out[1].append(int(ids[linked[0]]))
+                linked = np.concatenate([linked[each[linked]], linked[~each[linked]][:1]])
+                out[0].extend([cid] * len(linked))
+                out[1].extend(ids[linked].tolist())
         return pa.table([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
 
     return run
@@ -191,38 +191,45 @@ class NearDuplicates:
             "cid", "root", "n", F.size("g").alias("most"), F.explode(F.slice("g", F.lit(1), F.col("take"))).alias("x"))
         return staged(rare.select("cid", "root", "n", "most", "x.g"), "near-rare")
 
-    def against_large(self, rare: DataFrame, large: DataFrame, sets: DataFrame) -> DataFrame:
-        """(a, b): for each open class and each large component outside it with which it shares a rare shingle, one link if any.
-
-        Members and outsiders of a component meet in a grid of cells of bounded size, in which overlaps are counted by an
-        inverted list; pairs are never rows. Of two large components the smaller one counts as outside.
-        """
+    def outsiders(self, rare: DataFrame, large: DataFrame) -> DataFrame:
+        """(cid, into): open classes and the large components outside them with which they share a rare shingle. Of two large
+        components the smaller one counts as outside."""
         rows = rare.join(large, "root", "left").select("g", "cid", "root", F.coalesce("m", F.lit(0)).alias("m"))
         inside = rows.where("m > 0").select("g", F.col("root").alias("into"), F.col("m").alias("into_m")).distinct()
         before = F.struct("m", "root") < F.struct(F.col("into_m").alias("m"), F.col("into").alias("root"))
-        outside = rows.join(inside, "g").where(before).select("cid", "into").distinct()
-        outside = staged(outside.join(sets, "cid").select("cid", "n", "g", "into"), "near-outside")
-        inside = rare.select("cid", "root").distinct().join(large.select("root"), "root").join(sets, "cid").select("cid", "n", "g", F.col("root").alias("into"))
-        parts = inside.groupBy("into").agg(F.ceil(F.sum("n") / self.cell).cast("int").alias("i_n")).join(
+        return staged(rows.join(inside, "g").where(before).select("cid", "into").distinct(), "near-outside")
+
+    def against_large(self, rare: DataFrame, large: DataFrame, sets: DataFrame, outside: DataFrame) -> DataFrame:
+        """(a, b): the links of the outsiders of each large component among each other, and one of each into it, if any.
+
+        They meet in a grid of cells of bounded size, in which overlaps are counted by an inverted list; pairs are never rows.
+        """
+        inside = rare.select("cid", "root").distinct().join(large.select("root"), "root").select("cid", F.col("root").alias("into"))
+        outside = outside.join(sets, "cid").select("cid", "n", "g", "into")
+        both = inside.join(sets, "cid").select("cid", "n", "g", "into", F.lit(False).alias("each")).union(outside.withColumn("each", F.lit(True)))
+        both, outside = staged(both, "near-inside"), staged(outside, "near-outside-sets")
+        parts = both.groupBy("into").agg(F.ceil(F.sum("n") / self.cell).cast("int").alias("i_n")).join(
             outside.groupBy("into").agg(F.ceil(F.sum("n") / self.cell).cast("int").alias("j_n")), "into")
 
         def dealt(side, own, other):
             place = F.pmod(F.xxhash64("cid"), F.col(f"{own}_n").cast("long")).cast("int").alias(own)
-            return side.join(parts, "into").select("into", "cid", "n", "g", place, F.explode(F.sequence(F.lit(0), F.col(f"{other}_n") - 1)).alias(other))
+            return side.join(parts, "into").select(*side.columns, place, F.explode(F.sequence(F.lit(0), F.col(f"{other}_n") - 1)).alias(other))
 
         key = ["into", "i", "j"]
-        met = dealt(outside, "j", "i").groupBy(*key).cogroup(dealt(inside, "i", "j").groupBy(*key))
+        met = dealt(outside, "j", "i").groupBy(*key).cogroup(dealt(both, "i", "j").groupBy(*key))
         return met.applyInArrow(_meet(self.percent), "a long, b long")
 
-    def across(self, rare: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs of classes of different components that share one of their rarest shingles and enough shingles at all."""
-        rare = staged(rare.join(roots, rare.cid == roots.node, "left").select(
-            "g", "cid", "n", "most", F.coalesce(roots.root, "cid").alias("root")), "near-rooted")
-        left = rare.select("g", F.col("cid").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("most").alias("a_most"))
-        right = rare.select("g", F.col("cid").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"), F.col("most").alias("b_most"))
+    def across(self, rare: DataFrame, roots: DataFrame, outside: DataFrame) -> DataFrame:
+        """Pairs of classes of different components that share one of their rarest shingles and enough shingles at all, and have not
+        met as outsiders of one component."""
+        met_at = outside.groupBy("cid").agg(F.collect_set("into").alias("met"))
+        rare = rare.join(met_at, "cid", "left").join(roots, rare.cid == roots.node, "left")
+        rare = staged(rare.select("g", "cid", "n", "most", "met", F.coalesce(roots.root, "cid").alias("root")), "near-rooted")
+        left, right = (rare.select("g", *(F.col(c).alias(f"{side}_{c}") for c in ("cid", "root", "n", "most", "met"))) for side in "ab")
         most = F.least("a_most", "b_most")
-        return left.join(right, "g").where("a < b and a_root != b_root").where(
-            100 * most >= self.percent * (F.col("a_n") + F.col("b_n") - most)).select("a", "b").distinct()
+        pairs = left.join(right, "g").where("a_cid < b_cid and a_root != b_root").where(
+            100 * most >= self.percent * (F.col("a_n") + F.col("b_n") - most)).where(~F.coalesce(F.arrays_overlap("a_met", "b_met"), F.lit(False)))
+        return pairs.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")).distinct()
 
     def groups(self) -> DataFrame:
         """doc_id, rk (hash of the text), n_shingles, component_id, kept; one row per row of ``docs``."""
@@ -240,11 +247,12 @@ class NearDuplicates:
         sets = staged(opened.mapInArrow(_spread(self.width), "cid long, n int, g array<long>").dropDuplicates(["cid"]), "near-sets")
         rare = self.rare_shingles(sets, roots)
         large = staged(rare.select("cid", "root").distinct().groupBy("root").agg(F.count("*").alias("m")).where(F.col("m") >= self.large), "near-large")
-        joined = staged(self.against_large(rare, large, sets), "near-joined")
+        outside = self.outsiders(rare, large)
+        joined = staged(self.against_large(rare, large, sets, outside), "near-joined")
         if not joined.isEmpty():
             links = links.union(joined)
             roots = components(links, "near-roots")
-        pairs = self.across(rare.join(large, "root", "left_anti").drop("root"), roots)
+        pairs = self.across(rare.join(large, "root", "left_anti").drop("root"), roots, outside)
         more = self._links(staged(self.verified(pairs, classes, texts), "near-more", rows=500))
         if not more.isEmpty():
             roots = components(links.union(more), "near-roots")
