@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.audit import failure_report, run_summary
+from tidemark.functions.typemap import TypeMap
+from tidemark.operators.audit import failures, run_summary
 from tidemark.plans import readers
 from tidemark.plans.loader import DOCUMENT, Loader
 from tidemark.sources.odata import ODataSource
@@ -112,8 +113,8 @@ def test_failures_are_logged_and_isolated(spark, loader, source):
     source.tables["one"] = good
     loader.incr_load([job("one")])
     assert source.marks["one"] == ts("2023-12-31 23:50:00")
-    report = failure_report(loader.control())
-    assert report.startswith("Details:\n1. two\n2. one\nReason:\n1. KeyError")
+    bad = failures(loader.control()).orderBy("RUN_ID").collect()
+    assert [r.SOURCE_OBJECT_NAME for r in bad] == ["two", "one"] and bad[0].ERROR_MESSAGE.startswith("KeyError")
     summary = {r.table_name: (r.runs, r.failures) for r in run_summary(loader.control()).collect()}
     assert summary == {"TBL_ONE": (3, 1), "TBL_TWO": (2, 1), "TBL_THREE": (1, 0)}
 
@@ -342,7 +343,7 @@ def service():
 def test_odata_delta_service(spark, tmp_path):
     spec = job("AddressSet", src_db_name="SAP_ODATA", service_url="http://h/DELTA_SRV/", entity_value="AddressSet", client="?c=1",
                primary_key_col="Client,Nr", insrt_time_col="Day", updt_time_col="Day", sf_tbl="ADDRESS")
-    loader = Loader(spark, str(tmp_path / "lake"), {"sap_odata": readers.entities(service=service(), page=3, partitions=2)}, clock=Clock())
+    loader = Loader(spark, str(tmp_path / "lake"), {"sap_odata": readers.entities(service=service(), page=3)}, clock=Clock())
     first = loader.full_load([spec])[0]
     assert (first.error, first.inserted, first.mark) == ("-", 7, ts("2024-01-07"))
     # even a full load asks a delta service for changes only
@@ -367,9 +368,54 @@ def test_relational_reader_asks_for_the_right_tables(spark, monkeypatch):
 def test_collection_reader_gives_whole_documents(spark, tmp_path, monkeypatch):
     schema = "_id string, createdAt timestamp_ntz, updatedAt timestamp_ntz, wallet struct<balance:double>"
     rows = frame(spark, ("1", ts("2024-01-01"), None, (1.5,)), ("2", ts("2024-01-02"), ts("2024-01-03 10:00:00.25"), None), schema=schema)
-    monkeypatch.setattr(readers.documents, "read_collection", lambda s, uri, db, name, mark: rows)
+    monkeypatch.setattr(readers.documents, "read_collection", lambda s, uri, db, name, mark, **times: rows)
     spec = job("members", src_db_name="mongodb", obj_type="collection", primary_key_col="_id", insrt_time_col="createdAt", updt_time_col="updatedAt")
     loader = Loader(spark, str(tmp_path / "lake"), {"mongodb": readers.collection("uri")}, clock=Clock())
     out = loader.full_load([spec])[0]
     assert (out.error, out.inserted, out.mark) == ("-", 2, ts("2024-01-03 10:00:00.25"))
     assert state(loader, spec, "_id", F.get_json_object(DOCUMENT, "$.wallet.balance")) == [("1", "1.5"), ("2", None)]
+
+
+def test_master_with_a_feed_keeps_its_rows_when_nothing_arrives(spark, tmp_path, source):
+    rows = frame(spark, (1, "a", 1.0, ts("2024-01-01"), None), (2, "b", 1.0, ts("2024-01-01"), None))
+    feed = frame(spark, (1, ts("2024-01-01")), schema="id long, gone timestamp_ntz")
+    loader = Loader(spark, str(tmp_path / "lake"), {"postgresql": source}, {"postgresql": lambda s, j, m: feed}, clock=Clock())
+    spec = job("master", master_tbl="yes", is_deletion="yes", deleted_tbl="gone")
+    source.tables["master"] = rows
+    loader.full_load([spec])
+    source.tables["master"] = rows.limit(0)
+    out = loader.incr_load([spec])[0]
+    assert (out.status, out.deleted) == ("SUCCESS", 0) and loader.table(spec).read().count() == 2
+
+
+def test_jobs_of_one_target_run_in_order(spark, tmp_path, source):
+    loader = Loader(spark, str(tmp_path / "lake"), {"postgresql": source}, parallel=8, clock=Clock())
+    specs = [job(f"part{i}", sf_tbl="TBL_WHOLE") for i in range(4)] + [job("alone")]
+    for i in range(4):
+        source.tables[f"part{i}"] = frame(spark, *[(100 * i + k, "x", 1.0, ts("2024-01-01"), None) for k in range(50)])
+    source.tables["alone"] = source.tables["part0"]
+    done = loader.full_load(specs)
+    assert [(o.job.obj_name, o.status, o.inserted) for o in done] == [(s.obj_name, "SUCCESS", 50) for s in specs]
+    assert loader.table(specs[0]).read().count() == 200
+
+
+def test_documents_with_iso_times_are_loaded(spark, tmp_path):
+    folder = tmp_path / "docs" / "members"
+    folder.mkdir(parents=True)
+    lines = ['{"_id":"1","createdAt":"2024-02-01T00:00:00Z"}', '{"_id":"2","createdAt":"2024-02-01T05:30:00+05:30"}', '{"_id":"3","createdAt":"2024-02-01 00:00:00"}']
+    (folder / "a.json").write_text("\n".join(lines))
+    spec = job("members", src_db_name="mongodb", obj_type="collection", primary_key_col="_id", insrt_time_col="createdAt", updt_time_col="createdAt")
+    loader = Loader(spark, str(tmp_path / "lake"), {"mongodb": readers.landed_documents(str(tmp_path / "docs"))}, clock=Clock())
+    out = loader.full_load([spec])[0]
+    assert (out.error, out.inserted, out.mark) == ("-", 3, ts("2024-02-01"))
+    (folder / "b.json").write_text('{"_id":"4","createdAt":"yesterday"}')
+    assert loader.full_load([spec])[0].status == "FAILED" and loader.table(spec).read().count() == 3
+
+
+def test_relational_rows_take_the_types_of_the_catalog(spark, monkeypatch):
+    rows = spark.createDataFrame([("7", "1.25")], "id string, price string")
+    monkeypatch.setattr(readers.jdbc, "read_table", lambda *a, **k: rows)
+    monkeypatch.setattr(readers.jdbc, "read_query", lambda s, o, query, split=None: s.createDataFrame(
+        [("price", "float8", 2), ("id", "int8", 1)], "column_name string, data_type string, ordinal_position int"))
+    got = readers.relational("postgresql", {"url": "x"}, type_map=TypeMap())(spark, job(), None)
+    assert got.schema.simpleString() == "struct<id:bigint,price:double>"

@@ -6,7 +6,7 @@ import os
 import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemark.functions import times
 from tidemark.functions.typemap import TypeMap
@@ -97,7 +97,8 @@ def test_inventory(spark, tmp_path):
     assert {r.name for r in files.newer_than_archive(source, archive).collect()} == {"Sales_Zone.xlsx", "New.xlsx"}
     assert {r.name for r in files.newer_than_archive(source, source).collect()} == set()
     assert files.file_of(found, "ZONE").first()["path"].endswith("archive/Sales_Zone.xlsx")
-    assert files.file_of(found, "nothing").first()["path"] is None
+    assert files.file_of(found, "ZONE").first()["matching"] == 2
+    assert tuple(files.file_of(found, "nothing").first()) == (None, 0)
 
 
 # -- documents -------------------------------------------------------------------------------------------
@@ -109,9 +110,15 @@ def test_array_files_and_lines(spark, tmp_path):
     ids = sorted(r[0] for r in documents.read_arrays(spark, str(tmp_path / "a")).select(
         F.variant_get("raw_data", "$._id", "int")).collect())
     assert ids == [0, 1, 2, 9]
-    (tmp_path / "l.json").write_text('{"_id":1}\nnot json\n')
-    assert [r[0] for r in documents.read_lines(spark, str(tmp_path / "l.json")).select(
-        F.try_variant_get("raw_data", "$._id", "int")).collect()] == [1, None]
+    (tmp_path / "a" / "3.json").write_text('[{"_id": 1}, {"_id"')
+    with pytest.raises(Exception, match="no JSON value could be read from .*3.json"):
+        documents.read_arrays(spark, str(tmp_path / "a")).collect()
+    (tmp_path / "l.json").write_text('{"_id":1}\n\nnot json\n{"_id":\n')
+    with pytest.raises(Exception, match="line without a JSON document"):
+        documents.read_lines(spark, str(tmp_path / "l.json")).collect()
+    kept = documents.read_lines(spark, str(tmp_path / "l.json"), str(tmp_path / "bad"))
+    assert [r[0] for r in kept.select(F.variant_get("raw_data", "$._id", "int")).collect()] == [1]
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "bad")).collect()) == ["not json", '{"_id":']
 
 
 def test_collection_options():
@@ -153,8 +160,9 @@ def test_bounds_query():
 
 # -- OData -----------------------------------------------------------------------------------------------
 
-def fake_service():
-    """Serves 23 entities from the query text, without a network."""
+def fake_service(cap=10**9, links=False, total=23):
+    """Serves entities from the query text, without a network: at most ``cap`` per page, with links to the next page or without,
+    in key order only if that is asked for."""
     class FakeService(odata.ODataSource):
         @classmethod
         def name(cls):
@@ -163,17 +171,36 @@ def fake_service():
         @staticmethod
         def fetch(url, options):
             skip, top = int(re.search(r"\$skip=(\d+)", url)[1]), int(re.search(r"\$top=(\d+)", url)[1])
-            rows = [{"Id": i, "Name": f"n{i}", "Nest": {"a": [i]}, "Gone": None} for i in range(23)][skip:skip + top]
-            return json.dumps({"d": {"results": rows}}).encode()
+            rows = [{"Id": i, "Name": f"n{i}", "Nest": {"a": [i]}, "Gone": None} for i in range(total)]
+            if "$orderby=Id" not in url:
+                rows = rows[skip % 7:] + rows[:skip % 7]
+            split = re.search(r"mod%20(\d)%20eq%20(\d)", url)
+            if split:
+                rows = [r for r in rows if r["Id"] % int(split[1]) == int(split[2])]
+            page = rows[skip:skip + min(top, cap)]
+            reply = {"results": page}
+            if links and skip + len(page) < len(rows):
+                reply["__next"] = re.sub(r"skip=\d+", f"skip={skip + len(page)}", url)
+            return json.dumps({"d": reply}).encode()
 
     return FakeService
 
 
-@pytest.mark.parametrize("page, partitions", [(5, 3), (23, 2), (100, 4), (1, 1)])
-def test_odata_pages(spark, page, partitions):
-    df = odata.read_entities(spark, ["Id", "Name", "Nest", "Gone"], fake_service(), url="http://x/", entity="S",
-                             page=page, partitions=partitions)
-    assert df.rdd.getNumPartitions() == partitions
+@pytest.mark.parametrize("cap", [1, 100, 499, 500])
+@pytest.mark.parametrize("links", [True, False])
+def test_odata_page_caps(cap, links):
+    """However a service caps its pages, every entity arrives once."""
+    names = T.StructType([T.StructField("Id", T.StringType())])
+    total = 60 if cap == 1 else 1000
+    reader = odata.ODataReader(names, {"url": "http://x/", "entity": "S", "order": "Id"}, fake_service(cap, links, total).fetch)
+    assert [int(r[0]) for p in reader.partitions() for r in reader.read(p)] == list(range(total))
+
+
+@pytest.mark.parametrize("page, splits", [(5, ["Id mod 3 eq 0", "Id mod 3 eq 1", "Id mod 3 eq 2"]), (23, []), (1, [])])
+def test_odata_pages(spark, page, splits):
+    df = odata.read_entities(spark, ["Id", "Name", "Nest", "Gone"], fake_service(), url="http://x/", entity="S", order="Id",
+                             page=page, splits=json.dumps(splits))
+    assert df.rdd.getNumPartitions() == max(1, len(splits))
     rows = sorted(df.collect(), key=lambda r: int(r.Id))
     assert [r.Id for r in rows] == [str(i) for i in range(23)]
     assert rows[3].Nest == '{"a": [3]}' and rows[3].Gone is None
@@ -246,18 +273,6 @@ def test_expired_files(spark):
     assert [r.path for r in tables.expired(log, "modified", times.ntz("2024-02-10 00:00:00")).collect()] == ["a"]
 
 
-def test_shared_folder_is_the_cluster_setting():
-    class Conf:
-        def __init__(self, value):
-            self.conf, self.value = self, value
-
-        def get(self, name, default):
-            return self.value if name == "spark.checkpoint.dir" else default
-
-    assert storage.scratch_path(Conf("s3a://b/shared/"), "x").startswith("s3a://b/shared/tidemark/x-")
-    assert storage.shared_dir(Conf(None)) == storage.shared_dir(Conf(None))
-
-
 def test_plain_parquet_cannot_be_merged_in_place(spark, tmp_path):
     """The in-place merge needs a row-level table format; Parquet says so."""
     spark.sql(f"CREATE TABLE merge_probe (a INT, EDW_INSERTED_TIMESTAMP TIMESTAMP_NTZ, EDW_UPDATED_TIMESTAMP TIMESTAMP_NTZ) USING parquet LOCATION '{tmp_path}/p'")
@@ -269,3 +284,19 @@ def test_plain_parquet_cannot_be_merged_in_place(spark, tmp_path):
 def test_run_seconds(spark):
     row = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' a, timestamp_ntz'2024-01-01 00:01:30.25' b")
     assert row.select(audit.run_seconds(F.col("a"), F.col("b"))).first()[0] == 90.25
+
+
+def test_scratch_needs_a_shared_folder(monkeypatch):
+    class Session:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_dir(Session)
+    Session.sparkContext.master = "local[4]"
+    assert storage.shared_dir(Session) == storage.shared_dir(Session)
+    Session.conf.get = staticmethod(lambda key, default=None: "s3a://lake/tmp/")
+    assert storage.scratch_path(Session, "x").startswith("s3a://lake/tmp/tidemark/x-")

@@ -17,6 +17,8 @@ LOOKBACK = timedelta(minutes=10)
 ODATA_LOOKBACK = timedelta(days=2)
 
 _TWO_FORMATS = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
+_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
+_ISO_ZONE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
 
 
 def ntz(text: str) -> Column:
@@ -45,15 +47,19 @@ def coerce(c: Column) -> Column:
 
 
 def parse(c: Column, strict: bool = False) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` with or without a fraction; null and ``NaT`` become null.
+    """``yyyy-MM-dd HH:mm:ss`` with or without a fraction, or the ISO form with ``T`` and perhaps a zone, which is turned into UTC;
+    null and ``NaT`` become null.
 
     Other text is an error when ``strict``, null otherwise (count it with :func:`unparsed`).
     """
     # text of another form is extracted as '', which no cast can read
-    value = F.regexp_extract(c, _TWO_FORMATS, 0).try_cast("timestamp_ntz")
+    plain = F.regexp_extract(c, _TWO_FORMATS, 0).try_cast("timestamp_ntz")
+    iso = F.regexp_extract(c, _ISO, 0).try_cast("timestamp_ntz")
+    zoned = F.regexp_extract(c, _ISO_ZONE, 0).try_cast("timestamp").cast("timestamp_ntz")
+    value = F.coalesce(plain, iso, F.convert_timezone(F.current_timezone(), F.lit("UTC"), zoned))
     if not strict:
         return value
-    message = F.concat(F.lit("Date string '"), c, F.lit("' does not match any known format."))
+    message = F.concat(F.lit("unreadable time: "), c)
     return F.when(unparsed(c), F.raise_error(message).cast("timestamp_ntz")).otherwise(value)
 
 

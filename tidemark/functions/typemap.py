@@ -11,34 +11,107 @@ from tidemark.functions.names import column
 
 # First matching warehouse type per source type, per system with a connector.
 TYPE_MAP = {
-    "POSTGRESQL": """
-        serial=number, bigserial=number, int2=number, int4=number, int8=number, numeric=decimal,
-        numeric_without_prec_scale=varchar, float4=string, float8=float, money=varchar, bytea=binary,
-        varchar=varchar, bpchar=varchar, text=varchar, cidr=varchar, inet=varchar, macaddr=varchar,
-        macaddr8=varchar, bit=varchar, uuid=varchar, xml=varchar, json=object, jsonb=object,
-        tsvector=varchar, tsquery=varchar, timestamp=timestamp_ntz, timestamptz=timestamp_ntz, date=date,
-        time=time, timetz=time, interval=varchar, point=varchar, line=varchar, lseg=varchar, box=varchar,
-        path=varchar, polygon=varchar, circle=varchar, geometry=geometry, array=varchar,
-        composite=varchar, range=varchar, oid=number, pg_lsn=varchar, bool=boolean, char=varchar,
-        name=varchar, sl_timestamp=timestamp_tz, character varying=varchar,
-        timestamp without time zone=timestamp_ntz, timestamp with timestamp=timestamp_tz,
-        character=varchar, integer=number, bigint=number, boolean=boolean
-    """,
-    "SQLSERVER": """
-        smallint=number, int=number, bigint=number, decimal=decimal, varchar=varchar, real=string,
-        float=float, varbinary=binary, text=object, datetime2=timestamp_ntz, date=date, time=time,
-        bit=boolean, char=varchar, datetimeoffset=timestamp_tz, datetime=timestamp_ntz, nvarchar=varchar,
-        smalldatetime=timestamp_ntz, tinyint=number, binary=varchar
-    """,
-    "EXCEL": """
-        float64=string, object=varchar, datetime64[ns]=timestamp_ntz, bool=boolean, int64=varchar,
-        integer=varchar
-    """,
-    "SAP_ODATA": """
-        Edm.Int16=number, Edm.Int32=number, Edm.Int64=number, Edm.String=varchar, Edm.Boolean=boolean,
-        Edm.Guid=varchar, Edm.DateTime=timestamp_ntz, Edm.Decimal=float, Edm.Time=timestamp_tz,
-        Edm.Double=DOUBLE, Edm.Binary=Varchar, Edm.Byte=VARCHAR
-    """,
+    "POSTGRESQL": {
+        "serial": "number",
+        "bigserial": "number",
+        "int2": "number",
+        "int4": "number",
+        "int8": "number",
+        "numeric": "decimal",
+        "numeric_without_prec_scale": "varchar",
+        "float4": "string",
+        "float8": "float",
+        "money": "varchar",
+        "bytea": "binary",
+        "varchar": "varchar",
+        "bpchar": "varchar",
+        "text": "varchar",
+        "cidr": "varchar",
+        "inet": "varchar",
+        "macaddr": "varchar",
+        "macaddr8": "varchar",
+        "bit": "varchar",
+        "uuid": "varchar",
+        "xml": "varchar",
+        "json": "object",
+        "jsonb": "object",
+        "tsvector": "varchar",
+        "tsquery": "varchar",
+        "timestamp": "timestamp_ntz",
+        "timestamptz": "timestamp_ntz",
+        "date": "date",
+        "time": "time",
+        "timetz": "time",
+        "interval": "varchar",
+        "point": "varchar",
+        "line": "varchar",
+        "lseg": "varchar",
+        "box": "varchar",
+        "path": "varchar",
+        "polygon": "varchar",
+        "circle": "varchar",
+        "geometry": "geometry",
+        "array": "varchar",
+        "composite": "varchar",
+        "range": "varchar",
+        "oid": "number",
+        "pg_lsn": "varchar",
+        "bool": "boolean",
+        "char": "varchar",
+        "name": "varchar",
+        "sl_timestamp": "timestamp_tz",
+        "character varying": "varchar",
+        "timestamp without time zone": "timestamp_ntz",
+        "timestamp with timestamp": "timestamp_tz",
+        "character": "varchar",
+        "integer": "number",
+        "bigint": "number",
+        "boolean": "boolean",
+    },
+    "SQLSERVER": {
+        "smallint": "number",
+        "int": "number",
+        "bigint": "number",
+        "decimal": "decimal",
+        "varchar": "varchar",
+        "real": "string",
+        "float": "float",
+        "varbinary": "binary",
+        "text": "object",
+        "datetime2": "timestamp_ntz",
+        "date": "date",
+        "time": "time",
+        "bit": "boolean",
+        "char": "varchar",
+        "datetimeoffset": "timestamp_tz",
+        "datetime": "timestamp_ntz",
+        "nvarchar": "varchar",
+        "smalldatetime": "timestamp_ntz",
+        "tinyint": "number",
+        "binary": "varchar",
+    },
+    "EXCEL": {
+        "float64": "string",
+        "object": "varchar",
+        "datetime64[ns]": "timestamp_ntz",
+        "bool": "boolean",
+        "int64": "varchar",
+        "integer": "varchar",
+    },
+    "SAP_ODATA": {
+        "Edm.Int16": "number",
+        "Edm.Int32": "number",
+        "Edm.Int64": "number",
+        "Edm.String": "varchar",
+        "Edm.Boolean": "boolean",
+        "Edm.Guid": "varchar",
+        "Edm.DateTime": "timestamp_ntz",
+        "Edm.Decimal": "float",
+        "Edm.Time": "timestamp_tz",
+        "Edm.Double": "DOUBLE",
+        "Edm.Binary": "Varchar",
+        "Edm.Byte": "VARCHAR",
+    },
 }
 
 # Spark type per warehouse type: (default, strict). Default keeps values whole; strict follows the map to the letter.
@@ -88,12 +161,7 @@ class Resolved:
 
 def default_rows() -> list[tuple[str, str, str]]:
     """(system, source type, warehouse type), in order."""
-    rows = []
-    for system, text in TYPE_MAP.items():
-        for entry in text.split(","):
-            source, warehouse = entry.strip().split("=")
-            rows.append((system, source, warehouse))
-    return rows
+    return [(system, source, warehouse) for system, types in TYPE_MAP.items() for source, warehouse in types.items()]
 
 
 def read_type_map(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:

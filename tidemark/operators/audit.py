@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 _N, _L, _S = T.TimestampNTZType(), T.LongType(), T.StringType()
 
+# The columns of the control table.
 CONTROL_SCHEMA = T.StructType([
     T.StructField("RUN_ID", _L), T.StructField("RUN_START", _N), T.StructField("RUN_END", _N),
     T.StructField("DURATION_IN_SEC", T.DoubleType()), T.StructField("IP_ADDRESS", _S),
@@ -45,14 +46,6 @@ def failures(control: DataFrame, since_run_id: int = 0) -> DataFrame:
         "RUN_ID", "SOURCE_OBJECT_NAME", "ERROR_MESSAGE")
 
 
-def failure_report(control: DataFrame, since_run_id: int = 0) -> str:
-    """Numbered lists of failed tables and reasons. One line per failed job of a run, so it stays small."""
-    rows = failures(control, since_run_id).orderBy("RUN_ID").collect()
-    lines = ["Details:"] + ([f"{i}. {r['SOURCE_OBJECT_NAME']}" for i, r in enumerate(rows, 1)] or ["1. None"])
-    lines += ["Reason:"] + [f"{i}. {r['ERROR_MESSAGE']}" for i, r in enumerate(rows, 1)]
-    return "\n".join(lines)
-
-
 def size_check(df: DataFrame) -> DataFrame:
     """Row count and emptiness in one pass."""
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("is_empty", F.col("rows") == 0)

@@ -19,7 +19,7 @@ def assign_chunks(df: DataFrame, id_col: str, size: int, buckets: int | None = N
     and may be numbered in any order; they are spread over ``buckets`` parts, written to the shared folder first
     so that counting and numbering see the same parts.
     """
-    buckets = buckets or min(2000, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = [i / buckets for i in range(1, buckets)]
     found = df.agg(F.percentile_approx(column(id_col), at or [0.5], max(10_000, 10 * buckets)).alias("q")).first()["q"] or []
     cuts = sorted(set(found))
@@ -34,8 +34,7 @@ def assign_chunks(df: DataFrame, id_col: str, size: int, buckets: int | None = N
     lower = Window.orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(lower), F.lit(0))).drop("_rows")
     rank = F.row_number().over(Window.partitionBy("_range", "_part").orderBy(column(id_col)))
-    # one row per range and part: bounded by the number of buckets, not by the data
-    joined = ranged.withColumn("_rank", rank).join(F.broadcast(before), ["_range", "_part"])
+    joined = ranged.withColumn("_rank", rank).join(before, ["_range", "_part"])
     chunk = F.floor((F.col("_before") + F.col("_rank") - 1) / size) + 1
     return joined.select(*columns(df.columns), chunk.cast("long").alias("chunk"))
 
@@ -47,4 +46,8 @@ def _range_number(df: DataFrame, id_col: str, cuts):
     dtype = df.schema[id_col].dataType.simpleString()
     values = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{dtype}>")
     c = column(id_col)
-    return F.aggregate(values, F.lit(0), lambda n, cut: n + F.when(cut < c, 2).when(cut == c, 1).otherwise(0))
+    # A binary search over the sorted cuts: its steps halve, so the cost per row grows with the logarithm of the ranges.
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    below = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        F.coalesce(F.get(values, n + step - 1) < c, F.lit(False)), n + step).otherwise(n))
+    return F.transform(F.array(below), lambda n: 2 * n + F.coalesce(F.get(values, n) == c, F.lit(False)).cast("int"))[0]

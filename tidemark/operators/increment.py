@@ -63,6 +63,15 @@ def last_marks(control: DataFrame, by: str = "SOURCE_OBJECT_NAME", need_rows: bo
         F.max_by("MAX_TIMESTAMP", "RUN_ID").alias("last_mark"))
 
 
+def last_marks_by_rule(control: DataFrame, rules: dict[str, tuple[str, bool]]) -> DataFrame:
+    """(rule, object, last_mark) for several rules, each a name column and whether rows are needed, in one scan of the log."""
+    cases = [F.when(F.lit(not need_rows) | (F.col("ROWS_INSERTED") != 0), F.struct(F.lit(rule).alias("rule"), F.col(by).alias("object")))
+             for rule, (by, need_rows) in rules.items()]
+    runs = usable_runs(control, need_rows=False).select("MAX_TIMESTAMP", "RUN_ID", F.explode(F.array(*cases)).alias("case"))
+    marks = runs.where(F.col("case").isNotNull()).groupBy("case.rule", "case.object")
+    return marks.agg(F.max_by("MAX_TIMESTAMP", "RUN_ID").alias("last_mark"))
+
+
 def last_mark(control: DataFrame, source: str, obj_type: str, source_object: str, target_table: str,
               lookback: timedelta | None = None):
     """Where the next incremental read of one object starts, or None for a full extract.

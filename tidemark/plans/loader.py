@@ -97,8 +97,13 @@ class Loader:
     def _run(self, jobs, incremental):
         jobs = read_jobs(self.spark, jobs) if isinstance(jobs, str) else list(jobs)
         self._ensure_control()
+        # Jobs of one target run in the order given; only different targets run side by side.
+        groups: dict[str, list[int]] = {}
+        for i, job in enumerate(jobs):
+            groups.setdefault(job.sf_tbl.lower(), []).append(i)
         with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
-            return list(pool.map(lambda job: self._guarded(job, incremental), jobs))
+            done = list(pool.map(lambda group: [(i, self._guarded(jobs[i], incremental)) for i in group], groups.values()))
+        return [outcome for _, outcome in sorted((x for group in done for x in group), key=lambda x: x[0])]
 
     def _guarded(self, job, incremental) -> Outcome:
         """One failing object is logged and does not stop the others; its watermark stays where it was."""
@@ -171,8 +176,8 @@ class Loader:
         staged = self._same_columns(target, staged)
         outcome = Outcome(job, "SUCCESS")
         feed = self._feed(job, mark)
-        if staged.isEmpty() and feed is None:
-            table.create(target.schema)  # nothing to load; a master table keeps its rows
+        if staged.isEmpty() and (feed is None or job.is_master):
+            table.create(target.schema)  # nothing to load; a master table keeps its rows, whatever its feed says
         else:
             next_at = new_mark(staged, insert_col, update_col, mark).first()["next_mark"] if insert_col else None
             version, before = self._write(job, table, target, staged, insert_col, update_col, feed, stamp, evolved)
@@ -197,8 +202,8 @@ class Loader:
         if feed is not None:
             target = delete_by_feed(target, feed, keys, hot)
         merged = merge(target, latest, keys, stamp, strategy, hot=hot)
-        # a small increment often holds only rows that the lookback read again: look before rewriting a large target
-        if strategy == "broadcast" and feed is None and not evolved and not has_changes(merged):
+        # an increment often holds only rows that the lookback read again: look before rewriting a target, whatever its size
+        if feed is None and not evolved and not has_changes(merged):
             return table.current(), before
         return table.write(next_version(merged)), before
 
@@ -282,10 +287,11 @@ class Loader:
 def document_rows(raw: DataFrame, job: JobSpec) -> DataFrame:
     """A VARIANT column -> key, times and canonical document text.
 
-    The text is canonical (sorted keys), so documents compare as strings; ``parse_json`` turns it back.
+    The text is canonical (sorted keys), so documents compare as strings; ``parse_json`` turns it back. A time that cannot be read
+    fails the job: as null it would keep its document out of every increment.
     """
     document = column(raw.columns[0])
-    times = {n: parse(field(document, n)) for n in dict.fromkeys((job.insrt_time_col, job.updt_time_col)) if n}
+    times = {n: parse(field(document, n), strict=True) for n in dict.fromkeys((job.insrt_time_col, job.updt_time_col)) if n}
     keys = {k: field(document, k) for k in job.keys}
     return raw.select(
         *[c.alias(n) for n, c in {**keys, **times}.items()], canonical(document).alias(DOCUMENT))

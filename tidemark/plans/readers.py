@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.typemap import TypeMap, target_schema
@@ -10,16 +12,23 @@ from tidemark.plans.loader import Extract, Reader
 from tidemark.sources import catalog, documents, files, jdbc, odata
 
 
-def relational(source: str, connection: dict | None = None, split_on: dict[str, str] | None = None, partitions: int = 64) -> Reader:
+def relational(source: str, connection: dict | None = None, split_on: dict[str, str] | None = None, partitions: int = 64,
+               type_map: TypeMap | None = None) -> Reader:
     """SQL Server or PostgreSQL tables. ``split_on`` names, per object, the column along which a scan is split.
 
-    The loader's column list and increment filter become part of the remote query.
+    The loader's column list and increment filter become part of the remote query. With a ``type_map`` the columns get the types
+    that it gives to those of the database's own catalog.
     """
     def read(spark, job, mark):
         options = connection or jdbc.options(spark, source, job.database_name)
         table, name = f"{job.schema_name}.{job.obj_name}", (split_on or {}).get(job.obj_name)
         split = jdbc.even_split(spark, options, table, name, partitions) if name else None
-        return jdbc.read_table(spark, options, table, job.col_names, split)
+        rows = jdbc.read_table(spark, options, table, job.col_names, split)
+        if type_map is None:
+            return rows
+        asked = jdbc.read_query(spark, options, jdbc.catalog_query(job.obj_name, job.schema_name, job.col_names))
+        found = asked.orderBy("ordinal_position").collect()  # one row per column
+        return Extract(rows, target_schema([(r[0], r[1]) for r in found], source, type_map, table=job.obj_name))
 
     return read
 
@@ -35,17 +44,18 @@ def relational_deletes(source: str, connection: dict | None = None) -> Reader:
 
 
 def sheets(folder: str, pattern: str = "*.xlsx", type_map: TypeMap | None = None, text_columns: dict | None = None,
-           coerced: dict | None = None) -> Reader:
+           coerced: dict | None = None, multi_line: bool = False, first_of_many: bool = False) -> Reader:
     """Landed workbooks or CSV files, found by table name, typed by their values.
 
-    ``text_columns`` and ``coerced`` give columns per table (lower case) that are text, or times to coerce.
+    ``text_columns`` and ``coerced`` give columns per table (lower case) that are text, or times to coerce. Several files of one
+    table are an error unless ``first_of_many`` takes the first.
     """
     def read(spark, job, mark):
-        path = files.file_of(files.inventory(spark, folder, pattern), job.obj_name).first()["path"]
-        if path is None:
-            raise ValueError(f"no file found for table {job.obj_name!r} in {folder}")
+        found = files.file_of(files.inventory(spark, folder, pattern), job.obj_name).first()
+        if found["matching"] == 0 or (found["matching"] > 1 and not first_of_many):
+            raise ValueError(f"table {job.obj_name}: {found['matching']} files in {folder} carry its name, one is needed")
         name = job.obj_name.lower()
-        sheet = files.read_sheet(spark, path, (text_columns or {}).get(name, ()), (coerced or {}).get(name, ()))
+        sheet = files.read_sheet(spark, found["path"], (text_columns or {}).get(name, ()), (coerced or {}).get(name, ()), multi_line)
         found = catalog.file_catalog(sheet).orderBy("ordinal_position").collect()  # one row per column
         types = [(r.column_name, r.data_type) for r in found]
         return Extract(sheet, target_schema(types, "EXCEL", type_map or TypeMap(), table=job.obj_name))
@@ -53,11 +63,13 @@ def sheets(folder: str, pattern: str = "*.xlsx", type_map: TypeMap | None = None
     return read
 
 
-def landed_documents(folder: str, arrays: bool = False) -> Reader:
-    """Landed JSON Lines, or files holding one JSON array each."""
+def landed_documents(folder: str, arrays: bool = False, rejects: str | None = None) -> Reader:
+    """Landed JSON Lines, or files holding one JSON array each. Broken lines fail the job, or go to a folder below ``rejects``."""
     def read(spark, job, mark):
         path = f"{folder.rstrip('/')}/{job.obj_name}"
-        return (documents.read_arrays if arrays else documents.read_lines)(spark, path)
+        if arrays:
+            return documents.read_arrays(spark, path)
+        return documents.read_lines(spark, path, rejects and f"{rejects.rstrip('/')}/{job.obj_name}")
 
     return read
 
@@ -65,23 +77,31 @@ def landed_documents(folder: str, arrays: bool = False) -> Reader:
 def collection(uri: str) -> Reader:
     """A MongoDB collection through its Spark connector; only documents past the mark leave the server."""
     def read(spark, job, mark):
-        rows = documents.read_collection(spark, uri, job.database_name, job.obj_name, mark)
+        times = {"created": job.insrt_time_col, "updated": job.updt_time_col}
+        rows = documents.read_collection(spark, uri, job.database_name, job.obj_name, mark, **{k: v for k, v in times.items() if v})
         return rows.select(F.to_variant_object(F.struct("*")).alias(documents.RAW))
 
     return read
 
 
-def entities(type_map: TypeMap | None = None, service: type[odata.ODataSource] = odata.ODataSource, **options) -> Reader:
-    """An OData entity set: columns from the service's metadata, rows page by page on the executors."""
+def entities(type_map: TypeMap | None = None, service: type[odata.ODataSource] = odata.ODataSource,
+             splits: dict[str, list[str]] | None = None, **options) -> Reader:
+    """An OData entity set: columns from the service's metadata, rows page by page on the executors, in key order.
+
+    ``splits`` gives, per entity set, filters that cut it into disjoint parts to be read side by side.
+    """
     def read(spark, job, mark):
         url, client = job.service_url.rstrip("/") + "/", job.client or ""
         text = service.fetch(f"{url}$metadata{client}", options).decode()
         found = catalog.of_entity_set(catalog.metadata_columns(spark, text), job.entity_value).collect()  # one row per column
         if not found:
-            raise ValueError(f"no columns found for entity set {job.entity_value!r}")
+            raise ValueError(f"the metadata of {url} describe no entity set {job.entity_value}")
         types = [(r.column_name, r.data_type) for r in found]
         asked = odata.filter_text(job.filter_value, job.service_url, mark.strftime("%Y%m%d") if mark else None)
-        given = {**options, "url": url, "entity": job.entity_value, "client": client, **({"filter": asked} if asked else {})}
+        parts = (splits or {}).get(job.entity_value)
+        if parts:
+            options["splits"] = json.dumps(parts)
+        given = {"order": ",".join(job.keys), **options, "url": url, "entity": job.entity_value, "client": client, **({"filter": asked} if asked else {})}
         rows = odata.read_entities(spark, [n for n, _ in types], service, **given)
         return odata.typed_entities(rows, types, type_map or TypeMap())
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -15,8 +16,13 @@ def _local_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a temporary one where it is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_dir()).rstrip("/")
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Only a local master may do without: it gets a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -24,6 +30,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove everything below the scratch folder; for the end of an application that no longer reads its results."""
+    return remove(spark, f"{shared_dir(spark)}/tidemark")
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

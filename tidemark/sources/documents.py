@@ -5,25 +5,50 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 RAW = "raw_data"
 
 
 def parse_documents(df: DataFrame, text: str, out: str = RAW) -> DataFrame:
-    """Text -> VARIANT, parsed once; text that is not JSON becomes null."""
+    """Text -> VARIANT, parsed once; text that is not JSON becomes null (see :func:`rejects`)."""
     return df.withColumn(out, F.try_parse_json(F.col(text)))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Landed JSON Lines, one document per row."""
-    return parse_documents(spark.read.text(path), "value").select(RAW)
+def broken(text: Column) -> Column:
+    """True for text that is neither blank nor JSON."""
+    return F.coalesce(F.trim(text) != "", F.lit(False)) & F.try_parse_json(text).isNull()
+
+
+def rejects(df: DataFrame, text: str) -> DataFrame:
+    """The rows whose text cannot be parsed."""
+    return df.where(broken(F.col(text)))
+
+
+def read_lines(spark: SparkSession, path: str, reject_folder: str | None = None) -> DataFrame:
+    """Landed JSON Lines, one document per row; blank lines hold none.
+
+    A broken line fails the read, unless there is a folder for such lines: they are written there as text, to be counted and
+    mended, and the others are returned.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    if reject_folder is not None:
+        rejects(lines, "value").write.mode("overwrite").text(reject_folder)
+        return parse_documents(lines, "value").where(F.col(RAW).isNotNull()).select(RAW)
+    message = F.concat(F.lit("line without a JSON document: "), F.substring("value", 1, 200))
+    return lines.select(F.when(broken(F.col("value")), F.raise_error(message).cast("variant")).otherwise(
+        F.try_parse_json("value")).alias(RAW))
 
 
 def read_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Landed files that each hold one JSON array: the outer array is stripped, each element becomes a row."""
+    """Landed files that each hold one JSON array: the outer array is stripped, each element becomes a row.
+
+    A file that cannot be read as one value, because it is broken or beyond the size of a VARIANT, fails by its name.
+    """
     files = spark.read.format("json").option("multiLine", True).option("singleVariantColumn", "whole").load(path)
-    return elements(files, "whole")
+    named = F.concat(F.lit("no JSON value could be read from "), F.input_file_name())
+    whole = F.when(F.col("whole").isNull(), F.raise_error(named).cast("variant")).otherwise(F.col("whole"))
+    return elements(files.select(whole.alias("whole")), "whole")
 
 
 def elements(df: DataFrame, array: str) -> DataFrame:
@@ -41,15 +66,16 @@ def changed_pipeline(mark: datetime | None, created: str = "createdAt", updated:
     return json.dumps([{"$match": {"$or": [{created: at}, {updated: at}]}}])
 
 
-def collection_options(uri: str, database: str, collection: str, mark: datetime | None = None) -> dict:
+def collection_options(uri: str, database: str, collection: str, mark: datetime | None = None,
+                       created: str = "createdAt", updated: str = "updatedAt") -> dict:
     out = {"connection.uri": uri, "database": database, "collection": collection}
-    pipeline = changed_pipeline(mark)
+    pipeline = changed_pipeline(mark, created, updated)
     return out | ({"aggregation.pipeline": pipeline} if pipeline else {})
 
 
-def read_collection(spark: SparkSession, uri: str, database: str, collection: str, mark: datetime | None = None) -> DataFrame:
+def read_collection(spark: SparkSession, uri: str, database: str, collection: str, mark: datetime | None = None, **times) -> DataFrame:
     """Through the mongo-spark connector, which must be on the class path; it splits the collection itself."""
-    return spark.read.format("mongodb").options(**collection_options(uri, database, collection, mark)).load()
+    return spark.read.format("mongodb").options(**collection_options(uri, database, collection, mark, **times)).load()
 
 
 def union_documents(*frames: DataFrame) -> DataFrame:

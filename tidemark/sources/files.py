@@ -44,15 +44,16 @@ def matches(path: Column, table: str) -> Column:
 
 
 def file_of(files: DataFrame, table: str) -> DataFrame:
-    """First matching path in listing order, as one row (null when none)."""
-    return files.where(matches(F.col("path"), table)).agg(F.min("path").alias("path"))
+    """First matching path in listing order, and how many match, as one row (null and 0 when none)."""
+    return files.where(matches(F.col("path"), table)).agg(F.min("path").alias("path"), F.count("path").alias("matching"))
 
 
-def read_sheet(spark: SparkSession, path: str, text_columns=(), coerced=()) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, text_columns=(), coerced=(), multi_line: bool = False) -> DataFrame:
     """A sheet landed as CSV or Parquet, or a workbook through the spark-excel package where it is on the class
     path: headers cleaned, times as text, strings stripped.
 
-    ``text_columns`` become strings; ``coerced`` hold times whose unreadable values become null.
+    ``text_columns`` become strings; ``coerced`` hold times whose unreadable values become null. A CSV file is split over tasks
+    unless ``multi_line`` says that its cells hold line breaks.
     """
     plain = path.rstrip("/").lower()
     if plain.endswith(".parquet"):
@@ -60,7 +61,7 @@ def read_sheet(spark: SparkSession, path: str, text_columns=(), coerced=()) -> D
     elif plain.endswith((".xlsx", ".xls")):
         raw = spark.read.format("excel").option("header", True).load(path)
     else:
-        raw = spark.read.option("header", True).option("multiLine", True).csv(path)
+        raw = spark.read.option("header", True).option("multiLine", multi_line).csv(path)
     return clean_sheet(raw, text_columns, coerced)
 
 

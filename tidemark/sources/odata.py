@@ -88,9 +88,12 @@ def typed_entities(df: DataFrame, catalog, type_map: TypeMap, strict: bool = Fal
 class ODataSource(DataSource):
     """``spark.read.format("odata").option("url", ...).option("entity", ...).schema(...)``.
 
-    Options: ``url``, ``entity``, ``filter``, ``client`` (query text such as ``?key=value``), ``page`` (rows per
-    request), ``partitions`` (parallel readers), ``prefer`` (a Prefer header), ``user_env`` / ``password_env`` (names of environment variables).
-    Each partition fetches every n-th page until an empty one, so pages go straight to the executors.
+    Options: ``url``, ``entity``, ``filter``, ``client`` (query text such as ``?key=value``), ``page`` (rows asked for per request),
+    ``order`` (key columns; pages need a stable order), ``splits`` (a JSON list of filters that cut the entity set into disjoint
+    parts, one reader each), ``prefer`` (a Prefer header), ``user_env`` / ``password_env`` (names of environment variables).
+
+    A reader follows the service's links to the next page. A service without links is asked to skip what has arrived so far, until
+    a page is empty, so it may cap its pages as it likes.
     """
 
     @classmethod
@@ -118,35 +121,44 @@ class ODataReader(DataSourceReader):
     def __init__(self, schema, options, fetch):
         self.schema, self.options, self.fetch = schema, options, fetch
         self.page = int(options.get("page", PAGE))
-        self.readers = int(options.get("partitions", 8))
+        self.splits = json.loads(options.get("splits") or "[]") or [None]
 
     def partitions(self):
-        return [InputPartition(i) for i in range(self.readers)]
+        return [InputPartition(i) for i in range(len(self.splits))]
 
-    def url(self, skip: int) -> str:
+    def url(self, skip: int, split: str | None = None) -> str:
         o = self.options
         client = o.get("client", "").lstrip("?")
         query = ([client] if client else []) + [f"$skip={skip}", f"$top={self.page}", "$format=json"]
-        if o.get("filter"):
-            query.append("$filter=" + urllib.parse.quote(o["filter"]))
+        if o.get("order"):
+            query.append("$orderby=" + urllib.parse.quote(o["order"]))
+        asked = [x for x in (o.get("filter"), split) if x]
+        if asked:
+            query.append("$filter=" + urllib.parse.quote(" and ".join(f"({x})" for x in asked) if len(asked) > 1 else asked[0]))
         return f"{o['url'].rstrip('/')}/{o['entity']}?" + "&".join(query)
 
     def read(self, partition):
-        names = self.schema.fieldNames()
-        at = partition.value
-        while True:
-            entities = _entities(self.fetch(self.url(at * self.page), self.options))
+        names, split = self.schema.fieldNames(), self.splits[partition.value]
+        url, arrived, linked = self.url(0, split), 0, False
+        while url:
+            entities, link = _page(self.fetch(url, self.options))
             for e in entities:
                 yield tuple(_text(e.get(n)) for n in names)
-            if len(entities) < self.page:
-                return
-            at += self.readers
+            arrived += len(entities)
+            if link:
+                url, linked = urllib.parse.urljoin(url, link), True
+            else:
+                url = None if linked or not entities else self.url(arrived, split)
 
 
-def _entities(body: bytes) -> list[dict]:
+def _page(body: bytes) -> tuple[list[dict], str | None]:
+    """Entities of a reply and the link to the next page, in the forms of versions 2 to 4."""
     reply = json.loads(body)
     inner = reply.get("d", reply)
-    return inner if isinstance(inner, list) else inner.get("results", inner.get("value", []))
+    if isinstance(inner, list):
+        return inner, None
+    link = inner.get("__next") or reply.get("@odata.nextLink") or reply.get("odata.nextLink")
+    return inner.get("results", inner.get("value", [])), link
 
 
 def _text(value):

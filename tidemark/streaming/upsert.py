@@ -38,7 +38,7 @@ def upsert_stream(stream: DataFrame, table: VersionedTable, keys, insert_col: st
             strategy = choose_strategy(target, batch)
             hot = hot_keys(target, keys) if strategy == "shuffle" else []
             merged = merge(target, latest, keys, at, strategy, hot=hot, newer_by=(insert_col, update_col))
-            if strategy == "shuffle" or has_changes(merged):
+            if has_changes(merged):
                 table.write(next_version(merged))
             table.drop_old(keep_versions)
         finally:

@@ -285,7 +285,7 @@ def file_inventory(spark, sf_dir):
 
 
 def file_match(spark, sf_dir):
-    return files.file_of(file_log(spark, sf_dir), "PURCHASE_1")
+    return files.file_of(file_log(spark, sf_dir), "PURCHASE_1").select("path")
 
 
 def stale_files(spark, sf_dir):

@@ -12,7 +12,7 @@ from tidemark.operators.audit import size_check
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.evolve import evolve, evolve_drop
 from tidemark.operators.increment import (
-    changed_since, day_text, deletes_since, last_marks, mark_text, new_mark,
+    changed_since, day_text, deletes_since, last_marks_by_rule, mark_text, new_mark,
 )
 from tidemark.operators.snapshot import hash_archive, snapshot_deletes, snapshot_diff, snapshot_diff_by_hash
 from tidemark.sinks.storage import scratch_path
@@ -60,16 +60,12 @@ def incr_extract_deletes(spark, sf_dir):
 
 
 def watermark_lookup(spark, sf_dir):
-    control = fx.control(spark, sf_dir)
-    out = None
-    for rule, by, need_rows in (("source", "SOURCE_OBJECT_NAME", False), ("target", "TARGET_TABLE_NAME", True)):
-        part = last_marks(control, by, need_rows).select(
-            F.lit(rule).alias("rule"), "object", "last_mark",
-            mark_text(back(F.col("last_mark"))).alias("minus_10_minutes"),
-            day_text(F.col("last_mark") - F.expr("INTERVAL 2 DAYS")).alias("minus_2_days"),
-        )
-        out = part if out is None else out.unionAll(part)
-    return out
+    marks = last_marks_by_rule(fx.control(spark, sf_dir), {"source": ("SOURCE_OBJECT_NAME", False), "target": ("TARGET_TABLE_NAME", True)})
+    return marks.select(
+        "rule", "object", "last_mark",
+        mark_text(back(F.col("last_mark"))).alias("minus_10_minutes"),
+        day_text(F.col("last_mark") - F.expr("INTERVAL 2 DAYS")).alias("minus_2_days"),
+    )
 
 
 def new_watermark(spark, sf_dir):
