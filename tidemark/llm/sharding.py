@@ -12,7 +12,7 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SHARDS, SLOTS = 64, 8209
+SHARDS, SLOTS = 32, 2503
 
 
 def _number(text: str) -> int:

@@ -142,7 +142,7 @@ class ToxicityModel:
         """Words and word beginnings of toxic texts by smoothed log odds over the given folds; at most ``most`` each."""
         total = {y: sum(n for (f, k, _), n in kinds.items() if k == y and f in folds) for y in (0, 1)}
         found = []
-        for mark, least in (("=", 3), ("^", 3)):
+        for mark, least in (("=", 4), ("^", 4)):
             t, c = (F.expr(" + ".join(f"{name}{f}" for f in folds)) for name in "tc")
             odds = F.log((t + 0.5) / (total[1] + 1)) - F.log((c + 0.5) / (total[0] + 1))
             best = (counts.where(F.col("term").startswith(mark)).where(t >= least).withColumn("odds", odds).where("odds >= 2.5")
