@@ -34,7 +34,7 @@ def rows_of(names, rows):
     return sorted(tuple(canonical(r[i]) for i in order) for r in rows)
 
 
-OWN = {**entry.loads.QUERIES, **entry.columns.QUERIES}
+OWN = {**entry.loads.QUERIES, **entry.columns.QUERIES, **entry.landing.QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(OWN))

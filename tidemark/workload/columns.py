@@ -9,7 +9,7 @@ from tidemark.functions.documents import canonical, field, nested_to_text
 from tidemark.functions.names import clean_headers, column
 from tidemark.functions.rows import plain
 from tidemark.functions.text import strip_strings
-from tidemark.functions.typemap import TypeMap, cast_to, default_rows, failed_casts, lookup
+from tidemark.functions.typemap import TypeMap, cast_to, failed_casts, lookup
 from tidemark.operators import merge as m
 from tidemark.operators.audit import run_seconds, run_summary
 from tidemark.operators.chunk import assign_chunks
@@ -361,14 +361,17 @@ COLUMNS = {
 
 def catalog_sql(source: str) -> str:
     """Inferred catalog of a table whose cells are read as text."""
+    moment = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9:.]+$"
+    number = "^-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?$"
+
     def kind(c):
         t = f"CAST({c} AS VARCHAR)"
 
         def all_match(pattern):
             return f"count(*) FILTER (WHERE regexp_matches({t}, '{pattern}')) = count({c})"
 
-        return (f"CASE WHEN count({c}) = 0 THEN 'float64' WHEN {all_match(cat.WHOLE)} AND count({c}) = count(*) THEN 'int64' "
-                f"WHEN {all_match(cat.NUMBER)} THEN 'float64' WHEN {all_match(cat.MOMENT)} THEN 'datetime64[ns]' ELSE 'object' END")
+        return (f"CASE WHEN count({c}) = 0 THEN 'float64' WHEN {all_match('^-?[0-9]+$')} AND count({c}) = count(*) THEN 'int64' "
+                f"WHEN {all_match(number)} THEN 'float64' WHEN {all_match(moment)} THEN 'datetime64[ns]' ELSE 'object' END")
 
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {kind(c)} AS data_type, CAST({i} AS INTEGER) AS ordinal_position FROM {source}"
@@ -376,9 +379,9 @@ def catalog_sql(source: str) -> str:
 
 
 def map_sql() -> str:
-    known = TypeMap()
-    rows = ", ".join(f"('{t}', '{w}', '{known.resolve(s, t).spark}')" for s, t, w in default_rows() if s == "EXCEL")
-    return f"map(source_type, warehouse_type, spark_type) AS (VALUES {rows})"
+    return """map(source_type, warehouse_type, spark_type) AS (VALUES ('float64', 'string', 'double'), ('object', 'varchar', 'string'),
+        ('datetime64[ns]', 'timestamp_ntz', 'timestamp_ntz'), ('bool', 'boolean', 'boolean'), ('int64', 'varchar', 'bigint'),
+        ('integer', 'varchar', 'string'))"""
 
 
 _DOC_STATES = f"""{DOCUMENTS}, states AS (

@@ -67,6 +67,11 @@ def stage(spark, sf_dir) -> DataFrame:
     return stage_of(rows)
 
 
+def whole_stage(spark, sf_dir) -> DataFrame:
+    """The same with pending orders."""
+    return stage_of(timed_orders(spark, sf_dir))
+
+
 def stage_of(rows: DataFrame) -> DataFrame:
     filled = F.col("o_orderstatus") == "F"
     states = F.when(filled, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -84,6 +89,8 @@ STAGE = f"""stage AS (
   SELECT * REPLACE (o_totalprice + 5 AS o_totalprice, updt - INTERVAL 1 DAY AS updt)
   FROM timed_orders WHERE o_orderstatus = 'F')"""
 
+WHOLE_STAGE = STAGE.replace(" WHERE o_orderstatus <> 'P'", "")
+
 LATEST = f"""latest AS (
   SELECT {ORDER_COLUMNS} FROM (
     SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY coalesce(updt, o_orderdate) DESC NULLS FIRST,

@@ -199,7 +199,7 @@ def deleted_rows(spark, sf_dir):
 
 
 def master_refresh(spark, sf_dir):
-    return m.master_refresh(latest_orders(fx.stage(spark, sf_dir)), STAMP)
+    return m.master_refresh(latest_orders(fx.whole_stage(spark, sf_dir)), STAMP)
 
 
 def flagship(spark, sf_dir):
@@ -259,17 +259,19 @@ def evolve_add(spark, sf_dir):
 
 
 def evolve_drop_query(spark, sf_dir):
-    return evolve_drop(old_customers(spark, sf_dir), ["LEGACY_CODE"], allow_drop=True)
+    c = table(spark, sf_dir, "customer")
+    legacy = c.drop("c_acctbal").withColumn("legacy_code", F.concat(F.lit("L"), "c_custkey"))
+    return evolve_drop(m.with_stamps(legacy, OLD_STAMP), ["LEGACY_CODE"], allow_drop=True)
 
 
 # -- audit of a stage, archive, streams ---------------------------------------------------------------------
 
 def audit_counts(spark, sf_dir):
-    return size_check(fx.stage(spark, sf_dir))
+    return size_check(fx.whole_stage(spark, sf_dir))
 
 
 def archive_partition(spark, sf_dir):
-    return with_load_time(fx.stage(spark, sf_dir), STAMP)
+    return with_load_time(fx.whole_stage(spark, sf_dir), STAMP)
 
 
 def stream_upsert(spark, sf_dir):
@@ -409,7 +411,7 @@ ORACLES = {
         SELECT {MERGED_COLUMNS} FROM merged""",
     "deleted_rows": f"""WITH {TARGET}, {FEED} SELECT o_orderkey, o_totalprice FROM target
         WHERE o_orderkey IN (SELECT o_orderkey FROM feed)""",
-    "master_refresh": f"""WITH {TIMED_ORDERS}, {STAGE}, {LATEST} SELECT *, TIMESTAMP '{STAMP}' AS "EDW_INSERTED_TIMESTAMP",
+    "master_refresh": f"""WITH {TIMED_ORDERS}, {fx.WHOLE_STAGE}, {LATEST} SELECT *, TIMESTAMP '{STAMP}' AS "EDW_INSERTED_TIMESTAMP",
         CAST(NULL AS TIMESTAMP) AS "EDW_UPDATED_TIMESTAMP" FROM latest""",
     "snapshot_diff": _SNAP_DIFF,
     "snapshot_diff_hash": _SNAP_DIFF,
@@ -421,9 +423,9 @@ ORACLES = {
         coalesce(t."EDW_INSERTED_TIMESTAMP", TIMESTAMP '{STAMP}') AS "EDW_INSERTED_TIMESTAMP",
         CASE WHEN t.c_custkey IS NOT NULL THEN TIMESTAMP '{STAMP}' END AS "EDW_UPDATED_TIMESTAMP"
         FROM customer c LEFT JOIN old_customers t ON c.c_custkey = t.c_custkey""",
-    "evolve_drop": f"WITH {_OLD_CUSTOMERS} SELECT * EXCLUDE (legacy_code) FROM old_customers",
-    "audit_counts": f"WITH {TIMED_ORDERS}, {STAGE} SELECT count(*) AS rows, count(*) = 0 AS is_empty FROM stage",
-    "archive_partition": f"WITH {TIMED_ORDERS}, {STAGE} SELECT *, TIMESTAMP '{STAMP}' AS load_ts FROM stage",
+    "evolve_drop": f"SELECT * EXCLUDE (c_acctbal), {fx.AUDIT_SQL} FROM customer",
+    "audit_counts": f"WITH {TIMED_ORDERS}, {fx.WHOLE_STAGE} SELECT count(*) AS rows, count(*) = 0 AS is_empty FROM stage",
+    "archive_partition": f"WITH {TIMED_ORDERS}, {fx.WHOLE_STAGE} SELECT *, TIMESTAMP '{STAMP}' AS load_ts FROM stage",
     "stream_upsert": _UPSERT,
     "stream_dedup": "SELECT DISTINCT event_id, event_type, value FROM events",
 }
