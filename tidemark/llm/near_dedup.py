@@ -131,7 +131,7 @@ class NearDuplicates:
     """
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5,
-                 bands: int = 32, rows: int = 4, floor: float = 0.5, large: int = 32, cell: int = 1_000_000):
+                 bands: int = 32, rows: int = 4, floor: float = 0.5, large: int = 32, cell: int = 200_000):
         self.percent, self.width, self.bands, self.rows, self.floor = percent, width, bands, rows, floor
         self.large, self.cell = large, cell
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("rk"),
