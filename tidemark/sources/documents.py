@@ -15,6 +15,11 @@ def parse_documents(df: DataFrame, text: str, out: str = RAW) -> DataFrame:
     return df.withColumn(out, F.try_parse_json(F.col(text)))
 
 
+def picked(text: Column, fields: str) -> Column:
+    """Some fields of a JSON text as a struct, given as DDL; the rest of the document is skipped while parsing."""
+    return F.from_json(text, fields)
+
+
 def broken(text: Column) -> Column:
     """True for text that is neither blank nor JSON."""
     return F.coalesce(F.trim(text) != "", F.lit(False)) & F.try_parse_json(text).isNull()

@@ -18,7 +18,7 @@ from tidemark.operators.evolve import schema_drift
 from tidemark.operators.increment import changed_since
 from tidemark.sinks.tables import expired
 from tidemark.sources import catalog as cat, files
-from tidemark.sources.documents import RAW, elements, parse_documents, union_documents
+from tidemark.sources.documents import RAW, elements, parse_documents, picked, union_documents
 from tidemark.sources.odata import filter_column
 from tidemark.workload import fixtures as fx
 from tidemark.workload.fixtures import CONTROL, DOCUMENTS, OLD_STAMP, STAMP, canonical_sql, table
@@ -172,11 +172,11 @@ def doc_times(d):
 
 
 def doc_scan(spark, sf_dir):
-    d = F.col(RAW)
-    created, updated = doc_times(d)
-    return doc_rows(spark, sf_dir).select(
-        field(d, "_id").alias("id"), created.alias("created"), updated.alias("updated"),
-        field(d, "wallet.balance").alias("balance"), field(d, "props.k", "bigint").alias("k"))
+    """Only the asked fields are parsed; nothing else of a document is built."""
+    d = picked(F.col("body"), "_id string, createdAt string, updatedAt string, wallet struct<balance: string>, props struct<k: bigint>")
+    return fx.documents(spark, sf_dir).select(d.alias("d")).select(
+        F.col("d._id").alias("id"), times.parse(F.col("d.createdAt")).alias("created"), times.parse(F.col("d.updatedAt")).alias("updated"),
+        F.col("d.wallet.balance").alias("balance"), F.col("d.props.k").alias("k"))
 
 
 def doc_array_scan(spark, sf_dir):
@@ -206,11 +206,10 @@ def doc_states(spark, sf_dir):
 
 
 def latest_documents(spark, sf_dir):
-    """Only the winners are turned into canonical text."""
-    d = F.col(RAW)
-    created, updated = doc_times(d)
-    rows = parse_documents(doc_states(spark, sf_dir), "body").select(
-        field(d, "_id").alias("id"), created.alias("created"), updated.alias("updated"), "body")
+    """Key and times are picked before the shuffle; only the winners are parsed whole and turned into canonical text."""
+    d = picked(F.col("body"), "_id string, createdAt string, updatedAt string")
+    rows = doc_states(spark, sf_dir).select(d.alias("d"), "body").select(
+        F.col("d._id").alias("id"), times.parse(F.col("d.createdAt")).alias("created"), times.parse(F.col("d.updatedAt")).alias("updated"), "body")
     latest = latest_document_per_key(rows, F.col("id"), F.col("created"), F.col("updated"), F.col("body"))
     return latest.select("id", canonical(F.parse_json("body")).alias("document"))
 
