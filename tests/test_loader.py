@@ -356,12 +356,12 @@ def test_relational_reader_asks_for_the_right_tables(spark, monkeypatch):
     asked = []
     rows = frame(spark, (1, "a", 1.0, ts("2024-01-01"), None), (2, "b", 1.0, ts("2024-02-01"), None))
     monkeypatch.setattr(readers.jdbc, "read_table", lambda s, o, table, cols=None, split=None: asked.append((table, cols, split)) or rows)
-    monkeypatch.setattr(readers.jdbc, "read_query", lambda s, o, query, split=None: asked.append(query) or spark.sql("SELECT 1 AS low, 9 AS high"))
+    monkeypatch.setattr(readers.jdbc, "read_slices", lambda s, o, table, name, n, cols=None: asked.append((table, name, n, cols)) or rows)
     spec = job(is_deletion="yes", deleted_tbl="people_deleted", col_names="id, name")
     readers.relational("postgresql", {"url": "x"}, {"people": "id"}, partitions=4)(spark, spec, None)
     feed = readers.relational_deletes("postgresql", {"url": "x"})(spark, spec, "2024-01-15 00:00:00")
-    assert asked == ["SELECT MIN(id) AS low, MAX(id) AS high FROM public.people",
-                     ("public.people", "id, name", readers.jdbc.Split("id", "1", "9", 4)), ("public.people_deleted", None, None)]
+    readers.relational("postgresql", {"url": "x"}, partitions=1)(spark, spec, None)
+    assert asked == [("public.people", "id", 4, "id, name"), ("public.people_deleted", None, None), ("public.people", "id, name", None)]
     assert [tuple(r) for r in feed.collect()] == [(2, ts("2024-02-01"))]
 
 
@@ -414,7 +414,7 @@ def test_documents_with_iso_times_are_loaded(spark, tmp_path):
 
 def test_relational_rows_take_the_types_of_the_catalog(spark, monkeypatch):
     rows = spark.createDataFrame([("7", "1.25")], "id string, price string")
-    monkeypatch.setattr(readers.jdbc, "read_table", lambda *a, **k: rows)
+    monkeypatch.setattr(readers.jdbc, "read_slices", lambda *a, **k: rows)
     monkeypatch.setattr(readers.jdbc, "read_query", lambda s, o, query, split=None: s.createDataFrame(
         [("price", "float8", 2), ("id", "int8", 1)], "column_name string, data_type string, ordinal_position int"))
     got = readers.relational("postgresql", {"url": "x"}, type_map=TypeMap())(spark, job(), None)

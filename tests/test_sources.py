@@ -300,3 +300,14 @@ def test_scratch_needs_a_shared_folder(monkeypatch):
     assert storage.shared_dir(Session) == storage.shared_dir(Session)
     Session.conf.get = staticmethod(lambda key, default=None: "s3a://lake/tmp/")
     assert storage.scratch_path(Session, "x").startswith("s3a://lake/tmp/tidemark/x-")
+
+
+def test_slices_cover_every_row_once():
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 3 = 0 THEN 7 WHEN i % 11 = 0 THEN NULL ELSE i END AS k FROM range(1000) r(i)")
+    highs = [r[1] for r in con.execute(jdbc.slices_query("t", "k", 8)).fetchall()]
+    parts = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in jdbc.slices("k", highs)]
+    assert sum(parts) == 1000 and sorted(parts)[-2] < 200  # only the hot value's slice stands out
+    assert jdbc.slices("day", [dt.date(2024, 1, 1)]) == ["day <= '2024-01-01'", "day > '2024-01-01'", "day IS NULL"]
+    assert jdbc.slices("k", []) == ["k IS NULL"]

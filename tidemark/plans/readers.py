@@ -14,16 +14,19 @@ from tidemark.sources import catalog, documents, files, jdbc, odata
 
 def relational(source: str, connection: dict | None = None, split_on: dict[str, str] | None = None, partitions: int = 64,
                type_map: TypeMap | None = None) -> Reader:
-    """SQL Server or PostgreSQL tables. ``split_on`` names, per object, the column along which a scan is split.
+    """SQL Server or PostgreSQL tables. A scan is split along the column that ``split_on`` names for the object, else along the first
+    key, into slices of about equally many rows; with ``partitions=1`` it is one query.
 
     The loader's column list and increment filter become part of the remote query. With a ``type_map`` the columns get the types
     that it gives to those of the database's own catalog.
     """
     def read(spark, job, mark):
         options = connection or jdbc.options(spark, source, job.database_name)
-        table, name = f"{job.schema_name}.{job.obj_name}", (split_on or {}).get(job.obj_name)
-        split = jdbc.even_split(spark, options, table, name, partitions) if name else None
-        rows = jdbc.read_table(spark, options, table, job.col_names, split)
+        table, name = f"{job.schema_name}.{job.obj_name}", (split_on or {}).get(job.obj_name) or next(iter(job.keys), None)
+        if name and partitions > 1:
+            rows = jdbc.read_slices(spark, options, table, name, partitions, job.col_names)
+        else:
+            rows = jdbc.read_table(spark, options, table, job.col_names)
         if type_map is None:
             return rows
         asked = jdbc.read_query(spark, options, jdbc.catalog_query(job.obj_name, job.schema_name, job.col_names))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,6 +88,31 @@ def bounds_query(table: str, name: str) -> str:
     return f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}"
 
 
+def slices_query(table: str, name: str, partitions: int) -> str:
+    """Upper bounds of about equally many rows each, whatever the skew: one row per slice."""
+    tiles = f"SELECT {name} AS k, NTILE({partitions}) OVER (ORDER BY {name}) AS slice FROM {table} WHERE {name} IS NOT NULL"
+    return f"SELECT slice, MAX(k) AS high FROM ({tiles}) tiles GROUP BY slice"
+
+
+def slices(name: str, highs: list) -> list[str]:
+    """Disjoint conditions that cover every row: up to each bound, beyond the last one, and rows without a value in a part of their own.
+
+    A value that fills several slices keeps one.
+    """
+    bounds = [str(h) if isinstance(h, (int, float, Decimal)) else f"'{str(h).replace(chr(39), chr(39) * 2)}'" for h in sorted(set(highs))]
+    out = [f"{name} > {low} AND {name} <= {high}" for low, high in zip(bounds, bounds[1:])]
+    if bounds:
+        out = [f"{name} <= {bounds[0]}", *out, f"{name} > {bounds[-1]}"]
+    return [*out, f"{name} IS NULL"]
+
+
+def read_slices(spark: SparkSession, connection: dict, table: str, name: str, partitions: int, col_names: str | None = None) -> DataFrame:
+    """Scan as one range query per slice, with bounds that the database finds."""
+    highs = [r["high"] for r in read_query(spark, connection, slices_query(table, name, partitions)).collect()]  # one row per slice
+    given = {k: v for k, v in table_options(connection, table).items() if k not in ("url", "dbtable")}
+    return project(spark.read.jdbc(connection["url"], table, predicates=slices(name, highs), properties=given), col_names)
+
+
 def catalog_query(table: str, schema: str, col_names: str | None = None) -> str:
     """Column catalog of one table from ``information_schema``."""
     def text(value):
