@@ -18,7 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import staged
 
@@ -151,7 +151,7 @@ def _walk(listed, classes, log_noise, start, d, seed):
 class LanguageModel:
     """``train`` is a condition on the id that says which documents to learn from; a null id counts as not admitted."""
 
-    def __init__(self, docs: DataFrame, train, listed: int = 383, classes: int = 128, d: int = 16, table: int = 250_000,
+    def __init__(self, docs: DataFrame, train, listed: int = 383, classes: int = 128, d: int = 16, table: int = 200_000,
                  rounds: tuple[float, ...] = (0.1, 0.3, 1.0), seed: int = 11):
         self.spark, self.classes, self.d, self.table = docs.sparkSession, classes, d, table
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -160,13 +160,24 @@ class LanguageModel:
         self.counts = staged(learn.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
         totals = self.counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
         self.n, self.v = totals["n"] or 0, totals["v"]
-        frequent = self.counts.orderBy(F.desc("n"), "word").limit(table).toPandas()
-        self.frequent = {w.encode(): int(n) for w, n in zip(frequent.word, frequent.n)}
-        self.listed = [w for w in list(self.frequent)[: listed + 1] if w][:listed]
+        self.frequent = self._frequent(table)
+        top = self.counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(listed).collect()
+        self.frequent.update({r["word"].encode(): int(r["n"]) for r in top})
+        self.listed = [r["word"].encode() for r in top]
         self.ends = self.frequent.get(b"", 0) or (self.counts.where("word = ''").agg(F.sum("n")).first()[0] or 0)
         self._shares()
         self.flat = self._fit(learn, rounds, seed) if self.n else None
 
+    def _frequent(self, most: int) -> dict[bytes, int]:
+        """Words above the smallest count that at most ``most`` words reach, so that only those come to the driver."""
+        same = self.counts.groupBy("n").agg(F.count("*").alias("words"))
+        reach = F.sum("words").over(Window.orderBy(F.desc("n")))
+        least = same.select("n", reach.alias("reach")).where(F.col("reach") <= most).agg(F.min("n")).first()[0]
+        if least is None:
+            return {}
+        found = self.counts.where(F.col("n") >= least).toPandas()
+        return {w.encode(): int(n) for w, n in zip(found.word, found.n)}
+
     def _shares(self) -> None:
         """Logarithms of the smoothed outcome frequencies, and per class what its words and one unseen word share."""
         listed = self.spark.createDataFrame([(w.decode(),) for w in self.listed] + [("",)], "word string")
