@@ -9,6 +9,7 @@ starts first stays, and a character that is no piece costs the lowest score less
 from __future__ import annotations
 
 import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -18,10 +19,10 @@ PENALTY = 10.0
 
 
 class Counter:
-    """Counts pieces of texts. Texts are cut before a mark that follows another character, where no piece crosses; results of
-    short stretches are remembered, within a bound."""
+    """Counts pieces of texts. Texts are cut where no piece crosses: before a mark that follows another character, and around
+    characters that no piece holds. Results of short stretches are remembered, within a bound."""
 
-    def __init__(self, pieces: list[tuple[str, float]], remembered: int = 100_000):
+    def __init__(self, pieces: list[tuple[str, float]], remembered: int = 250_000):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
@@ -32,6 +33,9 @@ class Counter:
         self.unknown = min(score for _, score in pieces) - PENALTY
         self.longest = max(len(piece) for piece, _ in pieces)
         self.separable = not any(MARK in piece.lstrip(MARK) for piece, _ in pieces)
+        # Marks in a row and what follows them; line ends and tabs that no piece holds stand alone.
+        alone = "".join(re.escape(c) for c in "\n\r\t" if not any(c in piece for piece, _ in pieces))
+        self.stretches = re.compile((f"[{alone}]|" if alone else "") + f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+")
         self.seen: dict[str, tuple[int, float, int]] = {}
         self.remembered = remembered
 
@@ -79,6 +83,23 @@ class Counter:
         slot = len(text) % ring
         return counts[slot], scores[slot], lost[slot]
 
+    def _short(self, text: str) -> tuple[int, float, int] | None:
+        """As :meth:`best`, for a stretch of which every character is a piece; else None."""
+        scores, counts, at, single = [0.0] * (len(text) + 1), [0] * (len(text) + 1), 0, True
+        for end, (length, score) in self.automaton.iter(text):
+            if end != at - 1:
+                if end != at or not single:
+                    return None
+                at, single = end + 1, length == 1
+                scores[at], counts[at] = score + scores[at - length], counts[at - length] + 1
+            else:
+                value = score + scores[at - length]
+                if value > scores[at]:
+                    scores[at], counts[at] = value, counts[at - length] + 1
+                if length == 1:
+                    single = True
+        return (counts[at], scores[at], 0) if single and at == len(text) else None
+
     def count(self, text: str) -> tuple[int, float, int]:
         if not text:
             return 0, 0.0, 0
@@ -86,31 +107,22 @@ class Counter:
         if not self.separable:
             return self.best(marked)
         total, score, off, seen = 0, 0.0, 0, self.seen
-        for word in marked.replace(MARK, " " + MARK).split(" ")[1:] if MARK * 2 not in marked else _stretches(marked):
+        for word in self.stretches.findall(marked):
             known = seen.get(word)
             if known is None:
-                known = self.best(word)
                 if len(word) <= 64:
+                    known = self._short(word) or self.best(word)
                     if len(seen) >= self.remembered:
                         seen.clear()
                     seen[word] = known
+                else:
+                    known = self.best(word)
             total += known[0]
             score += known[1]
             off += known[2]
         return total, score, off
 
 
-def _stretches(marked: str) -> list[str]:
-    """Marks in a row, and what follows them up to the next mark, as one stretch."""
-    out, begin = [], 0
-    for i in range(1, len(marked)):
-        if marked[i] == MARK and marked[i - 1] != MARK:
-            out.append(marked[begin:i])
-            begin = i
-    out.append(marked[begin:])
-    return out
-
-
 def vocabulary(path: str, most: int = 500_000) -> list[tuple[str, float]]:
     """(piece, score) of a sentencepiece model file, without its control, unknown and byte symbols.
 
