@@ -343,3 +343,19 @@ def test_rendering_round_trip(spark):
     assert (got[1].loss_chars, got[1].loss_sha256) == (len(said), hashlib.sha256(said.encode()).hexdigest())
     assert got[None].n_turns == 1 and got[None].loss_chars == 0
     assert chat.read_back(segments.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("high", [7, 1 << 45])
+def test_long_texts_without_a_turn_stay_in_order(spark, tmp_path, high):
+    """Pieces of a text without a turn are joined in order; the SQL keeps the text whole."""
+    duckdb = pytest.importorskip("duckdb")
+    from tidemark.llm import queries
+
+    falling = "".join(c * 256 for c in "zyxwv") + "a"
+    turns = [(1, None, "assistant", falling), (1, None, "user", "b" * 300 + "a" * 300), (1, 0, "user", falling), (1, high, "assistant", falling[::-1]),
+             (2, None, "assistant", falling), (2, None, "assistant", falling), (2, None, None, None)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = queries.op10_chat(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert sorted(map(tuple, got.collect())) == sorted(con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.OP10_SQL})").fetchall())

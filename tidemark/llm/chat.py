@@ -1,6 +1,6 @@
 """Chat formatting by event sourcing: a log of events is folded into final messages, which are rendered with a template.
 
-The log has one row per event: conv_id, message, seq, kind, role, text. Kinds: ``start`` opens a message, ``delta`` appends
+The log has one row per event: conv_id, message, seq, kind, role, text, and part where one sequence number has several. Kinds: ``start`` opens a message, ``delta`` appends
 to it, ``edit`` replaces its text, ``regenerate`` empties it so that later deltas write it anew, ``delete`` takes it away.
 Logs are partitioned by conversation and message and sorted by sequence; a task folds one message after the other and
 holds one message only, so a conversation may be of any length. Rendering gives one segment per message; a conversation's
@@ -72,13 +72,14 @@ def fold(log: DataFrame) -> DataFrame:
     """Final messages (conv_id, message, place, role, text) of a log.
 
     ``place`` is the sequence number of a message's first event; events without one come last. Events of equal sequence go by
-    kind and text, repeated ones count again. Null texts are empty; unknown kinds append. Null ids form a conversation.
+    ``part`` (if the log has it), kind and text, repeated ones count again. Null texts are empty; unknown kinds append. Null ids form a conversation.
     """
     first = F.when(F.col("kind") == "start", 0).otherwise(1)
     rows = log.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("message").cast("string").alias("message"),
-                      F.col("seq").cast("long").alias("seq"), "kind", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+                      F.col("seq").cast("long").alias("seq"), "kind", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
+                      (F.col("part") if "part" in log.columns else F.lit(0)).cast("long").alias("part"))
     rows = rows.withColumn("first", first).repartition("conv_id", "message")
-    rows = rows.sortWithinPartitions("conv_id", "message", F.col("seq").asc_nulls_last(), "first", "kind", "text")
+    rows = rows.sortWithinPartitions("conv_id", "message", F.col("seq").asc_nulls_last(), "part", "first", "kind", "text")
     return rows.mapInArrow(_fold, MESSAGE)
 
 
@@ -150,7 +151,7 @@ def read_back(segments: DataFrame) -> DataFrame:
 
 def log_of_turns(turns: DataFrame, piece: int = 256) -> DataFrame:
     """The log of conversations that are given as rows (conv_id, turn, role, text): every text arrives in deltas of ``piece``
-    characters. Every row is a message of its own, so repeated rows and turns stay; rows without a turn come last."""
+    characters, told apart by ``part``. Every row is a message of its own, so repeated rows and turns stay; rows without a turn come last."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     last = F.ceil(F.length("text") / piece).cast("int")
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -158,4 +159,4 @@ def log_of_turns(turns: DataFrame, piece: int = 256) -> DataFrame:
     rows = rows.withColumn("message", F.monotonically_increasing_id().cast("string")).withColumn("part", F.explode(F.sequence(F.lit(0), last)))
     delta = F.when(F.col("part") > 0, F.substring("text", (F.col("part") - 1) * piece + 1, F.lit(piece))).otherwise("")
     kind = F.when(F.col("part") > 0, "delta").otherwise("start")
-    return rows.select("conv_id", "message", (F.col("turn") * (1 << 24) + F.col("part")).alias("seq"), kind.alias("kind"), "role", delta.alias("text"))
+    return rows.select("conv_id", "message", F.col("turn").alias("seq"), kind.alias("kind"), "role", delta.alias("text"), "part")
