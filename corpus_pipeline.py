@@ -6,7 +6,7 @@ columns of ``documents``. Every stage's result is written as Parquet and read ba
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm import decontaminate, mixing, near_dedup, queries, sharding, toxicity
 from tidemark.llm.common import staged
@@ -20,10 +20,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("rk").alias("_rk"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_rk"))
-    return docs.join(kept.distinct().hint("shuffle_hash"), same, "left_semi")
+    """One row of each group of near-duplicates stays: the smallest id, no id last, then by hash of the text and of the row.
+
+    Texts without words belong to no group and stay.
+    """
+    key = ["_no_id", "_id", "_rk"]
+
+    def keyed(rows: DataFrame, rk: Column) -> DataFrame:
+        number = F.col("doc_id").cast("long")
+        return rows.withColumns({"_no_id": number.isNull(), "_id": F.coalesce(number, F.lit(0)), "_rk": rk})
+
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*docs.columns)))
+    single = keyed(docs.where(worded), F.xxhash64("text")).withColumn("_place", place).where("_place = 1")
+    kept = keyed(near_dedup.NearDuplicates(docs).survivors(), F.col("rk")).select(*key)
+    return single.join(kept.hint("shuffle_hash"), key, "left_semi").select(*docs.columns).union(docs.where(~worded))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,3 +178,20 @@ def test_pipeline_keeps_what_each_stage_decides(spark, sf_dir, oracle):
     con.execute("CREATE OR REPLACE TABLE documents AS SELECT DISTINCT * FROM mixed")
     want = dict(con.execute(f"SELECT doc_id, shard FROM ({queries.ORACLES['op5_shards']})").fetchall())
     assert len(shards) == len(mixed) and all(want[i] == s for i, s in zip(shards.doc_id, shards.shard))
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    lone = " ".join(f"u{i}" for i in range(60))
+    rows = [(7, base, "a"), (7, base, "a"), (7, base, "b"), (7, base + " x", "a"), (None, base, "a"), (9, base + " y", "a")]  # repeated rows and ids
+    rows += [(None, other + f" z{i % 3}", "a") for i in range(40)]  # a group without ids
+    rows += [(7, lone, "a"), (8, "", "a"), (8, "", "a"), (None, None, "a"), (None, " \n", "a")]  # unlinked
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    words = [[r for r in kept if (r[1] or "").startswith(x)] for x in ("w", "v", "u")]
+    assert [len(x) for x in words] == [1, 1, 1] and words[0][0][0] == 7 and words[1][0][0] is None
+    assert sorted(map(repr, (r for r in kept if not (r[1] or "").strip()))) == sorted(map(repr, rows[-4:]))
+    assert all(r in rows for r in kept)

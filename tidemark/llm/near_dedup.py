@@ -26,6 +26,11 @@ from tidemark.llm.shingles import U, mix, shingle_sets, super_minhash
 ROWS = "doc_id long, rk long, n long, f1 long, f2 long, sig array<short>"
 
 
+def _first():
+    """The first row of a group: by id, those without one last, then by hash of the text."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk"))
+
+
 def _sign(size: int, width: int):
     def run(batches):
         for batch in batches:
@@ -143,9 +148,8 @@ class NearDuplicates:
     def classes(self, rows: DataFrame) -> DataFrame:
         """One row per different shingle set: cid, its first row, size and signature."""
         found = (rows.where("n > 0").groupBy("f1", "f2", "n")
-                 .agg(F.min(F.struct("doc_id", "rk")).alias("rep"), F.first("sig").alias("sig"), F.min("doc_id").alias("least")))
-        return staged(found.select(F.monotonically_increasing_id().alias("cid"), "f1", "f2", "n", "rep.doc_id", "rep.rk", "least", "sig"),
-                      "near-classes")
+                 .agg(_first().alias("rep"), F.first("sig").alias("sig")))
+        return staged(found.select(F.monotonically_increasing_id().alias("cid"), "f1", "f2", "n", "rep.doc_id", "rep.rk", "sig"), "near-classes")
 
     def buckets(self, classes: DataFrame) -> DataFrame:
         """(band, cid, lead) of the bands that more than one class has. Leads are drawn anew for every fourth part of the bands, so
@@ -231,9 +235,8 @@ class NearDuplicates:
             100 * most >= self.percent * (F.col("a_n") + F.col("b_n") - most)).where(~F.coalesce(F.arrays_overlap("a_met", "b_met"), F.lit(False)))
         return pairs.select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")).distinct()
 
-    def groups(self) -> DataFrame:
-        """doc_id, rk (hash of the text), n_shingles, component_id, kept; one row per row of ``docs``."""
-        rows = self.signatures()
+    def rooted(self, rows: DataFrame) -> DataFrame:
+        """Classes (f1, f2, n, first row) with the root of their group."""
         classes = self.classes(rows)
         buckets = self.buckets(classes)
         wanted = classes.join(buckets.select("cid").distinct(), "cid").select("cid", F.col("doc_id").alias("w_id"), F.col("rk").alias("w_rk"))
@@ -256,8 +259,18 @@ class NearDuplicates:
         more = self._links(staged(self.verified(pairs, classes, texts), "near-more", rows=500))
         if not more.isEmpty():
             roots = components(links.union(more), "near-roots")
-        rooted = classes.join(roots, classes.cid == roots.node, "left").select("f1", "f2", "n", "least", F.coalesce("root", "cid").alias("root"))
-        named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+        return classes.join(roots, classes.cid == roots.node, "left").select("f1", "f2", "n", "doc_id", "rk", F.coalesce("root", "cid").alias("root"))
+
+    def survivors(self) -> DataFrame:
+        """doc_id, rk of the first row of each group of texts with shingles, whether or not its rows have ids."""
+        first = self.rooted(self.signatures()).groupBy("root").agg(_first().alias("first"))
+        return first.select("first.doc_id", "first.rk")
+
+    def groups(self) -> DataFrame:
+        """doc_id, rk (hash of the text), n_shingles, component_id, kept; one row per row of ``docs``."""
+        rows = self.signatures()
+        rooted = self.rooted(rows)
+        named = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         of_class = rooted.join(named, "root").select("f1", "f2", "n", "component_id")
         out = rows.join(of_class, ["f1", "f2", "n"], "left")
         component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
