@@ -311,3 +311,15 @@ def test_slices_cover_every_row_once():
     assert sum(parts) == 1000 and sorted(parts)[-2] < 200  # only the hot value's slice stands out
     assert jdbc.slices("day", [dt.date(2024, 1, 1)]) == ["day <= '2024-01-01'", "day > '2024-01-01'", "day IS NULL"]
     assert jdbc.slices("k", []) == ["k IS NULL"]
+
+
+def test_entity_pages_are_bounded(spark):
+    """A user with most of the events gets many pages; users without an id keep theirs."""
+    from tidemark.workload.landing import entity_pages
+
+    user = F.when(F.col("id") % 3 > 0, 1).when(F.col("id") % 9 == 0, F.lit(None)).otherwise(F.col("id"))
+    events = spark.range(20_000).select((F.col("id") % 10_000).alias("event_id"), user.cast("long").alias("user_id"), F.lit(0.5).alias("value"),
+                                        F.timestamp_seconds(F.col("id")).alias("ts"))
+    pages = [json.loads(r.page)["d"]["results"] for r in entity_pages(events, size=100).collect()]
+    assert max(map(len, pages)) <= 200
+    assert sorted(int(x["Id"]) for p in pages for x in p) == sorted(i % 10_000 for i in range(20_000))

@@ -25,12 +25,20 @@ def doc_rejects(spark, sf_dir):
     return lines.groupBy("event_type").agg(F.count_if(documents.broken(F.col("line"))).alias("rejected"), F.count("*").alias("lines"))
 
 
-def odata_pages_flatten(spark, sf_dir):
-    """Pages of entities as JSON text, one per user, exploded and typed by their catalog."""
-    e = table(spark, sf_dir, "events")
+def entity_pages(e, size: int = 500):
+    """(user_id, page): each user's events as JSON texts of about ``size`` entities; rows are dealt to a user's pages by their number."""
+    of_user = e.groupBy(F.col("user_id").alias("_user")).agg(F.ceil(F.count("*") / size).alias("_pages"))
+    dealt = e.withColumn("_row", F.monotonically_increasing_id()).join(of_user, F.col("user_id").eqNullSafe(F.col("_user")))
+    page = F.pmod(F.xxhash64("_row"), F.col("_pages")).alias("_page")
     entity = F.struct(F.col("event_id").cast("string").alias("Id"), F.col("value").cast("string").alias("Amount"),
                       F.concat(F.lit("/Date("), F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit(")/")).alias("At"))
-    pages = e.groupBy("user_id").agg(F.to_json(F.struct(F.struct(F.collect_list(entity).alias("results")).alias("d"))).alias("page"))
+    pages = dealt.groupBy("user_id", page).agg(F.to_json(F.struct(F.struct(F.collect_list(entity).alias("results")).alias("d"))).alias("page"))
+    return pages.select("user_id", "page")
+
+
+def odata_pages_flatten(spark, sf_dir):
+    """Pages of entities as JSON text, each of one user and of bounded size, exploded and typed by their catalog."""
+    pages = entity_pages(table(spark, sf_dir, "events"))
     read = F.from_json("page", "d struct<results: array<struct<Id: string, Amount: string, At: string>>>")
     rows = odata.flatten_entities(pages.select(F.explode(read["d"]["results"]).alias("e")).select("e.*"))
     typed = odata.typed_entities(rows, [("Id", "Edm.Int64"), ("Amount", "Edm.Double"), ("At", "Edm.DateTime")], TypeMap())
