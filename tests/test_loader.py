@@ -419,3 +419,15 @@ def test_relational_rows_take_the_types_of_the_catalog(spark, monkeypatch):
         [("price", "float8", 2), ("id", "int8", 1)], "column_name string, data_type string, ordinal_position int"))
     got = readers.relational("postgresql", {"url": "x"}, type_map=TypeMap())(spark, job(), None)
     assert got.schema.simpleString() == "struct<id:bigint,price:double>"
+
+
+def test_control_append_logs_all_runs_in_one_write(spark, sf_dir, monkeypatch):
+    """Runs grow with the table's days; no run is written by itself."""
+    from tidemark.workload import landing
+
+    written = []
+    append = Loader._append
+    monkeypatch.setattr(Loader, "_append", lambda self, runs: (written.append(runs), append(self, runs)))
+    landing.control_append(spark, sf_dir)
+    days = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderpriority", "o_orderdate").distinct().count()
+    assert len(written) == 1 and written[0].count() == days > 1000

@@ -264,24 +264,29 @@ class Loader:
         self._control().create(CONTROL_SCHEMA)
 
     def _audit(self, o: Outcome, start, end):
-        job = o.job
         with self._log:
             last = self.control().agg(F.max("RUN_ID").alias("r")).first()["r"]
-            row = {
-                "RUN_ID": (last or 0) + 1, "RUN_START": start, "RUN_END": end,
-                "DURATION_IN_SEC": (end - start).total_seconds(), "IP_ADDRESS": self.addresses.get(job.source),
-                "TARGET_DATABASE_NAME": self.target_name[0], "TARGET_SCHEMA_NAME": self.target_name[1],
-                "SOURCE_DATABASE_NAME": "-" if job.is_file else job.database_name,
-                "SOURCE_SCHEMA_NAME": "-" if job.is_file else job.schema_name,
-                "SOURCE_OBJECT_NAME": job.obj_name, "TARGET_TABLE_NAME": job.sf_tbl.upper(),
-                "TRIGGERED_BY": self.spark.sparkContext.appName, "STATUS": o.status, "ERROR_MESSAGE": o.error,
-                "ROWS_INSERTED": o.inserted, "ROWS_UPDATED": o.updated, "ROWS_DELETED": o.deleted,
-                "MAX_TIMESTAMP": o.mark, "CREATED_TIMESTAMP": end, "CREATED_BY": getpass.getuser(),
-            }
+            row = self._audit_row(o, start, end, (last or 0) + 1)
             values = tuple(row.get(f.name) for f in CONTROL_SCHEMA.fields)
-            control = self._control()
-            self.spark.createDataFrame([values], CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(
-                control.version_path(control.current()))
+            self._append(self.spark.createDataFrame([values], CONTROL_SCHEMA).coalesce(1))
+
+    def _audit_row(self, o: Outcome, start, end, run_id: int) -> dict:
+        job = o.job
+        return {
+            "RUN_ID": run_id, "RUN_START": start, "RUN_END": end,
+            "DURATION_IN_SEC": (end - start).total_seconds(), "IP_ADDRESS": self.addresses.get(job.source),
+            "TARGET_DATABASE_NAME": self.target_name[0], "TARGET_SCHEMA_NAME": self.target_name[1],
+            "SOURCE_DATABASE_NAME": "-" if job.is_file else job.database_name,
+            "SOURCE_SCHEMA_NAME": "-" if job.is_file else job.schema_name,
+            "SOURCE_OBJECT_NAME": job.obj_name, "TARGET_TABLE_NAME": job.sf_tbl.upper(),
+            "TRIGGERED_BY": self.spark.sparkContext.appName, "STATUS": o.status, "ERROR_MESSAGE": o.error,
+            "ROWS_INSERTED": o.inserted, "ROWS_UPDATED": o.updated, "ROWS_DELETED": o.deleted,
+            "MAX_TIMESTAMP": o.mark, "CREATED_TIMESTAMP": end, "CREATED_BY": getpass.getuser(),
+        }
+
+    def _append(self, runs: DataFrame) -> None:
+        control = self._control()
+        runs.write.mode("append").parquet(control.version_path(control.current()))
 
 
 def document_rows(raw: DataFrame, job: JobSpec) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.functions.typemap import TypeMap, lookup
+from tidemark.operators.audit import CONTROL_SCHEMA
 from tidemark.plans.loader import Loader, Outcome
 from tidemark.sinks.storage import scratch_path
 from tidemark.sinks.tables import read_stage, write_stage
@@ -54,17 +55,20 @@ def stage_roundtrip(spark, sf_dir):
 
 
 def control_append(spark, sf_dir):
-    """A run per order priority, logged through the loader with the number of its orders, and read back."""
-    found = table(spark, sf_dir, "orders").groupBy("o_orderpriority").count().orderBy("o_orderpriority").collect()  # five priorities
+    """A run per day and order priority, logged in one append with the number of its orders, read back and added up by target."""
     loader = Loader(spark, scratch_path(spark, "control-append"), {}, target_name=("WAREHOUSE", "PUBLIC"))
     loader._ensure_control()
     start = loader.clock()
-    for r in found:
-        job = JobSpec(**{**dict.fromkeys(JobSpec.__dataclass_fields__), "src_db_name": "postgresql", "obj_type": "table",
-                         "obj_name": r["o_orderpriority"], "sf_tbl": r["o_orderpriority"]})
-        loader._audit(Outcome(job, "SUCCESS", inserted=r["count"]), start, start + timedelta(seconds=90))
-    return loader.control().select(F.col("RUN_ID").alias("run_id"), F.col("TARGET_TABLE_NAME").alias("target_table"), F.col("STATUS").alias("status"),
-                                   F.col("ROWS_INSERTED").alias("rows_inserted"), F.col("DURATION_IN_SEC").alias("seconds"))
+    job = JobSpec(**{**dict.fromkeys(JobSpec.__dataclass_fields__), "src_db_name": "postgresql", "obj_type": "table", "obj_name": "-", "sf_tbl": "-"})
+    row = loader._audit_row(Outcome(job, "SUCCESS"), start, start + timedelta(seconds=90), 0)
+    found = table(spark, sf_dir, "orders").groupBy("o_orderpriority", "o_orderdate").count()
+    own = {"RUN_ID": F.row_number().over(Window.orderBy("o_orderpriority", "o_orderdate")).cast("long"), "ROWS_INSERTED": F.col("count"),
+           "SOURCE_OBJECT_NAME": F.col("o_orderpriority"), "TARGET_TABLE_NAME": F.upper("o_orderpriority")}
+    loader._append(found.select(*(own.get(f.name, F.lit(row.get(f.name))).cast(f.dataType).alias(f.name) for f in CONTROL_SCHEMA.fields)))
+    by_target = loader.control().groupBy(F.col("TARGET_TABLE_NAME").alias("target_table"), F.col("STATUS").alias("status")).agg(
+        F.min("RUN_ID").alias("first"), F.sum("ROWS_INSERTED").alias("rows_inserted"), F.max("DURATION_IN_SEC").alias("seconds"))
+    run = F.row_number().over(Window.orderBy("first")).cast("long")
+    return by_target.select(run.alias("run_id"), "target_table", "status", "rows_inserted", "seconds")
 
 
 def catalog_synthetic(spark, sf_dir):
