@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontaminate, exact_dedup, lm_score, mixing, near_dedup, pii, sharding, token_count, toxicity
+from tidemark.llm import chat, decontaminate, exact_dedup, lm_score, mixing, near_dedup, pii, prefix_trie, sharding, sim_dedup, spelling, token_count, toxicity
 
 TOKENIZERS = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
 
@@ -75,6 +75,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render(chat.fold(chat.log_of_turns(turns))))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), damage=97)
+
+
+def op12_sim_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sim_dedup.sim_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), borrow=100)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_near_duplicates": op2_near_duplicates,
@@ -86,6 +98,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
+    "op11_spelling": op11_spelling,
+    "op12_sim_duplicates": op12_sim_duplicates,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 
@@ -171,10 +186,92 @@ SELECT conv_id, count(*) AS n_turns,
 FROM segments GROUP BY conv_id
 """
 
+CRC_TABLE = """
+bits AS (
+  SELECT i, 0 AS k, i AS c FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crcs AS (SELECT list(c ORDER BY i) AS crc FROM bits WHERE k = 8)"""
+
+# of text column s with code points below 2048
+CRC = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(s, ''), lambda c: CASE WHEN unicode(c) < 128
+    THEN [unicode(c)::BIGINT] ELSE [192 | (unicode(c)::BIGINT >> 6), 128 | (unicode(c)::BIGINT & 63)] END)),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+OP11_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({ASCII.format("coalesce(text, '')")}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+each AS (SELECT run, doc_id || ':' || run AS s, count(*) AS k FROM runs GROUP BY ALL),
+hashed AS (SELECT run, k, {CRC} AS h FROM each, crcs),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k
+    FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words),
+less AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS g FROM places),
+blank AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS g FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM blank a JOIN blank b ON a.g = b.g AND a.word <> b.word
+  UNION ALL SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.g = w.word
+  UNION ALL SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.g = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS best_n FROM near GROUP BY word),
+named AS (
+  SELECT b.word, n_near, best_n, min(other) AS best FROM best b JOIN near e ON e.word = b.word AND e.n = best_n GROUP BY ALL),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form,
+    CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN named b ON b.word = w.word),
+chain AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.next)
+SELECT f.word, n, n_near, form, form_n, root FROM forms f JOIN chain c ON c.word = f.word AND next IS NULL
+"""
+
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, {CRC} % 6 AS h FROM (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM placed), crcs),
+built AS (
+  SELECT c.conv_id, p.pos, 0 AS own, md5(length(role) || ':' || role || text) AS e, length(text) AS chars
+  FROM convs c JOIN placed p ON p.conv_id = c.conv_id - c.conv_id % 100 AND p.pos <= h
+  UNION ALL
+  SELECT c.conv_id, p.pos, 1, md5(length(role) || ':' || role || text), length(text)
+  FROM convs c JOIN placed p ON p.conv_id = c.conv_id AND p.pos > h),
+turned AS (SELECT conv_id, e, chars, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM built),
+prefixes AS (
+  SELECT conv_id, depth, chars, string_agg(e, ',') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM turned
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+sized AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM prefixes),
+nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM sized GROUP BY depth, path),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, p.path AS above FROM nodes n
+  LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = CASE WHEN n.depth = 1 THEN '' ELSE substr(n.path, 1, length(n.path) - 33) END),
+born AS (SELECT above AS path, depth - 1 AS depth, count(*) AS k FROM linked WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT l.*, coalesce(k, 0) AS n_children FROM linked l LEFT JOIN born b ON b.path = l.path AND b.depth = l.depth),
+inside AS (
+  SELECT a.depth, a.path, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+    sum((b.n_convs - 1) * b.chars)::BIGINT AS saved_tokens
+  FROM full_nodes a JOIN sized s ON s.depth = a.depth AND s.path = a.path
+  JOIN sized t ON t.conv_id = s.conv_id AND t.depth >= s.depth
+  JOIN full_nodes b ON b.depth = t.depth AND b.path = t.path AND b.conv_id = t.conv_id
+  GROUP BY a.depth, a.path)
+SELECT conv_id, f.depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM full_nodes f JOIN inside i ON i.depth = f.depth AND i.path = f.path
+"""
+
 ORACLES: dict[str, str] = {
     "op2_near_duplicates": OP2_SQL,
     "op3_exact_duplicates": OP3_SQL,
     "op5_shards": OP5_SQL,
     "op8_decontamination": OP8_SQL,
     "op10_chat": OP10_SQL,
+    "op11_spelling": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
