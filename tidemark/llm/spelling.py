@@ -4,10 +4,10 @@
 2. A word is arranged by how many of its letters fall into each of 16 groups, one level of the trie per group. One edit changes at
    most one count by +1 and one by -1, so a search that may spend one surplus and one deficit on its way down meets all words
    one edit away. Words at the leaves it reaches are compared letter by letter.
-3. The trie is cut below its first levels, where subtrees become small enough. A word lies in one subtree and is asked for in each
-   subtree that its budget reaches. Subtrees are cut into cells of bounded size, and each cell is searched in one task, for blocks
-   of words at a time. A cell returns one row per word asked for: the number of near words and the best of them; pairs are
-   never rows.
+3. The trie is cut below its first levels, where subtrees become small enough. A word lies in one subtree and is asked for there and
+   in each later subtree that its budget reaches; what it meets in a later one counts for both words. Subtrees are cut into cells of
+   bounded size, and each cell is searched in one task, for blocks of words at a time. A cell returns one row per word: the number of
+   near words and the best of them; pairs are never rows.
 4. Forms are followed to the last by doubling, in as many rounds as the logarithm of the longest chain.
 """
 
@@ -32,7 +32,7 @@ def letters_of(group: int) -> str:
 
 
 def steps(levels: int) -> list[list[int]]:
-    """What a budget of one surplus and one deficit may change over the first ``levels`` counts."""
+    """What a budget of one surplus and one deficit may change over the first ``levels`` counts; no change comes first."""
     out = [[0] * levels]
     for up in (*range(levels), None):
         for down in (*range(levels), None):
@@ -129,17 +129,31 @@ def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + first[row]
 
 
+class Best:
+    """For each word of one side: number of near words, and the place of the most frequent one of the other side (ties: the smallest)."""
+
+    def __init__(self, own: Words, other: Words):
+        self.near = np.zeros(len(own.n), np.int64)
+        self.liked = np.array(sorted(range(len(other.n)), key=lambda i: (-other.n[i], other.plain[i])), np.int64)
+        self.rank = np.empty(len(self.liked), np.int64)
+        self.rank[self.liked] = np.arange(len(self.liked))
+        self.top = np.full(len(own.n), len(self.liked), np.int64)
+        self.own, self.other = own, other
+
+    def meet(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.near += np.bincount(x, minlength=len(self.near))
+        np.minimum.at(self.top, x, self.rank[y])
+
+    def rows(self) -> list[tuple]:
+        return [(self.own.plain[i].decode("latin-1"), int(self.near[i]), self.other.plain[j].decode("latin-1"), int(self.other.n[j]))
+                for i in np.flatnonzero(self.near).tolist() for j in (self.liked[self.top[i]],)]
+
+
 def search(asked: Words, trie: Words):
-    """For each asked word: number of near words of the trie, and the place of the most frequent one (ties: the smallest), or -1."""
-    near, best = np.zeros(len(asked.n), np.int64), np.full(len(asked.n), -1, np.int64)
+    """(x, y): places of asked words and of words of the trie one edit apart, some at a time."""
     if not len(asked.n) or not len(trie.n):
-        return near, best
+        return
     levels, base = _levels(trie.vectors)
-    # places in the order of preference: most frequent first, then by code points
-    liked = np.array(sorted(range(len(trie.n)), key=lambda i: (-trie.n[i], trie.plain[i])))
-    rank = np.empty(len(liked), np.int64)
-    rank[liked] = np.arange(len(liked))
-    top = np.full(len(asked.n), len(liked), np.int64)
     for at in range(0, len(asked.vectors), BLOCK):
         who, leaf = _reached(asked.vectors[at : at + BLOCK], levels, base)
         who = who + at
@@ -154,22 +168,26 @@ def search(asked: Words, trie: Words):
                 pick, y = _expand(trie.first[leaves[some]], trie.first[leaves[some] + 1])
                 xs = x[some][pick]
                 hit = _one_edit(asked, xs, trie, y)
-                near += np.bincount(xs[hit], minlength=len(near))
-                np.minimum.at(top, xs[hit], rank[y[hit]])
+                yield xs[hit], y[hit]
             start = end
-    found = top < len(liked)
-    best[found] = liked[top[found]]
-    return near, best
 
 
 def _search_cell(asked, trie):
-    asked, trie = (Words(t.column(f"{side}_word"), t.column(f"{side}_n").to_numpy()) for side, t in (("a", asked), ("t", trie)))
-    near, best = search(asked, trie)
-    rows = np.flatnonzero(near)
-    return pa.table([
-        pa.array([asked.plain[i].decode("latin-1") for i in rows], pa.string()), pa.array(near[rows]),
-        pa.array([trie.plain[best[i]].decode("latin-1") for i in rows], pa.string()), pa.array(trie.n[best[rows]], pa.int64()),
-    ], names=["word", "near", "best", "best_n"])
+    """Words asked from the trie's own subtree get what they meet; with words from earlier subtrees both sides do."""
+    out, inside = [], asked.column("a_inside").to_numpy(zero_copy_only=False)
+    trie = Words(trie.column("t_word"), trie.column("t_n").to_numpy())
+    for own in (True, False):
+        some = asked.filter(pa.array(inside == own))
+        words = Words(some.column("a_word"), some.column("a_n").to_numpy())
+        here, there = Best(words, trie), Best(trie, words)
+        for x, y in search(words, trie):
+            here.meet(x, y)
+            if not own:
+                there.meet(y, x)
+        out += here.rows() + there.rows()
+    names = ["word", "near", "best", "best_n"]
+    columns = list(zip(*out)) or [()] * 4
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.int64()))], names=names)
 
 
 class SpellingVariants:
@@ -208,26 +226,33 @@ class SpellingVariants:
         levels = 4
         while True:
             path = F.slice("v", 1, levels)
-            parts = staged(words.groupBy(path.alias("path")).agg(F.count("*").alias("m")), "spelling-subtrees")
-            if levels == GROUPS or (parts.agg(F.max("m")).first()[0] or 0) <= self.cell:
+            trees = words.groupBy(path.alias("path")).agg(F.count("*").alias("m"))
+            trees = staged(trees.withColumn("to", F.monotonically_increasing_id()), "spelling-subtrees")
+            if levels == GROUPS or (trees.agg(F.max("m")).first()[0] or 0) <= self.cell:
                 break
-            levels += 4
-        parts = parts.select("path", F.ceil(F.col("m") / self.cell).cast("int").alias("trees"))
-        change = F.array(*[F.array(*map(F.lit, s)) for s in steps(levels)])
-        asked = words.select("word", "n", F.explode(F.transform(change, lambda s: F.zip_with(path, s, lambda a, b: a + b))).alias("path"))
-        asked = asked.join(parts, "path")
-        blocks = asked.groupBy("path").agg(F.ceil(F.count("*") / self.cell).cast("int").alias("askers"))
-        parts = staged(parts.join(blocks, "path"), "spelling-cells")
+            levels += 2
+        # between two subtrees the earlier one's words ask: a step to a later path begins with a surplus
+        ways = [s for s in steps(levels) if next((x for x in s if x), 1) > 0]
+        there = trees.select(F.col("path").alias("there"), "to", F.ceil(F.col("m") / self.cell).cast("int").alias("trees"))
+        moved = F.transform(F.array(*[F.array(*map(F.lit, s)) for s in ways]), lambda s: F.zip_with("path", s, lambda a, b: a + b))
+        routes = staged(trees.select("path", "m", F.explode(moved).alias("there")).join(there, "there").select(
+            "path", "m", "to", "trees", (F.col("path") == F.col("there")).alias("inside")), "spelling-routes")
+        askers = routes.groupBy("to").agg(F.ceil(F.sum("m") / self.cell).cast("int").alias("askers"))
+        # at most one element per way
+        asking = routes.join(askers, "to").groupBy("path").agg(F.collect_list(F.struct("to", "trees", "askers", "inside")).alias("ways"))
+        holding = there.join(askers, "to").select(F.col("there").alias("path"), "to", "trees", "askers")
+        placed = words.select("word", "n", path.alias("path"))
 
         def dealt(rows, side, own, other):
             """Each row in one cell of its own side, repeated for each of the other's; grouped by cell."""
             place = F.pmod(F.xxhash64("word"), F.col(own).cast("long")).cast("int")
-            cells = rows.select(*[F.col(c).alias(f"{side}_{c}") for c in ("word", "n", "path")], place.alias(f"{side}_{own}"),
+            rest = [c for c in ("word", "n", "to", "inside") if c in rows.columns]
+            cells = rows.select(*[F.col(c).alias(f"{side}_{c}") for c in rest], place.alias(f"{side}_{own}"),
                                 F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"{side}_{other}"))
-            return cells.groupBy(f"{side}_path", f"{side}_askers", f"{side}_trees")
+            return cells.groupBy(f"{side}_to", f"{side}_askers", f"{side}_trees")
 
-        left = dealt(asked.drop("trees").join(parts, "path"), "a", "askers", "trees")
-        right = dealt(words.withColumn("path", path).join(parts, "path"), "t", "trees", "askers")
+        left = dealt(placed.join(asking, "path").select("word", "n", F.explode("ways").alias("w")).select("word", "n", "w.*"), "a", "askers", "trees")
+        right = dealt(placed.join(holding, "path"), "t", "trees", "askers")
         found = left.cogroup(right).applyInArrow(_search_cell, "word string, near long, best string, best_n long")
         best = F.min(F.struct((-F.col("best_n")).alias("less"), "best"))
         merged = found.groupBy("word").agg(F.sum("near").alias("n_near"), best.alias("b"))
