@@ -67,6 +67,32 @@ def test_merge_shuffles_each_side_once(spark, sf_dir, no_broadcast):
     assert text.count("Exchange hashpartitioning") == 3
 
 
+def test_bloom_merge_shuffles_only_what_may_match(spark, tmp_path, no_broadcast):
+    target = spark.range(100_000).selectExpr("id AS k", "id * 2 AS v", "CAST(NULL AS TIMESTAMP_NTZ) AS EDW_INSERTED_TIMESTAMP",
+                                             "CAST(NULL AS TIMESTAMP_NTZ) AS EDW_UPDATED_TIMESTAMP")
+    target.write.parquet(f"{tmp_path}/target")
+    spark.range(99_500, 100_500).selectExpr("id AS k", "id AS v").write.parquet(f"{tmp_path}/source")
+    target, source = spark.read.parquet(f"{tmp_path}/target"), spark.read.parquet(f"{tmp_path}/source")
+    merged = m.merge(target, source, ["k"], "2030-01-01 00:00:00", "bloom")
+    text = plan(merged)
+    assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1 and text.count("Exchange hashpartitioning") == 2
+    assert m.key_filter(source, ["k"]).mark(target, ["k"]).where("_maybe").count() < 500 + 0.02 * 100_000
+    assert {r.action: r.rows for r in m.action_counts(merged).collect()} == {"keep": 99_500, "update": 500, "insert": 500}
+
+
+def test_strategy_follows_the_sizes(spark, tmp_path):
+    spark.range(200_000).write.parquet(f"{tmp_path}/target")
+    spark.range(2_000).write.parquet(f"{tmp_path}/source")
+    target, source = spark.read.parquet(f"{tmp_path}/target"), spark.read.parquet(f"{tmp_path}/source")
+    assert m.choose_strategy(target, source) == "broadcast" and m.choose_strategy(source, target) == "shuffle"
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        assert m.choose_strategy(target, source) == "bloom"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_null_filter_reaches_the_scan(spark, sf_dir):
     assert "IsNull(o_orderkey)" in plan(loads.merge_upsert_shuffle(spark, sf_dir), "formatted")
 

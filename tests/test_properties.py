@@ -65,6 +65,9 @@ def test_strategies_and_hot_split_agree(spark, seed):
     assert hot
     want = bag(m.merge(target, latest, KEYS, STAMP, "shuffle"))
     assert bag(m.merge(target, latest, KEYS, STAMP, "broadcast")) == want
+    assert bag(m.merge(target, latest, KEYS, STAMP, "bloom")) == want
+    assert bag(m.merge(target, latest, KEYS, STAMP, "bloom", null_keys="rare", hot=hot)) == want
+    assert bag(m.merge(target, latest.limit(0), KEYS, STAMP, "bloom")) == bag(m.merge(target, latest.limit(0), KEYS, STAMP, "shuffle"))
     assert bag(m.merge(target, latest, KEYS, STAMP, "shuffle", null_keys="rare")) == want
     assert bag(m.merge(target, latest, KEYS, STAMP, "broadcast", null_keys="rare", hot=hot)) == want
     assert bag(m.merge(target, latest, KEYS, STAMP, "shuffle", hot=hot)) == want
@@ -182,3 +185,12 @@ def test_older_batches_do_not_undo(spark):
     target = m.with_stamps(new, STAMP)
     assert m.merge(target, old, KEYS, LATER, newer_by=("ins", "upd")).first()["_action"] == "keep"
     assert m.merge(target, old, KEYS, LATER).first()["_action"] == "update"
+
+
+def test_key_filter_misses_no_key_and_lets_few_others_pass(spark):
+    source = spark.range(0, 40_000, 7).selectExpr("id AS k", "concat('p', id % 3) AS part")
+    target = spark.range(40_000).selectExpr("id AS k", "concat('p', id % 3) AS part", "id % 7 = 0 AS wanted")
+    marked = m.key_filter(source, KEYS).mark(target, KEYS)
+    assert marked.where("wanted AND NOT _maybe").count() == 0
+    assert marked.where("NOT wanted AND _maybe").count() < 0.02 * 40_000
+    assert m.key_filter(source, KEYS, max_words=1000) is None and m.key_filter(source.limit(0), KEYS) is None

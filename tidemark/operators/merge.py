@@ -8,6 +8,9 @@ A merge is one lazy DataFrame holding the next version of the target plus an ``_
 ``broadcast``  for a source far smaller than the target: the target streams past the source without being
                shuffled. Catalyst broadcasts only below ``spark.sql.autoBroadcastJoinThreshold``; no hint is
                given, so adaptive execution may still fall back to a shuffle.
+``bloom``      for a source that is small beside the target but too large to be broadcast: only a filter of its keys
+               is. Target rows whose key is surely not in the source pass by unshuffled; the few others meet the
+               source in a full outer join. The target is read twice, once for each part.
 
 Two kinds of rows stay out of that join because hashing would send them all to one task. Rows whose key holds
 a null never match and are passed on; the filter sits on the key columns, hence reaches the scans, and costs
@@ -24,10 +27,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.names import columns, quote
 from tidemark.functions.rows import any_null, comparable, differs, order_key
 from tidemark.functions.times import ntz
+from tidemark.sinks.storage import scratch_path
 
 INSERTED = "EDW_INSERTED_TIMESTAMP"
 UPDATED = "EDW_UPDATED_TIMESTAMP"
 ACTION = "_action"
+MAYBE = "_maybe"
 AUDIT_COLUMNS = (INSERTED, UPDATED)
 
 
@@ -76,7 +81,12 @@ def merge(target: DataFrame, source: DataFrame, keys, stamp: str, strategy: str
         is_hot = key_hash(keys).isin(list(hot))
         parts.append(rules.left_then_insert(keyed_target.where(is_hot), F.broadcast(keyed_source.where(is_hot))))
         keyed_target, keyed_source = keyed_target.where(~is_hot), keyed_source.where(~is_hot)
-    if strategy == "shuffle":
+    asked = key_filter(keyed_source, keys) if strategy == "bloom" else None
+    if asked is not None:
+        maybe = asked.mark(keyed_target, keys)
+        parts.append(rules.kept(maybe.where(~F.col(MAYBE)).drop(MAYBE)))
+        merged = rules.full_outer(maybe.where(MAYBE).drop(MAYBE), keyed_source)
+    elif strategy in ("shuffle", "bloom"):
         merged = rules.full_outer(keyed_target, keyed_source)
     elif strategy == "broadcast":
         merged = rules.left_then_insert(keyed_target, keyed_source)
@@ -85,6 +95,49 @@ def merge(target: DataFrame, source: DataFrame, keys, stamp: str, strategy: str
     return reduce(DataFrame.unionAll, parts, merged)
 
 
+class KeyFilter:
+    """A Bloom filter of keys as 64-bit words: a key sets three bits of one word, so that asking for a key is one lookup.
+
+    ``words`` has one row (word, bits) per word in use, at most ``size`` of them.
+    """
+
+    def __init__(self, words: DataFrame, size: int):
+        self.words, self.size = words, size
+
+    @staticmethod
+    def place(keys, size: int) -> tuple[Column, Column]:
+        """The number of a key's word, and its bits in it."""
+        where = F.pmod(key_hash(keys), F.lit(size).cast("long"))
+        h = F.xxhash64(*columns(keys), F.lit("bits"))
+        bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, n).bitwiseAND(F.lit(63)).cast("int")) for n in (0, 6, 12)]
+        return where, bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+    def mark(self, df: DataFrame, keys) -> DataFrame:
+        """``df`` with a column that is false where the key is surely not among those of the filter."""
+        where, bits = self.place(keys, self.size)
+        # bounded: see key_filter
+        joined = df.withColumns({"_word": where, "_want": bits}).join(F.broadcast(self.words), "_word", "left")
+        hit = F.coalesce(F.col("_bits").bitwiseAND(F.col("_want")) == F.col("_want"), F.lit(False))
+        return joined.select(*columns(df.columns), hit.alias(MAYBE))
+
+
+def key_filter(source: DataFrame, keys, per_word: int = 4, max_words: int = 1 << 20) -> KeyFilter | None:
+    """Filter of the source's keys, its size following their number: ``per_word`` keys a word, which lets one strange key in
+    some 200 pass. None where that takes more than ``max_words`` words (some 30 MB to broadcast).
+
+    Counts the rows and writes the words once below the shared folder; the source should be a written table.
+    """
+    n = source.count()
+    size = -(-n // per_word)
+    if not 0 < size <= max_words:
+        return None
+    where, bits = KeyFilter.place(keys, size)
+    words = source.select(where.alias("_word"), bits.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    path = scratch_path(source.sparkSession, "key-filter")
+    words.write.parquet(path)
+    return KeyFilter(source.sparkSession.read.parquet(path), size)
+
+
 class _Rules:
     """The row rules of one merge, shared by the join strategies."""
 
@@ -166,13 +219,24 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def choose_strategy(target: DataFrame, source: DataFrame) -> str:
-    """``broadcast`` when the source is below Spark's own limit and far below the target, else ``shuffle``.
+    """``broadcast`` when the source is below Spark's own limit and far below the target, ``bloom`` when only the latter and a
+    written table, else ``shuffle``.
 
-    The broadcast form reads the source three times and the target's keys twice, so it must save a large shuffle.
+    The broadcast form reads the source three times and the target's keys twice, the bloom form the source three times and
+    the target twice, so they must save a large shuffle. A bucketed target is not shuffled anyway.
     """
     limit = source.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = plan_bytes(source)
-    return "broadcast" if size <= limit and size * 16 <= plan_bytes(target) else "shuffle"
+    if size * 16 > plan_bytes(target):
+        return "shuffle"
+    if size <= limit:
+        return "broadcast"
+    return "bloom" if limit >= 0 and source.inputFiles() and not bucketed(target) else "shuffle"
+
+
+def bucketed(df: DataFrame) -> bool:
+    """Whether a scan of ``df`` is clustered by buckets."""
+    return "Bucketed: true" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def key_hash(keys) -> Column:

@@ -118,6 +118,11 @@ def merge_upsert_broadcast(spark, sf_dir):
     return m.next_version(merged(spark, sf_dir, "broadcast"))
 
 
+def merge_upsert_bloom(spark, sf_dir):
+    """Only target rows whose key may be in the source are shuffled."""
+    return m.next_version(merged(spark, sf_dir, "bloom"))
+
+
 def one_third_key(df):
     """Pending orders share one key: it holds a third of all rows."""
     return df.withColumn("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(F.lit(-1)))
@@ -130,6 +135,16 @@ def merge_hot_key(spark, sf_dir):
     return m.next_version(m.merge(target, latest, KEY, STAMP, "shuffle", hot=m.hot_keys(target, KEY, floor=0)))
 
 
+def merge_hot_key_bloom(spark, sf_dir):
+    """A small increment into a target of which one key holds a third and null keys a tenth."""
+    def odd(df):
+        return keyless(one_third_key(df))
+
+    target = odd(fx.target(spark, sf_dir))
+    increment = odd(fx.timed_orders(spark, sf_dir)).where("o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') AND o_custkey > 1000")
+    return m.merge(target, latest_orders(increment), KEY, STAMP, "bloom", hot=m.hot_keys(target, KEY, floor=0))
+
+
 def delete_hot_key(spark, sf_dir):
     target = one_third_key(fx.target(spark, sf_dir))
     feed = one_third_key(table(spark, sf_dir, "orders").where("o_orderpriority <> '1-URGENT'")).select("o_orderkey")
@@ -311,6 +326,8 @@ QUERIES = {
     "merge_upsert": merge_upsert,
     "merge_upsert_shuffle": merge_upsert_shuffle,
     "merge_upsert_broadcast": merge_upsert_broadcast,
+    "merge_upsert_bloom": merge_upsert_bloom,
+    "merge_hot_key_bloom": merge_hot_key_bloom,
     "merge_hot_key": merge_hot_key,
     "merge_actions": merge_actions,
     "merge_counts": merge_counts,
@@ -376,8 +393,13 @@ ORACLES = {
     "merge_upsert": _UPSERT,
     "merge_upsert_shuffle": _UPSERT,
     "merge_upsert_broadcast": _UPSERT,
+    "merge_upsert_bloom": _UPSERT,
     "merge_hot_key": f"""WITH {TARGET}, htarget AS ({_ONE_THIRD} FROM target), stage AS ({_ONE_THIRD} FROM timed_orders),
         {LATEST}, {merge_sql('htarget')} SELECT {MERGED_COLUMNS} FROM merged""",
+    "merge_hot_key_bloom": f"""WITH {TARGET}, htarget AS ({_ONE_THIRD} FROM target), ktarget AS ({_KEYLESS} FROM htarget),
+        hstage AS ({_ONE_THIRD} FROM timed_orders),
+        stage AS ({_KEYLESS} FROM hstage WHERE o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') AND o_custkey > 1000),
+        {LATEST}, {merge_sql('ktarget')} SELECT {MERGED_COLUMNS}, action AS _action FROM merged""",
     "delete_hot_key": f"""WITH {TARGET}, htarget AS ({_ONE_THIRD} FROM target),
         gone AS ({_ONE_THIRD} FROM orders WHERE o_orderpriority <> '1-URGENT')
         SELECT * FROM htarget WHERE o_orderkey NOT IN (SELECT o_orderkey FROM gone)""",
