@@ -102,9 +102,8 @@ def entities(type_map: TypeMap | None = None, service: type[odata.ODataSource] =
         types = [(r.column_name, r.data_type) for r in found]
         asked = odata.filter_text(job.filter_value, job.service_url, mark.strftime("%Y%m%d") if mark else None)
         parts = (splits or {}).get(job.entity_value)
-        if parts:
-            options["splits"] = json.dumps(parts)
-        given = {"order": ",".join(job.keys), **options, "url": url, "entity": job.entity_value, "client": client, **({"filter": asked} if asked else {})}
+        given = {"order": ",".join(job.keys), **options, "url": url, "entity": job.entity_value, "client": client}  # this job's alone
+        given |= ({"filter": asked} if asked else {}) | ({"splits": json.dumps(parts)} if parts else {})
         rows = odata.read_entities(spark, [n for n, _ in types], service, **given)
         return odata.typed_entities(rows, types, type_map or TypeMap())
 
