@@ -257,8 +257,9 @@ class PrefixTrie:
                          F.greatest(F.coalesce(F.sum((F.col("n_children") == 0).cast("long")), zero), F.lit(1)).alias("n_leaves"))
         saved = nodes.agg(F.coalesce(F.sum("own_saving"), zero).alias("saved_tokens"))
         members = convs.agg(F.count("*").alias("n_convs"), F.max("total").alias("longest")).where("n_convs > 0")
-        on = F.lit(True)
-        return members.join(sums, on).join(saved, on).join(ended, on, "left").select(
+        one_row = members.unionByName(sums, True).unionByName(saved, True).unionByName(ended, True)  # each has one row at most
+        one_row = one_row.agg(*[F.max(c).alias(c) for c in one_row.columns]).where("n_convs > 0")
+        return one_row.select(
             root_id.alias("conv_id"), zero.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
             "saved_tokens", F.coalesce("ends_sha256", F.lit(NO_ENDS)).alias("ends_sha256"))
 
