@@ -331,9 +331,18 @@ def service():
             import json
             import re
 
+            import urllib.parse
+
             rows = [{"Client": "1", "Nr": i, "Day": "/Date(%d)/" % (1704067200000 + 86400000 * i), "Tags": [i]} for i in range(7)]
-            if "$filter" in url:
+            if "DATE" in url:
                 rows = [dict(rows[6], Tags="changed")]
+            if "/$count" in url:
+                return str(len(rows)).encode()
+            if "$select" in url:  # asked for the key at a quantile; all have the same
+                return json.dumps({"d": {"results": [{"Client": "1"}]}}).encode()
+            asked = urllib.parse.unquote(url)
+            if "Client lt" in asked or "Client eq null" in asked:
+                rows = []
             skip, top = int(re.search(r"skip=(\d+)", url)[1]), int(re.search(r"top=(\d+)", url)[1])
             return json.dumps({"d": {"results": rows[skip:skip + top]}}).encode()
 
@@ -431,3 +440,23 @@ def test_control_append_logs_all_runs_in_one_write(spark, sf_dir, monkeypatch):
     landing.control_append(spark, sf_dir)
     days = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderpriority", "o_orderdate").distinct().count()
     assert len(written) == 1 and written[0].count() == days > 1000
+
+
+def test_filters_of_one_entity_set_do_not_reach_the_next(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(readers.odata, "read_entities", lambda spark, names, service, **options: asked.append(options) or "rows")
+    monkeypatch.setattr(readers.odata, "typed_entities", lambda rows, types, type_map: rows)
+    base = service()
+    metadata = base.fetch("http://h/$metadata", {}).decode()
+
+    class Service(base):
+        @staticmethod
+        def fetch(url, options):
+            return metadata.replace("Address", "A" if "/a/" in url else "B").encode()
+
+    read = readers.entities(service=Service, splits={"ASet": ["Nr lt 3", "Nr ge 3"]}, page=3)
+    for name in ("b", "a", "b"):
+        spec = job(f"{name}Set", src_db_name="SAP_ODATA", service_url=f"http://h/{name}/", entity_value=f"{name.upper()}Set", primary_key_col="Nr")
+        assert read(spark, spec, None) == "rows"
+    assert ["splits" in o for o in asked] == [False, True, False]
+    assert [(o["parallel"], o["range_key"], o["range_type"]) for o in asked] == [("8", "Nr", "Edm.Int32")] * 3

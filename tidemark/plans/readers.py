@@ -88,10 +88,11 @@ def collection(uri: str) -> Reader:
 
 
 def entities(type_map: TypeMap | None = None, service: type[odata.ODataSource] = odata.ODataSource,
-             splits: dict[str, list[str]] | None = None, **options) -> Reader:
+             splits: dict[str, list[str]] | None = None, parallel: int = 8, **options) -> Reader:
     """An OData entity set: columns from the service's metadata, rows page by page on the executors, in key order.
 
-    ``splits`` gives, per entity set, filters that cut it into disjoint parts to be read side by side.
+    A set is read in ``parallel`` ranges of its first key that has a literal form. ``splits`` gives, per entity set, filters that cut
+    it into disjoint parts instead.
     """
     def read(spark, job, mark):
         url, client = job.service_url.rstrip("/") + "/", job.client or ""
@@ -102,8 +103,12 @@ def entities(type_map: TypeMap | None = None, service: type[odata.ODataSource] =
         types = [(r.column_name, r.data_type) for r in found]
         asked = odata.filter_text(job.filter_value, job.service_url, mark.strftime("%Y%m%d") if mark else None)
         parts = (splits or {}).get(job.entity_value)
+        kinds = {n.lower(): (n, t) for n, t in types}
+        ranged = next((kinds[k.lower()] for k in job.keys if kinds.get(k.lower(), ("", ""))[1].lower() in odata.LITERALS), None)
         given = {"order": ",".join(job.keys), **options, "url": url, "entity": job.entity_value, "client": client}  # this job's alone
         given |= ({"filter": asked} if asked else {}) | ({"splits": json.dumps(parts)} if parts else {})
+        if ranged:
+            given |= {"parallel": str(parallel), "range_key": ranged[0], "range_type": ranged[1]}
         rows = odata.read_entities(spark, [n for n, _ in types], service, **given)
         return odata.typed_entities(rows, types, type_map or TypeMap())
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import os
+import urllib.error
 import urllib.parse
 import urllib.request
 
@@ -16,6 +17,16 @@ from tidemark.functions.rows import plain
 from tidemark.functions.typemap import TypeMap, cast_to, target_schema
 
 PAGE = 500
+#: EDM type: literal of a value in a filter; version 2 marks some types
+LITERALS = {
+    "edm.string": lambda v, v2: "'" + str(v).replace("'", "''") + "'",
+    "edm.byte": lambda v, v2: str(int(v)),
+    "edm.int16": lambda v, v2: str(int(v)),
+    "edm.int32": lambda v, v2: str(int(v)),
+    "edm.int64": lambda v, v2: f"{int(v)}L" if v2 else str(int(v)),
+    "edm.decimal": lambda v, v2: f"{v}M" if v2 else str(v),
+    "edm.guid": lambda v, v2: f"guid'{v}'" if v2 else str(v),
+}
 
 
 def filter_text(filter_value: str | None, service_url: str, mark: str | None) -> str | None:
@@ -90,7 +101,12 @@ class ODataSource(DataSource):
 
     Options: ``url``, ``entity``, ``filter``, ``client`` (query text such as ``?key=value``), ``page`` (rows asked for per request),
     ``order`` (key columns; pages need a stable order), ``splits`` (a JSON list of filters that cut the entity set into disjoint
-    parts, one reader each), ``prefer`` (a Prefer header), ``user_env`` / ``password_env`` (names of environment variables).
+    parts, one reader each), ``parallel`` with ``range_key`` and ``range_type`` (a column and its EDM type: without ``splits``, the set is
+    cut into so many ranges of that column), ``prefer`` (a Prefer header), ``user_env`` / ``password_env`` (names of environment variables).
+
+    Ranges come from the service: its count, then one row at each quantile in its own order, so that they hold about equally many
+    rows and follow the service's collation. Rows whose key is null are a part of their own. A set that fits in one page, a service
+    that does not count, and a type without a known literal are read in one part.
 
     A reader follows the service's links to the next page. A service without links is asked to skip what has arrived so far, until
     a page is empty, so it may cap its pages as it likes.
@@ -121,24 +137,51 @@ class ODataReader(DataSourceReader):
     def __init__(self, schema, options, fetch):
         self.schema, self.options, self.fetch = schema, options, fetch
         self.page = int(options.get("page", PAGE))
-        self.splits = json.loads(options.get("splits") or "[]") or [None]
+        self.splits = json.loads(options.get("splits") or "[]")
 
     def partitions(self):
-        return [InputPartition(i) for i in range(len(self.splits))]
-
-    def url(self, skip: int, split: str | None = None) -> str:
+        return [InputPartition(x) for x in self.splits or self.ranges()]
+
+    def ranges(self) -> list[str | None]:
+        """Filters of disjoint key ranges that hold about equally many entities; one open part where that cannot be had."""
+        key, kind, parts = self.options.get("range_key"), self.options.get("range_type", ""), int(self.options.get("parallel", 1))
+        if parts < 2 or not key or kind.lower() not in LITERALS:
+            return [None]
+        try:
+            total = int(self.fetch(self.address("/$count", []), self.options).decode("utf-8-sig"))
+        except (urllib.error.HTTPError, ValueError):
+            return [None]
+        parts = min(parts, -(-total // self.page))
+        bounds = []
+        for i in range(1, parts):
+            probe = [f"$skip={i * total // parts}", "$top=1", "$format=json", f"$select={urllib.parse.quote(key)}", f"$orderby={urllib.parse.quote(key)}"]
+            body = self.fetch(self.address("", probe), self.options)
+            found, _ = _page(body)
+            value = found[0].get(key) if found else None
+            bound = None if value is None else LITERALS[kind.lower()](value, b'"d"' in body[:50])
+            if bound is not None and bound not in bounds:
+                bounds.append(bound)
+        if not bounds:
+            return [None]
+        inner = [f"{key} ge {a} and {key} lt {b}" for a, b in zip(bounds, bounds[1:])]
+        return [f"{key} lt {bounds[0]}", *inner, f"{key} ge {bounds[-1]}", f"{key} eq null"]
+
+    def address(self, path: str, query: list[str], split: str | None = None) -> str:
         o = self.options
         client = o.get("client", "").lstrip("?")
-        query = ([client] if client else []) + [f"$skip={skip}", f"$top={self.page}", "$format=json"]
-        if o.get("order"):
-            query.append("$orderby=" + urllib.parse.quote(o["order"]))
         asked = [x for x in (o.get("filter"), split) if x]
         if asked:
-            query.append("$filter=" + urllib.parse.quote(" and ".join(f"({x})" for x in asked) if len(asked) > 1 else asked[0]))
-        return f"{o['url'].rstrip('/')}/{o['entity']}?" + "&".join(query)
+            query = [*query, "$filter=" + urllib.parse.quote(" and ".join(f"({x})" for x in asked) if len(asked) > 1 else asked[0])]
+        query = ([client] if client else []) + query
+        return f"{o['url'].rstrip('/')}/{o['entity']}{path}" + ("?" + "&".join(query) if query else "")
+
+    def url(self, skip: int, split: str | None = None) -> str:
+        order = self.options.get("order")
+        query = [f"$skip={skip}", f"$top={self.page}", "$format=json"] + (["$orderby=" + urllib.parse.quote(order)] if order else [])
+        return self.address("", query, split)
 
     def read(self, partition):
-        names, split = self.schema.fieldNames(), self.splits[partition.value]
+        names, split = self.schema.fieldNames(), partition.value
         url, arrived, linked = self.url(0, split), 0, False
         while url:
             entities, link = _page(self.fetch(url, self.options))
