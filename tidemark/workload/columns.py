@@ -16,9 +16,10 @@ from tidemark.operators.chunk import assign_chunks
 from tidemark.operators.dedup import latest_document_per_key
 from tidemark.operators.evolve import schema_drift
 from tidemark.operators.increment import changed_since
+from tidemark.sinks.storage import scratch_path
 from tidemark.sinks.tables import expired
 from tidemark.sources import catalog as cat, files
-from tidemark.sources.documents import RAW, elements, parse_documents, picked, union_documents
+from tidemark.sources.documents import RAW, elements, parse_documents, picked, read_large_arrays, union_documents
 from tidemark.sources.odata import filter_column
 from tidemark.workload import fixtures as fx
 from tidemark.workload.fixtures import CONTROL, DOCUMENTS, OLD_STAMP, STAMP, canonical_sql, table
@@ -188,6 +189,17 @@ def doc_array_scan(spark, sf_dir):
         field(F.col(RAW), "_id").alias("id"), field(F.col(RAW), "wallet.balance", "double").alias("balance"))
 
 
+def doc_array_large(spark, sf_dir):
+    """All documents in one array file, with a number before them, read in blocks."""
+    e = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "array-file")
+    lines = e.select(F.concat(F.lit(", "), fx.document_text(F.col("value"))).alias("line"))
+    ends = [spark.range(1).select(F.lit(x).alias("line")) for x in ("[0", "]")]
+    ends[0].unionAll(lines).unionAll(ends[1]).coalesce(1).write.text(path)
+    return read_large_arrays(spark, path).where(~F.schema_of_variant(F.col(RAW)).isin("BIGINT")).select(
+        field(F.col(RAW), "_id").alias("id"), field(F.col(RAW), "wallet.balance", "double").alias("balance"))
+
+
 def doc_incr_extract(spark, sf_dir):
     d = F.col(RAW)
     created, updated = doc_times(d)
@@ -331,6 +343,7 @@ QUERIES = {
     "entity_set_columns": entity_set_columns,
     "doc_scan": doc_scan,
     "doc_array_scan": doc_array_scan,
+    "doc_array_large": doc_array_large,
     "doc_incr_extract": doc_incr_extract,
     "doc_dedup": latest_documents,
     "doc_merge": doc_merge,
@@ -428,6 +441,7 @@ ORACLES = {
         'Edm.String' AS data_type FROM part WHERE lower(p_type) = 'economy'""",
     "doc_scan": f"WITH {DOCUMENTS} SELECT id, created, updated, CAST(value AS VARCHAR) AS balance, CAST(k AS BIGINT) AS k FROM docs",
     "doc_array_scan": f"""WITH {DOCUMENTS} SELECT id, value AS balance FROM docs UNION ALL SELECT id, value * 2 FROM docs""",
+    "doc_array_large": f"WITH {DOCUMENTS} SELECT id, value AS balance FROM docs",
     "doc_incr_extract": f"""WITH {DOCUMENTS} SELECT id, created, updated FROM docs
         WHERE created > TIMESTAMP '2024-01-20 00:00:00' OR updated > TIMESTAMP '2024-01-20 00:00:00'""",
     "doc_dedup": f"WITH {_DOC_STATES} SELECT id, document FROM latest_docs",
