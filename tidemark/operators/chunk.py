@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.names import column, columns
@@ -12,8 +14,8 @@ def assign_chunks(df: DataFrame, id_col: str, size: int, buckets: int | None = N
     """Add ``chunk`` = (rank by ``id_col`` - 1) div size + 1, for a numeric or temporal id.
 
     Ranges of the id are cut at quantiles that one sketch aggregation finds, so they hold about equally many
-    rows. The rank is the rank within the range plus the number of rows in lower ranges; only the list of
-    ranges (two per bucket) is ever brought together.
+    rows. The rank is the rank within the range plus the number of rows in lower ranges. Counts of parts are summed up
+    within each range, in as many tasks as there are ranges; only the ranges' totals (two per bucket) are brought together.
 
     An id at which several cuts fall is hot. Such an id has a range of its own, whose rows are equal in rank
     and may be numbered in any order; they are spread over ``buckets`` parts, written to the shared folder first
@@ -31,10 +33,15 @@ def assign_chunks(df: DataFrame, id_col: str, size: int, buckets: int | None = N
         ranged.withColumn("_part", F.when(F.col("_range") % 2 == 1, part).otherwise(0)).write.parquet(path)
         ranged = df.sparkSession.read.parquet(path)
     counts = ranged.groupBy("_range", "_part").agg(F.count(F.lit(1)).alias("_rows"))
-    lower = Window.orderBy("_range", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(lower), F.lit(0))).drop("_rows")
+    totals = {r["_range"]: r["n"] for r in counts.groupBy("_range").agg(F.sum("_rows").alias("n")).collect()}
+    lower = [0, *itertools.accumulate(totals.get(i, 0) for i in range(2 * len(cuts) + 1))]
+    before = F.element_at(F.array(*map(F.lit, lower)).cast("array<bigint>"), F.col("_range").cast("int") + 1)
     rank = F.row_number().over(Window.partitionBy("_range", "_part").orderBy(column(id_col)))
-    joined = ranged.withColumn("_rank", rank).join(before, ["_range", "_part"])
+    joined = ranged.withColumns({"_rank": rank, "_before": before})
+    if len(cuts) < len(found):
+        up_to = Window.partitionBy("_range").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = counts.select("_range", "_part", F.coalesce(F.sum("_rows").over(up_to), F.lit(0)).alias("_lower"))
+        joined = joined.join(parts, ["_range", "_part"]).withColumn("_before", F.col("_before") + F.col("_lower"))
     chunk = F.floor((F.col("_before") + F.col("_rank") - 1) / size) + 1
     return joined.select(*columns(df.columns), chunk.cast("long").alias("chunk"))
 
