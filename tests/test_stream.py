@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge as m
 from tidemark.operators.dedup import latest_per_key
 from tidemark.sinks.tables import VersionedTable
-from tidemark.streaming.upsert import StreamAudit, drop_repeats, read_landing, upsert_stream
+from tidemark.streaming.upsert import StreamAudit, drop_repeats, latest_stream, observed, read_landing, upsert_stream
 
 STAMP = "2030-01-01 00:00:00"
 SCHEMA = "k long, v long, ins timestamp_ntz, upd timestamp_ntz"
@@ -75,3 +75,41 @@ def test_first_arrival_wins_and_batches_are_logged(spark, tmp_path):
         time.sleep(0.1)
     spark.streams.removeListener(audit)
     assert sum(n for _, n, _ in audit.batches) == 20 and not audit.errors
+
+
+def test_latest_row_of_files_in_any_order(spark, tmp_path):
+    """Late files change nothing, null times win, null keys stay out, and a flooding key is one row per task before the shuffle."""
+    parts = [rows(spark, 0, 50, 9, 1), rows(spark, 30, 80, 5, 2), rows(spark, 20, 60, 3, 3)]
+    flood = rows(spark, 0, 4000, 1, 1).withColumn("k", F.lit(7).cast("long"))
+    odd = rows(spark, 0, 3, 1, 5).withColumns({"ins": F.when(F.col("k") > 0, F.col("ins")), "k": F.when(F.col("k") < 2, F.col("k"))})
+    parts = [*parts, flood, odd]
+    for p in parts:
+        p.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    table = VersionedTable(spark, f"{tmp_path}/target")
+    query = latest_stream(read_landing(spark, f"{tmp_path}/in", SCHEMA, files_per_batch=1), table, ["k"], "ins", "upd", f"{tmp_path}/c", STAMP)
+    query.awaitTermination()
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionAll(p)
+    assert bag(table.read()) == bag(latest_per_key(whole.where("k IS NOT NULL"), ["k"], "ins", "upd"))
+    assert table.read().where("k = 0").first()["ins"] is None
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert max(s["numRowsTotal"] for s in states) == 80 and max(s["numRowsUpdated"] for s in states) <= 50
+
+
+def test_batches_are_counted_in_the_pass_that_writes_them(spark, tmp_path):
+    for start in (0, 10):
+        rows(spark, start, start + 10, 1, 1).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    audit = StreamAudit(spark, f"{tmp_path}/audit")
+    spark.streams.addListener(audit)
+    stream = observed(read_landing(spark, f"{tmp_path}/in", SCHEMA, files_per_batch=1), "read", odd=F.count_if(F.col("k") % 2 == 1))
+    out = observed(stream.where("k <> 3"), "written")
+    try:
+        out.writeStream.queryName("counted").format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start(
+            f"{tmp_path}/out").awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(audit)
+    log = spark.read.parquet(f"{tmp_path}/audit").where("rows_read > 0").collect()
+    assert {r.query for r in log} == {"counted"} and len({r.batch_id for r in log}) == 2
+    assert sorted(tuple(r.observed[k] for k in ("read.rows", "read.odd", "written.rows")) for r in log) in ([("10", "5", "10"), ("10", "5", "9")], [("10", "5", "9"), ("10", "5", "10")])

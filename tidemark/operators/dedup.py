@@ -28,6 +28,13 @@ def latest_per_key(df: DataFrame, keys, insert_col: str | None, update_col: str
     return df.selectExpr("*", f"row_number() OVER ({window}) AS _rank").where("_rank = 1").drop("_rank")
 
 
+def best_key(df: DataFrame, keys, insert_col: str | None, update_col: str | None = None, tiebreak=None) -> Column:
+    """A struct that is greatest for the row that :func:`latest_per_key` keeps, for aggregations such as ``max_by``."""
+    time = [order_key(_moment(df, update_col) if update_col else None, _moment(df, insert_col))] if insert_col else []
+    parts = [f"({x}) IS NULL, {x}" for x in (*time, *map(quote, _tiebreak(df, keys, tiebreak)))]
+    return F.expr(f"struct({', '.join(parts)})")
+
+
 def latest_document_per_key(df: DataFrame, key: Column, insert_time: Column, update_time: Column,
                             text: Column, nulls: str = "first") -> DataFrame:
     """The same for documents: key and times are expressions on the document, its text settles ties."""

@@ -17,7 +17,7 @@ from tidemark.operators.increment import (
 from tidemark.operators.snapshot import hash_archive, snapshot_deletes, snapshot_diff, snapshot_diff_by_hash
 from tidemark.sinks.storage import scratch_path
 from tidemark.sinks.tables import VersionedTable, with_load_time
-from tidemark.streaming.upsert import drop_repeats, read_landing, upsert_stream
+from tidemark.streaming.upsert import StreamAudit, drop_repeats, latest_stream, observed, read_landing, upsert_stream
 from tidemark.workload import fixtures as fx
 from tidemark.workload.fixtures import (
     CONTROL, FEED, LATEST, MERGED_COLUMNS, OLD_STAMP, ORDER_COLUMNS, SNAPSHOTS, STAGE, STAMP, TARGET,
@@ -313,6 +313,40 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{home}/out")
 
 
+def stream_latest(spark, sf_dir):
+    """Orders arrive in files by priority, so in no order of time; the latest order per customer is kept throughout."""
+    home = scratch_path(spark, "stream-latest")
+    rows = fx.timed_orders(spark, sf_dir)
+    rows.repartition(5, "o_orderpriority").write.partitionBy("o_orderpriority").parquet(f"{home}/landing")
+    landing = read_landing(spark, f"{home}/landing/*", rows.drop("o_orderpriority").schema, files_per_batch=2)
+    target = VersionedTable(spark, f"{home}/target")
+    latest_stream(landing, target, ["o_custkey"], "o_orderdate", "updt", f"{home}/checkpoint", STAMP, tiebreak=["o_orderkey"]).awaitTermination()
+    return target.read().drop(m.INSERTED, m.UPDATED)
+
+
+def stream_audit(spark, sf_dir):
+    """Counts of each batch, one batch per type of event, taken from the log that the run left behind."""
+    home = scratch_path(spark, "stream-audit")
+    events = table(spark, sf_dir, "events")
+    events.repartition(1, "event_type").write.partitionBy("event_type").parquet(f"{home}/landing")
+    stream = read_landing(spark, f"{home}/landing", events.schema, files_per_batch=1)
+    rejected = F.coalesce(F.col("value") < 20, F.lit(True))
+    counted = observed(stream, "read", kind=F.min("event_type"), rejected=F.count_if(rejected))
+    written = observed(counted.where(~rejected), "written", users=F.max("user_id"))
+    audit = StreamAudit(spark, f"{home}/audit")
+    spark.streams.addListener(audit)
+    try:
+        query = written.writeStream.format("parquet").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start(f"{home}/out")
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(audit)
+    log = spark.read.parquet(f"{home}/audit").where("rows_read > 0")
+    number = {k: F.col("observed")[k].cast("long") for k in ("read.rows", "read.rejected", "written.rows", "written.users")}
+    return log.select(F.col("observed")["read.kind"].alias("event_type"), "rows_read", "rows_late", number["read.rejected"].alias("rejected"),
+                      number["written.rows"].alias("written"), number["written.users"].alias("last_user"))
+
+
 QUERIES = {
     "scan_project": scan_project,
     "key_projection": key_projection,
@@ -352,6 +386,8 @@ QUERIES = {
     "archive_partition": archive_partition,
     "stream_upsert": stream_upsert,
     "stream_dedup": stream_dedup,
+    "stream_latest": stream_latest,
+    "stream_audit": stream_audit,
 }
 
 _UPSERT = MERGED_SQL + f"SELECT {MERGED_COLUMNS} FROM merged"
@@ -450,4 +486,8 @@ ORACLES = {
     "archive_partition": f"WITH {TIMED_ORDERS}, {fx.WHOLE_STAGE} SELECT *, TIMESTAMP '{STAMP}' AS load_ts FROM stage",
     "stream_upsert": _UPSERT,
     "stream_dedup": "SELECT DISTINCT event_id, event_type, value FROM events",
+    "stream_latest": f"""WITH {TIMED_ORDERS} SELECT * EXCLUDE (rn, o_orderpriority) FROM (SELECT *, row_number() OVER (
+        PARTITION BY o_custkey ORDER BY coalesce(updt, o_orderdate) DESC NULLS FIRST, o_orderkey DESC) AS rn FROM timed_orders) WHERE rn = 1""",
+    "stream_audit": """SELECT event_type, count(*) AS rows_read, 0::BIGINT AS rows_late, count(*) FILTER (value < 20 OR value IS NULL) AS rejected,
+        count(*) FILTER (value >= 20) AS written, max(user_id) FILTER (value >= 20) AS last_user FROM events GROUP BY event_type""",
 }
