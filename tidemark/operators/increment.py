@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.names import column, columns
 from tidemark.functions.times import DAY, LOOKBACK, MILLIS, ODATA_LOOKBACK, SENTINEL, coerce, ntz
+from tidemark.operators.scan import Blocks
 
 
 def changed_since(df: DataFrame, mark, insert_col: str, update_col: str | None = None) -> DataFrame:
@@ -63,6 +64,18 @@ def last_marks(control: DataFrame, by: str = "SOURCE_OBJECT_NAME", need_rows: bo
         F.max_by("MAX_TIMESTAMP", "RUN_ID").alias("last_mark"))
 
 
+def marks_as_of(control: DataFrame, by: str = "SOURCE_OBJECT_NAME", need_rows: bool = False) -> DataFrame:
+    """(object, RUN_ID, mark): the mark in force for the object once each of its runs was logged, null before the first usable one.
+
+    A scan in blocks, so that an object with most of the log is no single task. Runs without an object form one of their own.
+    """
+    usable = (F.col("STATUS") == "SUCCESS") & (F.col("MAX_TIMESTAMP") != ntz(SENTINEL))
+    if need_rows:
+        usable &= F.col("ROWS_INSERTED") != 0
+    runs = control.select(F.col(by).alias("object"), "RUN_ID", F.when(usable, F.col("MAX_TIMESTAMP")).alias("_usable"))
+    return Blocks(runs, ["object"], ["RUN_ID"], label="marks").running(mark=("last", "_usable")).rows().drop("_usable")
+
+
 def last_marks_by_rule(control: DataFrame, rules: dict[str, tuple[str, bool]]) -> DataFrame:
     """(rule, object, last_mark) for several rules, each a name column and whether rows are needed, in one scan of the log."""
     cases = [F.when(F.lit(not need_rows) | (F.col("ROWS_INSERTED") != 0), F.struct(F.lit(rule).alias("rule"), F.col(by).alias("object")))

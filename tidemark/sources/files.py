@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.names import clean_headers
 from tidemark.functions.text import strip_strings
 from tidemark.functions.times import coerce, timestamps_to_text, to_text
+from tidemark.sources.workbooks import read_workbooks
 
 
 def inventory(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
@@ -49,8 +50,7 @@ def file_of(files: DataFrame, table: str) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, path: str, text_columns=(), coerced=(), multi_line: bool = False) -> DataFrame:
-    """A sheet landed as CSV or Parquet, or a workbook through the spark-excel package where it is on the class
-    path: headers cleaned, times as text, strings stripped.
+    """A sheet landed as CSV or Parquet, or the first sheet of a workbook: headers cleaned, times as text, strings stripped.
 
     ``text_columns`` become strings; ``coerced`` hold times whose unreadable values become null. A CSV file is split over tasks
     unless ``multi_line`` says that its cells hold line breaks.
@@ -58,8 +58,10 @@ def read_sheet(spark: SparkSession, path: str, text_columns=(), coerced=(), mult
     plain = path.rstrip("/").lower()
     if plain.endswith(".parquet"):
         raw = spark.read.parquet(path)
-    elif plain.endswith((".xlsx", ".xls")):
-        raw = spark.read.format("excel").option("header", True).load(path)
+    elif plain.endswith((".xlsx", ".xlsm")):
+        raw = read_workbooks(spark, path)
+    elif plain.endswith(".xls"):
+        raise ValueError(f"{path} has the old binary format; only .xlsx and .xlsm workbooks are read")
     else:
         raw = spark.read.option("header", True).option("multiLine", multi_line).csv(path)
     return clean_sheet(raw, text_columns, coerced)

@@ -21,7 +21,9 @@ from tidemark.sinks.tables import expired
 from tidemark.sources import catalog as cat, files
 from tidemark.sources.documents import RAW, elements, parse_documents, picked, read_large_arrays, union_documents
 from tidemark.sources.odata import filter_column
+from tidemark.sources.workbooks import sheet_rows
 from tidemark.workload import fixtures as fx
+from tidemark.workload.books import part_book
 from tidemark.workload.fixtures import CONTROL, DOCUMENTS, OLD_STAMP, STAMP, canonical_sql, table
 
 CHUNK = 128
@@ -251,6 +253,13 @@ def union_docs(spark, sf_dir):
         e.where("event_type <> 'purchase'").select("props", "event_id"))
 
 
+def sheet_workbook(spark, sf_dir):
+    """Parts as workbooks, one per brand, read back from their second sheet."""
+    books = table(spark, sf_dir, "part").groupBy("p_brand").applyInArrow(part_book, "path string, content binary")
+    rows = sheet_rows(books, "Parts")
+    return rows.select("key", "name", "kind", "size", "listed", "large", F.col("price").cast("double").alias("price"))
+
+
 # -- OData -----------------------------------------------------------------------------------------------------
 
 def odata_flatten(spark, sf_dir):
@@ -348,6 +357,7 @@ QUERIES = {
     "doc_dedup": latest_documents,
     "doc_merge": doc_merge,
     "nested_cast": nested_cast,
+    "sheet_workbook": sheet_workbook,
     "union_documents": union_docs,
     "odata_flatten": odata_flatten,
     "odata_filter_cases": odata_filter_cases,
@@ -451,6 +461,10 @@ ORACLES = {
         SELECT coalesce(s.id, t.id) AS id, CASE WHEN t.id IS NULL THEN 'insert' WHEN s.id IS NULL THEN 'keep'
           WHEN s.document <> t.document THEN 'update' ELSE 'keep' END AS action
         FROM latest_docs s FULL OUTER JOIN target t ON s.id = t.id""",
+    "sheet_workbook": """SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, p_type AS kind,
+        CASE WHEN p_size % 5 <> 0 THEN CAST(p_size AS VARCHAR) END AS size,
+        strftime(TIMESTAMP '2024-01-01' + p_size * INTERVAL 1 DAY + (p_size % 24) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS listed,
+        CASE WHEN p_size > 25 THEN 'true' ELSE 'false' END AS large, p_retailprice AS price FROM part""",
     "nested_cast": """SELECT event_id, CAST(value AS VARCHAR) AS balance, user_id AS owner, CAST(user_id AS VARCHAR) AS points FROM events""",
     "union_documents": """SELECT event_id, value, CAST(NULL AS VARCHAR) AS props FROM events WHERE event_type = 'purchase'
         UNION ALL SELECT event_id, NULL, props FROM events WHERE event_type <> 'purchase'""",

@@ -12,7 +12,7 @@ from tidemark.operators.audit import size_check
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.evolve import evolve, evolve_drop
 from tidemark.operators.increment import (
-    changed_since, day_text, deletes_since, last_marks_by_rule, mark_text, new_mark,
+    changed_since, day_text, deletes_since, last_marks_by_rule, mark_text, marks_as_of, new_mark,
 )
 from tidemark.operators.snapshot import hash_archive, snapshot_deletes, snapshot_diff, snapshot_diff_by_hash
 from tidemark.sinks.storage import scratch_path
@@ -68,6 +68,12 @@ def watermark_lookup(spark, sf_dir):
     )
 
 
+def as_of_marks(spark, sf_dir):
+    runs = fx.control(spark, sf_dir)
+    by_object, by_target = marks_as_of(runs), marks_as_of(runs, "TARGET_TABLE_NAME", need_rows=True)
+    return by_object.withColumn("rule", F.lit("source")).unionAll(by_target.withColumn("rule", F.lit("target")))
+
+
 def new_watermark(spark, sf_dir):
     return new_mark(fx.timed_orders(spark, sf_dir), "o_orderdate", "updt", old=OLD_STAMP)
 
@@ -354,6 +360,7 @@ QUERIES = {
     "incr_extract_deletes": incr_extract_deletes,
     "watermark_lookup": watermark_lookup,
     "new_watermark": new_watermark,
+    "marks_as_of": as_of_marks,
     "dedup_latest": dedup_latest,
     "dedup_latest_composite": dedup_latest_composite,
     "dedup_null_order": dedup_null_order,
@@ -398,7 +405,15 @@ _OLD_CUSTOMERS = f"""old_customers AS (
 _SNAP_DIFF = f"""WITH {SNAPSHOTS} SELECT n.* FROM new_snapshot n WHERE NOT EXISTS (
   SELECT 1 FROM old_snapshot o WHERE {' AND '.join(f'n.{c} IS NOT DISTINCT FROM o.{c}' for c in _CUSTOMER.split(', '))})"""
 
+_AS_OF = """SELECT r.{name} AS object, r.run_id AS RUN_ID, u.mx AS mark, '{rule}' AS rule FROM (
+    SELECT *, max(CASE WHEN {usable} THEN run_id END) OVER (PARTITION BY {name} ORDER BY run_id) AS at_run FROM control) r
+  LEFT JOIN control u ON u.run_id = r.at_run"""
+_USABLE = f"status = 'SUCCESS' AND mx <> TIMESTAMP '{fx.SENTINEL}'"
+
 ORACLES = {
+    "marks_as_of": f"WITH {CONTROL} " + " UNION ALL ".join([
+        _AS_OF.format(name="source_object", rule="source", usable=_USABLE),
+        _AS_OF.format(name="target_table", rule="target", usable=_USABLE + " AND rows_inserted <> 0")]),
     "scan_project": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "key_projection": "SELECT l_orderkey, l_linenumber FROM lineitem",
     "incr_extract": f"""WITH {TIMED_ORDERS} SELECT * FROM timed_orders
