@@ -30,7 +30,7 @@ from tidemark.operators.increment import changed_since, last_mark, new_mark
 from tidemark.operators.merge import (
     changed_since_stamp, choose_strategy, delete_by_feed, has_changes, hot_keys, master_refresh, merge, next_version,
 )
-from tidemark.operators.snapshot import snapshot_diff
+from tidemark.sinks.archive import SnapshotArchive
 from tidemark.sinks.storage import child_dirs
 from tidemark.sinks.tables import VersionedTable, drop_expired_stages, target_struct, write_stage, written_counts
 from tidemark.spec import JobSpec, read_jobs
@@ -166,7 +166,7 @@ class Loader:
         elif insert_col:
             rows = changed_since(rows, mark, insert_col, update_col)
         elif not job.is_master:
-            archive = VersionedTable(self.spark, f"{self.root}/snapshot/{job.sf_tbl.lower()}", marker="_MERGED")
+            archive = SnapshotArchive(self.spark, f"{self.root}/snapshot/{job.sf_tbl.lower()}", marker="_MERGED")
             snapshot = archive.write(rows)
             rows = self._new_in_snapshot(archive, snapshot, incremental)
         stage = write_stage(rows, f"{self.root}/stage/{job.sf_tbl.lower()}", start.strftime(RUN_LABEL))
@@ -253,7 +253,7 @@ class Loader:
         current, last = archive.read(snapshot), archive.read()
         if not incremental or last is None or set(last.columns) != set(current.columns):
             return current
-        return snapshot_diff(current, last)
+        return archive.diff(snapshot, archive.current())
 
     def _mark(self, job):
         return last_mark(self.control(), job.source, job.obj_type, job.obj_name, job.sf_tbl)

@@ -15,6 +15,7 @@ from tidemark.operators.increment import (
     changed_since, day_text, deletes_since, last_marks_by_rule, mark_text, marks_as_of, new_mark,
 )
 from tidemark.operators.snapshot import hash_archive, snapshot_deletes, snapshot_diff, snapshot_diff_by_hash
+from tidemark.sinks.archive import SnapshotArchive
 from tidemark.sinks.storage import scratch_path
 from tidemark.sinks.tables import VersionedTable, with_load_time
 from tidemark.streaming.upsert import StreamAudit, drop_repeats, latest_stream, observed, read_landing, upsert_stream
@@ -248,6 +249,14 @@ def snap_diff(spark, sf_dir):
     return snapshot_diff(fx.new_snapshot(spark, sf_dir), fx.old_snapshot(spark, sf_dir))
 
 
+def snap_diff_tree(spark, sf_dir):
+    """Both snapshots archived with digests; only leaves that differ are read again."""
+    archive = SnapshotArchive(spark, scratch_path(spark, "snapshots"), leaves=16)
+    old = archive.write(fx.old_snapshot(spark, sf_dir))
+    archive.commit(old)
+    return archive.diff(archive.write(fx.new_snapshot(spark, sf_dir)), old)
+
+
 def snap_diff_hash(spark, sf_dir):
     return snapshot_diff_by_hash(fx.new_snapshot(spark, sf_dir), hash_archive(fx.old_snapshot(spark, sf_dir)))
 
@@ -385,6 +394,7 @@ QUERIES = {
     "master_refresh": master_refresh,
     "snapshot_diff": snap_diff,
     "snapshot_diff_hash": snap_diff_hash,
+    "snapshot_diff_tree": snap_diff_tree,
     "snapshot_deletes": snap_deletes,
     "row_hash": row_hashes,
     "evolve_add": evolve_add,
@@ -488,6 +498,7 @@ ORACLES = {
         CAST(NULL AS TIMESTAMP) AS "EDW_UPDATED_TIMESTAMP" FROM latest""",
     "snapshot_diff": _SNAP_DIFF,
     "snapshot_diff_hash": _SNAP_DIFF,
+    "snapshot_diff_tree": _SNAP_DIFF,
     "snapshot_deletes": f"""WITH {SNAPSHOTS} SELECT * FROM old_snapshot WHERE c_custkey NOT IN (SELECT c_custkey FROM new_snapshot)""",
     "row_hash": """SELECT c_custkey, sha256('{"c_name":"' || c_name || '","c_mktsegment":' ||
         CASE WHEN c_mktsegment <> 'BUILDING' THEN '"' || c_mktsegment || '"' ELSE 'null' END || '}') AS row_hash FROM customer""",
