@@ -216,6 +216,15 @@ def test_documents(spark, tmp_path):
     assert (out.inserted, out.updated, out.mark) == (0, 1, ts("2024-01-05"))
 
 
+def test_numbers_of_documents_are_loaded_as_text(spark, tmp_path):
+    (tmp_path / "members").write_text('{"_id":"1","at":"2024-01-01 00:00:00","w":[{"b":1,"c":1},{"b":"x"}]}\n'
+                                      '{"_id":"2","at":"2024-01-01 00:00:00","w":{"b":2.5,"c":2}}\n')
+    spec = job("members", src_db_name="mongodb", obj_type="collection", primary_key_col="_id", insrt_time_col="at", updt_time_col="at")
+    loader = Loader(spark, str(tmp_path / "lake"), {"mongodb": readers.landed_documents(str(tmp_path))}, clock=Clock(), as_text={"Members": ["w.b"]})
+    assert loader.full_load([spec])[0].inserted == 2
+    assert state(loader, spec, "_id", F.get_json_object(DOCUMENT, "$.w")) == [("1", '[{"b":"1","c":1},{"b":"x"}]'), ("2", '{"b":"2.5","c":2}')]
+
+
 def test_files(spark, tmp_path):
     """A sheet: found by name, cleaned, typed by its values, then loaded past the mark."""
     folder = tmp_path / "in"

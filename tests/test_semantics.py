@@ -217,3 +217,25 @@ def test_drift_and_evolution(spark):
 ])
 def test_odata_filters(given, url, mark, want):
     assert filter_text(given, url, mark) == want
+
+
+def test_numbers_in_documents_become_text(spark):
+    import json
+
+    from tidemark.functions.documents import numbers_to_text
+
+    documents = [
+        {"a": {"b": 1, "c": 2}, "z": None}, {"a": {"b": -1.5}}, {"a": {"b": "1"}}, {"a": {"b": None}}, {"a": {"b": {"b": 3}}}, {"a": {"b": True}}, {"a": 5},
+        {"a": [{"b": 1, "x": [1, {"b": 2}]}, {"c": 1}, 4, None, "b"]}, [{"a": {"b": 9}}, {"a": [{"b": 8}]}], 7, "text", [], {}, {"b": 1, "a": {}}, None]
+
+    def plain(v, keys):
+        if not keys:
+            return json.dumps(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else v
+        if isinstance(v, list):
+            return [plain(x, keys) if isinstance(x, dict) else x for x in v]
+        return {k: plain(x, keys[1:]) if k == keys[0] else x for k, x in v.items()} if isinstance(v, dict) else v
+
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)] + [(99, None)], "i int, t string")
+    got = {r.i: r.t for r in df.select("i", F.to_json(numbers_to_text(F.parse_json("t"), ["a.b", "no.such"])).alias("t")).collect()}
+    assert got.pop(99) is None
+    assert {i: json.loads(t) if t is not None else None for i, t in got.items()} == {i: plain(d, ["a", "b"]) for i, d in enumerate(documents)}

@@ -31,6 +31,31 @@ def nested_to_text(df: DataFrame, paths) -> DataFrame:
     return df
 
 
+def numbers_to_text(document: Column, paths) -> Column:
+    """A VARIANT whose numbers at ``paths``, e.g. ``rewards.GO.balance``, are text of the same digits; all else stays as it is.
+
+    A path goes through arrays on its way: it holds for each of their elements. A path that a document lacks, or at which it has
+    no number, changes nothing. Null documents stay null.
+    """
+    for path in paths:
+        document = _rewritten(document, path.split("."))
+    return document
+
+
+def _rewritten(value: Column, keys: list[str]) -> Column:
+    if not keys:
+        number = F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+        return F.when(number, F.to_json(value).cast("variant")).otherwise(value)
+
+    def inside(v):
+        fields = F.try_variant_get(v, "$", "map<string,variant>")
+        new = F.transform_values(fields, lambda k, x: F.when(k == keys[0], _rewritten(x, keys[1:])).otherwise(x))
+        return F.when(fields.isNotNull(), F.to_variant_object(new)).otherwise(v)
+
+    many = F.try_variant_get(value, "$", "array<variant>")
+    return F.when(many.isNotNull(), F.to_variant_object(F.transform(many, inside))).otherwise(inside(value))
+
+
 def _is_number(dtype: T.DataType, path) -> bool:
     for part in path:
         if not isinstance(dtype, T.StructType) or part not in dtype.fieldNames():

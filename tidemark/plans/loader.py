@@ -19,7 +19,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.documents import canonical, field
+from tidemark.functions.documents import canonical, field, numbers_to_text
 from tidemark.functions.names import column, project
 from tidemark.functions.times import parse, stamp_column
 from tidemark.functions.typemap import cast_to
@@ -68,7 +68,7 @@ class Loader:
 
     ``parallel`` jobs run at a time: small objects then share the cluster instead of queueing. ``buckets`` keeps
     targets bucketed by key, so that merges move the increment only. ``zone`` is the wall clock of all stamps.
-    ``overrides`` gives (table, column) another Spark type.
+    ``overrides`` gives (table, column) another Spark type. ``as_text`` lists, per document collection, paths whose numbers become text.
     ``addresses`` by source and ``target_name`` (database, schema) only label the rows of the control table.
     """
 
@@ -76,11 +76,13 @@ class Loader:
                  allow_drop: bool = False, strict_casts: bool = True, buckets: int = 0, parallel: int = 1,
                  zone: str = "UTC", keep_versions: int = 2, addresses: dict[str, str] | None = None,
                  target_name: tuple[str, str] | None = None, overrides: dict[tuple[str, str], str] | None = None,
+                 as_text: dict[str, list[str]] | None = None,
                  clock: Callable[[], datetime] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.readers, self.feeds = readers, feeds or {}
         self.allow_drop, self.strict_casts, self.buckets, self.parallel = allow_drop, strict_casts, buckets, parallel
         self.keep_versions = keep_versions
+        self.as_text = {t.lower(): paths for t, paths in (as_text or {}).items()}
         self.overrides = {(t.lower(), c.lower()): kind for (t, c), kind in (overrides or {}).items()}
         self.addresses, self.target_name = addresses or {}, target_name or (None, None)
         self.clock = clock or (lambda: datetime.now(ZoneInfo(zone)).replace(tzinfo=None))
@@ -220,7 +222,7 @@ class Loader:
         got = reader(self.spark, job, mark)
         got = got if isinstance(got, Extract) else Extract(got)
         if job.source == "mongodb":
-            return document_rows(got.rows, job)
+            return document_rows(got.rows, job, self.as_text.get(job.obj_name.lower(), ()))
         rows = project(got.rows, job.col_names)
         rows = cast_to(rows, got.schema, self.strict_casts) if got.schema is not None else rows
         kinds = {c: self.overrides.get((job.obj_name.lower(), c.lower())) for c in rows.columns}
@@ -289,14 +291,14 @@ class Loader:
         runs.write.mode("append").parquet(control.version_path(control.current()))
 
 
-def document_rows(raw: DataFrame, job: JobSpec) -> DataFrame:
+def document_rows(raw: DataFrame, job: JobSpec, as_text=()) -> DataFrame:
     """A VARIANT column -> key, times and canonical document text.
 
     The text is canonical (sorted keys), so documents compare as strings; ``parse_json`` turns it back. A time that cannot be read
-    fails the job: as null it would keep its document out of every increment.
+    fails the job: as null it would keep its document out of every increment. Numbers at the paths ``as_text`` become text.
     """
     document = column(raw.columns[0])
     times = {n: parse(field(document, n), strict=True) for n in dict.fromkeys((job.insrt_time_col, job.updt_time_col)) if n}
     keys = {k: field(document, k) for k in job.keys}
     return raw.select(
-        *[c.alias(n) for n, c in {**keys, **times}.items()], canonical(document).alias(DOCUMENT))
+        *[c.alias(n) for n, c in {**keys, **times}.items()], canonical(numbers_to_text(document, as_text)).alias(DOCUMENT))

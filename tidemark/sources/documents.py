@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -35,12 +35,13 @@ def rejects(df: DataFrame, text: str) -> DataFrame:
 def read_lines(spark: SparkSession, path: str, reject_folder: str | None = None) -> DataFrame:
     """Landed JSON Lines, one document per row; blank lines hold none.
 
-    A broken line fails the read, unless there is a folder for such lines: they are written there as text, to be counted and
-    mended, and the others are returned.
+    A broken line fails the read, unless there is a folder for such lines: they are written there as text, in a folder of its own
+    for each run, to be counted and mended, and the others are returned.
     """
     lines = spark.read.text(path).where(F.trim("value") != "")
     if reject_folder is not None:
-        rejects(lines, "value").write.mode("overwrite").text(reject_folder)
+        run = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        rejects(lines, "value").write.text(f"{reject_folder.rstrip('/')}/run={run}")
         return parse_documents(lines, "value").where(F.col(RAW).isNotNull()).select(RAW)
     message = F.concat(F.lit("line without a JSON document: "), F.substring("value", 1, 200))
     return lines.select(F.when(broken(F.col("value")), F.raise_error(message).cast("variant")).otherwise(

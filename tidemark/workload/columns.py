@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from tidemark.functions import times
-from tidemark.functions.documents import canonical, field, nested_to_text
+from tidemark.functions.documents import canonical, field, nested_to_text, numbers_to_text
 from tidemark.functions.names import clean_headers, column
 from tidemark.functions.rows import plain
 from tidemark.functions.text import strip_strings
@@ -246,6 +246,16 @@ def nested_cast(spark, sf_dir):
                        F.col("rewards.GO.points").alias("points"))
 
 
+def nested_cast_variant(spark, sf_dir):
+    """Numbers inside documents, some of them below arrays, as text; their neighbours stay numbers."""
+    e = table(spark, sf_dir, "events")
+    go = F.struct(F.col("user_id").alias("points"), F.col("event_id").alias("rank"))
+    rewards = F.struct(F.array(go, F.struct(F.lit(7).alias("points"), F.lit(None).cast("long").alias("rank"))).alias("GO"))
+    document = F.parse_json(F.to_json(F.struct("event_id", "event_type", rewards.alias("rewards"))))
+    done = numbers_to_text(document, ["rewards.GO.points", "event_type", "rewards.GO.absent", "nothing.here"])
+    return e.select("event_id", canonical(done).alias("document"))
+
+
 def union_docs(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return union_documents(
@@ -357,6 +367,7 @@ QUERIES = {
     "doc_dedup": latest_documents,
     "doc_merge": doc_merge,
     "nested_cast": nested_cast,
+    "nested_cast_variant": nested_cast_variant,
     "sheet_workbook": sheet_workbook,
     "union_documents": union_docs,
     "odata_flatten": odata_flatten,
@@ -461,6 +472,9 @@ ORACLES = {
         SELECT coalesce(s.id, t.id) AS id, CASE WHEN t.id IS NULL THEN 'insert' WHEN s.id IS NULL THEN 'keep'
           WHEN s.document <> t.document THEN 'update' ELSE 'keep' END AS action
         FROM latest_docs s FULL OUTER JOIN target t ON s.id = t.id""",
+    "nested_cast_variant": """SELECT event_id, '{"event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type
+        || '","rewards":{"GO":[{"points":"' || CAST(user_id AS VARCHAR) || '","rank":' || CAST(event_id AS VARCHAR)
+        || '},{"points":"7"}]}}' AS document FROM events""",
     "sheet_workbook": """SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS name, p_type AS kind,
         CASE WHEN p_size % 5 <> 0 THEN CAST(p_size AS VARCHAR) END AS size,
         strftime(TIMESTAMP '2024-01-01' + p_size * INTERVAL 1 DAY + (p_size % 24) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS listed,
