@@ -12,29 +12,37 @@ from tidemark.llm import decontaminate, mixing, near_dedup, queries, sharding, t
 from tidemark.llm.common import staged
 
 
+def _whole(docs: DataFrame) -> Column:
+    """All columns of a row as one, so that no name of theirs can meet a name of an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go; labels come from ``labels``."""
+    """Documents that the toxicity model rejects go; labels come from ``labels``.
+
+    Null and empty texts are scored like any other. Repeated rows share their text's fate. Extra columns stay, whatever their names.
+    """
     model = toxicity.ToxicityModel(docs, queries.table(spark, sf_dir, "labels"))
-    scored = model.score(docs.withColumn("_text", F.col("text")))
-    return scored.where(F.col("score") < toxicity.THRESHOLD).withColumnRenamed("_text", "text").select(*docs.columns)
+    scored = model.score(docs.select(_whole(docs), F.col("text").cast("string").alias("text")))
+    return scored.where(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates stays: the smallest id, no id last, then by hash of the text and of the row.
 
-    Texts without words belong to no group and stay.
+    Texts without words belong to no group and stay, repeated rows of them too. Extra columns stay, whatever their names.
     """
     key = ["_no_id", "_id", "_rk"]
 
-    def keyed(rows: DataFrame, rk: Column) -> DataFrame:
+    def keys(rk: Column) -> list[Column]:
         number = F.col("doc_id").cast("long")
-        return rows.withColumns({"_no_id": number.isNull(), "_id": F.coalesce(number, F.lit(0)), "_rk": rk})
+        return [number.isNull().alias("_no_id"), F.coalesce(number, F.lit(0)).alias("_id"), rk.alias("_rk")]
 
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*docs.columns)))
-    single = keyed(docs.where(worded), F.xxhash64("text")).withColumn("_place", place).where("_place = 1")
-    kept = keyed(near_dedup.NearDuplicates(docs).survivors(), F.col("rk")).select(*key)
-    return single.join(kept.hint("shuffle_hash"), key, "left_semi").select(*docs.columns).union(docs.where(~worded))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("row")))
+    single = docs.where(worded).select(_whole(docs), *keys(F.xxhash64("text"))).withColumn("_place", place).where("_place = 1")
+    kept = near_dedup.NearDuplicates(docs).survivors().select(*keys(F.col("rk")))
+    return single.join(kept.hint("shuffle_hash"), key, "left_semi").select("row.*").union(docs.where(~worded))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
