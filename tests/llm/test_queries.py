@@ -149,9 +149,33 @@ def test_fit_counts_is_exact_where_it_can_be(seed):
         sums = {x + s * k for x in sums for k in range(c + 1)}
     take = mixing.fit_counts(sizes, counts, budget, window=1 << 16)
     assert ((take >= 0) & (take <= counts)).all()
-    assert int((take * sizes).sum()) <= budget
-    # An equal share of every size is taken first; with a budget above that the best sum stays within reach of one size.
-    assert budget - int((take * sizes).sum()) <= budget - max(x for x in sums if x <= budget) + int(sizes[0])
+    assert int((take * sizes).sum()) == max(x for x in sums if x <= budget)
+
+
+@pytest.mark.parametrize("sizes, counts, budget, best", [
+    ((200_000, 300_000), (1, 1), 250_000, 200_000), ((150_000, 170_000, 190_000), (1, 1, 1), 340_000, 340_000),
+    ((1000, 400_000), (5, 1), 402_000, 402_000), ((10**12,), (7,), 3 * 10**12 + 5, 3 * 10**12), ((3, 10**12), (2, 1), 10**11, 6),
+    ((7, 9), (0, 0), 5, 0), ((), (), 5, 0), ((4, 6), (2, 2), 100, 20)])
+def test_fit_counts_with_long_sizes(sizes, counts, budget, best):
+    take = mixing.fit_counts(sizes, counts, budget, window=1 << 16)
+    assert all(0 <= t <= c for t, c in zip(take, counts)) and sum(int(t) * s for t, s in zip(take, sizes)) == best
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_fit_counts_up_to_half_a_million(seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    sizes = np.sort(np.concatenate([rng.integers(1000, 500_000, 5), rng.integers(1, 300, 2)]))
+    counts = rng.integers(1, 4, 7)
+    budget = int(rng.integers(1, (sizes * counts).sum() + 1))
+    sums = {0}
+    for s, c in zip(sizes.tolist(), counts.tolist()):
+        sums = {x + s * k for x in sums for k in range(c + 1)}
+    for window in (1 << 16, 100):
+        take = mixing.fit_counts(sizes, counts, budget, window)
+        assert ((take >= 0) & (take <= counts)).all()
+        assert int((take * sizes).sum()) == max(x for x in sums if x <= budget)
 
 
 def test_pipeline_keeps_what_each_stage_decides(spark, sf_dir, oracle):

@@ -18,22 +18,51 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.llm.common import count_words, staged
 
 
-def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int) -> np.ndarray:
+def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int, table: int = 1 << 23) -> np.ndarray:
     """How many of the ``counts`` things of each size to take so that sizes add up to ``budget``, or closest below it.
 
-    An equal fraction of every size and then large sizes first leave about ``window``; the knapsack fits that exactly.
+    An equal fraction of every size and then large sizes first leave about ``window``; the knapsack fits that. Where it misses
+    the budget, ever more is given back for it to decide, in the end the whole budget, so that no sum comes closer. All is
+    measured in the sizes' greatest common divisor. Only if a budget exceeds ``table`` such units, and is missed with that much
+    for the knapsack to decide, the best sum found is not known to be the closest.
     """
-    order = np.argsort(-sizes, kind="stable")
+    sizes, counts = np.asarray(sizes, np.int64), np.asarray(counts, np.int64)
+    total, unit = sum(int(s) * int(c) for s, c in zip(sizes, counts)), int(np.gcd.reduce(sizes)) if len(sizes) else 1
+    if budget >= total:
+        return counts.copy()
+    sizes, budget = sizes // unit, budget // unit
+    most, free = min(budget, table), 0
+    best, missed = _fit(sizes, counts, budget, window, free)
+    while missed and free < most:
+        free = min(most, max(window, 16 * free))
+        take, more = _fit(sizes, counts, budget, window, free)
+        if more < missed:
+            best, missed = take, more
+    return best
+
+
+def _fit(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int, free: int) -> tuple[np.ndarray, int]:
+    """What to take, and what is missed, if the knapsack decides on ``free`` at least, and else on about ``window``."""
     total = sum(int(s) * int(c) for s, c in zip(sizes, counts))
-    take = np.array([budget * int(c) // max(1, total) for c in counts], dtype=np.int64)
-    take = np.minimum(take, counts)
+    take = np.array([budget * int(c) // total for c in counts], dtype=np.int64)
     rest = budget - sum(int(s) * int(t) for s, t in zip(sizes, take))
+    order = np.argsort(-sizes, kind="stable")
+    for i in order[::-1]:
+        back = min(int(take[i]), -(-max(0, free - rest) // int(sizes[i])))
+        take[i] -= back
+        rest += back * int(sizes[i])
+    window = max(window, free)
     for i in order:
         more = min(int(counts[i] - take[i]), max(0, rest - window) // int(sizes[i]))
         take[i] += more
         rest -= more * int(sizes[i])
-    rest = min(rest, 2 * window)
-    reached, choice, parts = np.zeros(rest + 1, dtype=bool), np.full(rest + 1, -1, dtype=np.int64), []
+    if rest > 2 * window:  # every size that is left exceeds rest - window: one at most fits, and nothing beside it
+        fitting = [i for i in order if take[i] < counts[i] and sizes[i] <= rest]
+        if fitting:
+            take[fitting[0]] += 1
+            rest -= int(sizes[fitting[0]])
+        return take, rest
+    reached, choice, parts = np.zeros(rest + 1, dtype=bool), np.full(rest + 1, -1, dtype=np.int32), []
     reached[0] = True
     for i in order[::-1]:
         left, step = int(counts[i] - take[i]), 1
@@ -48,11 +77,12 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int)
             reached[weight:] |= new
             parts.append((i, n, weight))
     at = int(np.flatnonzero(reached)[-1])
+    missed = rest - at
     while at:
         i, n, weight = parts[choice[at]]
         take[i] += n
         at -= weight
-    return take
+    return take, missed
 
 
 class Mixture:
