@@ -203,7 +203,7 @@ def _walk(log_noise, start, d, seed):
 class LanguageModel:
     """``train`` is a condition on the id that says which documents to learn from; a null id counts as not admitted."""
 
-    def __init__(self, docs: DataFrame, train, listed: int = 383, classes: int = 128, d: int = 16, table: int = 200_000,
+    def __init__(self, docs: DataFrame, train, listed: int = 1023, classes: int = 384, d: int = 24, table: int = 200_000,
                  rounds: tuple[float, ...] = (0.1, 0.3, 1.0), seed: int = 11):
         self.spark, self.classes, self.d, self.table = docs.sparkSession, classes, d, table
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -274,22 +274,21 @@ class LanguageModel:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores by last and by last but one outcome (the first with biases), and the normalising sums of all contexts."""
-        p = _Parameters(len(self.log_share), self.d, self.flat)
+        p = _Parameters(len(self.log_share), self.d, self.flat, np.float32)
         one, two = p.r @ p.c1, p.r @ p.c2
         first, second, k = one @ p.r.T + p.b, two @ p.r.T, len(self.log_share)
 
         def sums(batches):
             for batch in batches:
-                rows = batch.column("id").to_numpy()
                 found = []
-                for x in rows:
-                    logits = (one[x] + two) @ p.r.T + p.b
+                for x in batch.column("id").to_numpy():
+                    logits = second + first[x]
                     top = logits.max(axis=1)
                     found.append(top + np.log(np.exp(logits - top[:, None]).sum(axis=1)))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tolist() for x in found], pa.list_(pa.float64()))], names=["id", "z"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in found], pa.binary())], names=["id", "z"])
 
-        z = self.spark.range(0, k, 1, 16).mapInArrow(sums, "id long, z array<double>").toPandas().sort_values("id")
-        return first, second, np.stack(z.z.to_list())
+        z = self.spark.range(0, k, 1, 32).mapInArrow(sums, "id long, z binary").toPandas().sort_values("id")
+        return first, second, np.stack([np.frombuffer(x, np.float32) for x in z.z])
 
     def score(self) -> DataFrame:
         """doc_id, train, n_tokens, n_known, base_score, score for every document; null texts are empty.
