@@ -5,10 +5,11 @@ word falls into one of a few classes by its last bytes, and within its class it
 The model predicts an outcome from the two before it: context vectors pass through one matrix per position, their sum meets
 the outcome's vector, and a bias is added.
 
-Training goes through all training texts once, in rounds: in each round every task walks over its own texts from the same
-start, by minibatches against noise from the outcome frequencies, and the parameters are averaged by tokens. Logarithms of the
-normalising sums come from matrix products over all contexts. Counts of words beyond a bounded table of frequent ones
-are looked up by a join, so that the vocabulary may be of any size.
+Texts are written once as outcome numbers, which training and scoring read. Training goes through all training texts once, in
+rounds: in each round every task walks over its own texts from the same start, by minibatches against noise from the outcome
+frequencies, and the parameters are averaged by tokens. Logarithms of the normalising sums come from matrix products over all
+contexts. Counts of words beyond a bounded table of frequent ones are looked up by a join, so that the vocabulary may be of
+any size.
 """
 
 from __future__ import annotations
@@ -201,7 +202,10 @@ def _walk(log_noise, start, d, seed):
 
 
 class LanguageModel:
-    """``train`` is a condition on the id that says which documents to learn from; a null id counts as not admitted."""
+    """``train`` is a condition on the id that says which documents to learn from; a null id counts as not admitted.
+
+    Every row counts and is scored by itself, repeated rows too; null and empty texts have an end only. Other columns are not read.
+    """
 
     def __init__(self, docs: DataFrame, train, listed: int = 1023, classes: int = 384, d: int = 24, table: int = 200_000,
                  rounds: tuple[float, ...] = (0.1, 0.3, 1.0), seed: int = 11):
