@@ -374,15 +374,27 @@ def test_relational_reader_asks_for_the_right_tables(spark, monkeypatch):
     asked = []
     rows = frame(spark, (1, "a", 1.0, ts("2024-01-01"), None), (2, "b", 1.0, ts("2024-02-01"), None))
     monkeypatch.setattr(readers.jdbc, "read_table", lambda s, o, table, cols=None, split=None: asked.append((table, cols, split)) or rows)
-    monkeypatch.setattr(readers.jdbc, "read_slices", lambda s, o, table, name, n, cols=None: asked.append((table, name, n, cols)) or rows)
+    monkeypatch.setattr(readers.jdbc, "read_slices", lambda s, o, table, name, n, cols=None, past=None, source=None: asked.append((table, name, n, cols, past)) or rows)
     spec = job(is_deletion="yes", deleted_tbl="people_deleted", col_names="id, name")
     readers.relational("postgresql", {"url": "x"}, {"people": "id"}, partitions=4)(spark, spec, None)
     feed = readers.relational_deletes("postgresql", {"url": "x"})(spark, spec, "2024-01-15 00:00:00")
     readers.relational("postgresql", {"url": "x"}, partitions=1)(spark, spec, None)
-    assert asked == [("public.people", "id", 4, "id, name"), ("public.people_deleted", None, None), ("public.people", "id, name", None)]
+    whole = ("public.people", "id, name", None)
+    assert asked == [whole, ("public.people", "id", 4, "id, name", None), ("public.people_deleted", None, None), whole]
     assert [tuple(r) for r in feed.collect()] == [(2, ts("2024-02-01"))]
 
 
+def test_relational_reader_splits_by_numbers_and_times_only(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(readers.jdbc, "read_slices", lambda s, o, table, name, n, cols=None, past=None, source=None: asked.append((name, past)))
+    tables = {"text": "code string, Changed timestamp_ntz", "mixed": "code string, Nr bigint, Changed timestamp_ntz"}
+    monkeypatch.setattr(readers.jdbc, "read_table", lambda s, o, table, cols=None, split=None: s.createDataFrame([], tables[table.split(".")[1]]))
+    read = readers.relational("sqlserver", {"url": "x"})
+    for name, keys in (("text", "code"), ("text", "missing"), ("mixed", "code, nr")):
+        read(spark, job(name, primary_key_col=keys, insrt_time_col="changed", updt_time_col=None), ts("2024-01-15"))
+    assert asked == [("Nr", "(\"Changed\" > CAST('2024-01-15 00:00:00' AS DATETIME2))")]
+
+
 def test_collection_reader_gives_whole_documents(spark, tmp_path, monkeypatch):
     schema = "_id string, createdAt timestamp_ntz, updatedAt timestamp_ntz, wallet struct<balance:double>"
     rows = frame(spark, ("1", ts("2024-01-01"), None, (1.5,)), ("2", ts("2024-01-02"), ts("2024-01-03 10:00:00.25"), None), schema=schema)
@@ -432,7 +444,7 @@ def test_documents_with_iso_times_are_loaded(spark, tmp_path):
 
 def test_relational_rows_take_the_types_of_the_catalog(spark, monkeypatch):
     rows = spark.createDataFrame([("7", "1.25")], "id string, price string")
-    monkeypatch.setattr(readers.jdbc, "read_slices", lambda *a, **k: rows)
+    monkeypatch.setattr(readers.jdbc, "read_table", lambda *a, **k: rows)
     monkeypatch.setattr(readers.jdbc, "read_query", lambda s, o, query, split=None: s.createDataFrame(
         [("price", "float8", 2), ("id", "int8", 1)], "column_name string, data_type string, ordinal_position int"))
     got = readers.relational("postgresql", {"url": "x"}, type_map=TypeMap())(spark, job(), None)

@@ -368,6 +368,30 @@ def test_slices_cover_every_row_once():
     assert sum(parts) == 1000 and sorted(parts)[-2] < 200  # only the hot value's slice stands out
     assert jdbc.slices("day", [dt.date(2024, 1, 1)]) == ["day <= '2024-01-01'", "day > '2024-01-01'", "day IS NULL"]
     assert jdbc.slices("k", []) == ["k IS NULL"]
+    at = dt.datetime(2024, 1, 1, 0, 0, 0, 500)
+    assert jdbc.slices("at", [at], "sqlserver")[0] == "at <= CAST('2024-01-01 00:00:00.000500' AS DATETIME2)"
+    assert jdbc.slices("k", ["it's"])[0] == "k <= 'it''s'"
+
+
+def test_slices_follow_the_order_of_the_database():
+    """Under an order without regard to case, bounds sorted in Python's order would overlap."""
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute('CREATE TABLE t ("Key" VARCHAR COLLATE NOCASE, day TIMESTAMP)')
+    con.execute("INSERT INTO t SELECT chr((65 + i % 26 + 32 * (i % 2))::INT) || (i % 50), TIMESTAMP '2024-01-01' + to_days(i::INT) FROM range(2000) r(i)")
+    where = jdbc.changed_condition(dt.datetime(2024, 6, 1), "day", None, "postgresql")
+    found = con.execute(jdbc.slices_query("t", jdbc.quoted("Key"), 7, where)).fetchall()
+    parts = jdbc.slices(jdbc.quoted("Key"), [h for _, h in sorted(found)])
+    assert sum(con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in parts) == 2000 and len(parts) > 4
+    assert con.execute(jdbc.count_query("t", where)).fetchone()[0] < 2000
+
+
+def test_few_rows_are_not_sliced(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(jdbc, "read_query", lambda s, o, query, split=None: asked.append(query) or s.createDataFrame([(150_000,)], "n long"))
+    monkeypatch.setattr(jdbc, "read_table", lambda s, o, table, cols=None, split=None: "one query")
+    assert jdbc.read_slices(spark, {"url": "x"}, "s.t", "id", 64) == "one query"
+    assert asked == ["SELECT COUNT(*) AS n FROM s.t"]
 
 
 def test_entity_pages_are_bounded(spark):

@@ -15,18 +15,25 @@ from tidemark.sources import catalog, documents, files, jdbc, odata
 def relational(source: str, connection: dict | None = None, split_on: dict[str, str] | None = None, partitions: int = 64,
                type_map: TypeMap | None = None) -> Reader:
     """SQL Server or PostgreSQL tables. A scan is split along the column that ``split_on`` names for the object, else along the first
-    key, into slices of about equally many rows; with ``partitions=1`` it is one query.
+    key that is a number or a time, into slices of about equally many rows past the mark; few rows, no such key, or ``partitions=1``
+    make it one query.
 
     The loader's column list and increment filter become part of the remote query. With a ``type_map`` the columns get the types
     that it gives to those of the database's own catalog.
     """
     def read(spark, job, mark):
         options = connection or jdbc.options(spark, source, job.database_name)
-        table, name = f"{job.schema_name}.{job.obj_name}", (split_on or {}).get(job.obj_name) or next(iter(job.keys), None)
-        if name and partitions > 1:
-            rows = jdbc.read_slices(spark, options, table, name, partitions, job.col_names)
-        else:
-            rows = jdbc.read_table(spark, options, table, job.col_names)
+        table = f"{job.schema_name}.{job.obj_name}"
+        rows = jdbc.read_table(spark, options, table, job.col_names)
+        if partitions > 1:
+            found = {c.lower(): c for c in rows.columns}
+            asked = (split_on or {}).get(job.obj_name)
+            name = found.get(asked.lower(), asked) if asked else jdbc.split_column(rows, job.keys)
+            # only times the scan itself has in the table size the slices; a load-time column of the loader's own is not there
+            times = [found.get((c or "").lower()) for c in (job.insrt_time_col, job.updt_time_col)]
+            past = jdbc.changed_condition(mark, times[0] or times[1], times[1], source) if mark and any(times) else None
+            if name:
+                rows = jdbc.read_slices(spark, options, table, name, partitions, job.col_names, past, source=source)
         if type_map is None:
             return rows
         asked = jdbc.read_query(spark, options, jdbc.catalog_query(job.obj_name, job.schema_name, job.col_names))

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.functions.names import project
 
@@ -88,29 +89,79 @@ def bounds_query(table: str, name: str) -> str:
     return f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}"
 
 
-def slices_query(table: str, name: str, partitions: int) -> str:
-    """Upper bounds of about equally many rows each, whatever the skew: one row per slice."""
-    tiles = f"SELECT {name} AS k, NTILE({partitions}) OVER (ORDER BY {name}) AS slice FROM {table} WHERE {name} IS NOT NULL"
+#: Types whose order is the same in every database and whose values have a plain literal.
+EVEN_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def quoted(name: str) -> str:
+    """A column name as written in the database, whatever its case; both systems take double quotes."""
+    return '"' + name.replace('"', '""') + '"'
+
+
+def literal(value, source: str) -> str:
+    """A bound as text of the database. Times are given their type, because a short form of it would refuse their fraction."""
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        kind = "DATETIME2" if source.lower() == "sqlserver" else "TIMESTAMP"
+        return f"CAST('{value.isoformat(sep=' ')}' AS {kind})"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def changed_condition(mark: datetime, insert_col: str, update_col: str | None, source: str) -> str:
+    """The increment as a condition on the table; it only sizes the slices, so columns of other types than times may differ."""
+    names = dict.fromkeys(n for n in (insert_col, update_col) if n)
+    return "(" + " OR ".join(f"{quoted(n)} > {literal(mark, source)}" for n in names) + ")"
+
+
+def count_query(table: str, where: str | None = None) -> str:
+    return f"SELECT COUNT(*) AS n FROM {table}" + (f" WHERE {where}" if where else "")
+
+
+def slices_query(table: str, name: str, partitions: int, where: str | None = None) -> str:
+    """Upper bounds of about equally many rows each, whatever the skew: one row per slice. ``name`` is written as given."""
+    asked = f"{name} IS NOT NULL" + (f" AND {where}" if where else "")
+    tiles = f"SELECT {name} AS k, NTILE({partitions}) OVER (ORDER BY {name}) AS slice FROM {table} WHERE {asked}"
     return f"SELECT slice, MAX(k) AS high FROM ({tiles}) tiles GROUP BY slice"
 
 
-def slices(name: str, highs: list) -> list[str]:
+def slices(name: str, highs: list, source: str = "postgresql") -> list[str]:
     """Disjoint conditions that cover every row: up to each bound, beyond the last one, and rows without a value in a part of their own.
 
-    A value that fills several slices keeps one.
+    Numbers and times may come in any order; texts come in the database's own, which is not Python's. A value that fills several
+    slices keeps one.
     """
-    bounds = [str(h) if isinstance(h, (int, float, Decimal)) else f"'{str(h).replace(chr(39), chr(39) * 2)}'" for h in sorted(set(highs))]
+    highs = dict.fromkeys(highs)
+    bounds = [literal(h, source) for h in (highs if any(isinstance(h, str) for h in highs) else sorted(highs))]
     out = [f"{name} > {low} AND {name} <= {high}" for low, high in zip(bounds, bounds[1:])]
     if bounds:
         out = [f"{name} <= {bounds[0]}", *out, f"{name} > {bounds[-1]}"]
     return [*out, f"{name} IS NULL"]
 
 
-def read_slices(spark: SparkSession, connection: dict, table: str, name: str, partitions: int, col_names: str | None = None) -> DataFrame:
-    """Scan as one range query per slice, with bounds that the database finds."""
-    highs = [r["high"] for r in read_query(spark, connection, slices_query(table, name, partitions)).collect()]  # one row per slice
+def split_column(rows: DataFrame, keys) -> str | None:
+    """The first key that is a number or a time, as the database writes it; None where all are of other kinds."""
+    found = {f.name.lower(): f for f in rows.schema.fields}
+    fields = [found[k.lower()] for k in keys if k.lower() in found]
+    return next((f.name for f in fields if isinstance(f.dataType, EVEN_TYPES)), None)
+
+
+def read_slices(spark: SparkSession, connection: dict, table: str, name: str, partitions: int, col_names: str | None = None,
+                where: str | None = None, least: int = 100_000, source: str = "postgresql") -> DataFrame:
+    """Scan as one range query per slice, with bounds that the database finds among the rows that ``where`` leaves.
+
+    There are no more slices than ``least`` rows each fill; below two of them nothing is sorted and the scan is one query.
+    ``where`` only sizes the slices: the scan's own filter is the caller's.
+    """
+    n = read_query(spark, connection, count_query(table, where)).first()[0]
+    partitions = min(partitions, n // least)
+    if partitions < 2:
+        return read_table(spark, connection, table, col_names)
+    found = read_query(spark, connection, slices_query(table, quoted(name), partitions, where)).collect()  # one row per slice
+    highs = [r["high"] for r in sorted(found, key=lambda r: r["slice"])]
     given = {k: v for k, v in table_options(connection, table).items() if k not in ("url", "dbtable")}
-    return project(spark.read.jdbc(connection["url"], table, predicates=slices(name, highs), properties=given), col_names)
+    parts = slices(quoted(name), highs, source)
+    return project(spark.read.jdbc(connection["url"], table, predicates=parts, properties=given), col_names)
 
 
 def catalog_query(table: str, schema: str, col_names: str | None = None) -> str:
