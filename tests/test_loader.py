@@ -481,3 +481,23 @@ def test_filters_of_one_entity_set_do_not_reach_the_next(spark, monkeypatch):
         assert read(spark, spec, None) == "rows"
     assert ["splits" in o for o in asked] == [False, True, False]
     assert [(o["parallel"], o["range_key"], o["range_type"]) for o in asked] == [("8", "Nr", "Edm.Int32")] * 3
+
+
+def test_the_log_is_read_once_per_load(spark, tmp_path, source, monkeypatch):
+    """Marks and run numbers noted in memory are those that a new reading of the log gives."""
+    from tidemark.operators.increment import Marks, last_mark
+
+    loader = Loader(spark, str(tmp_path / "lake"), {"postgresql": source}, clock=Clock())
+    specs = [job("one"), job("two"), job("bad"), job("one")]
+    source.tables["one"] = frame(spark, (1, "a", 1.0, ts("2024-01-01"), ts("2024-02-01 10:00:00.5")))
+    source.tables["two"] = frame(spark)
+    reads, control = [], Loader.control
+    monkeypatch.setattr(Loader, "control", lambda self: reads.append(1) or control(self))
+    done = loader.incr_load(specs)
+    assert [o.status for o in done] == ["SUCCESS", "SUCCESS", "FAILED", "SUCCESS"] and len(reads) == 1
+    assert source.marks["one"] == ts("2024-02-01 09:50:00.5")  # the second job of one object sees the first one's mark
+    again = Marks(control(loader))
+    assert (again.last_run, again._marks) == (loader._marks.last_run, loader._marks._marks) and again.last_run == 4
+    for spec in specs:
+        names = (spec.source, spec.obj_type, spec.obj_name, spec.sf_tbl)
+        assert last_mark(loader._marks, *names) == last_mark(control(loader), *names)

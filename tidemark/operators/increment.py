@@ -85,28 +85,57 @@ def last_marks_by_rule(control: DataFrame, rules: dict[str, tuple[str, bool]]) -
     return marks.agg(F.max_by("MAX_TIMESTAMP", "RUN_ID").alias("last_mark"))
 
 
-def last_mark(control: DataFrame, source: str, obj_type: str, source_object: str, target_table: str,
+class Marks:
+    """The marks in force and the last run's number, read from the log once; runs logged later are noted here as well.
+
+    Holds one entry per source object and one per target, whatever the length of the log.
+    """
+
+    RULES = {"SOURCE_OBJECT_NAME": ("SOURCE_OBJECT_NAME", False), "TARGET_TABLE_NAME": ("TARGET_TABLE_NAME", True)}
+
+    def __init__(self, control: DataFrame):
+        self.last_run = control.agg(F.max("RUN_ID").alias("r")).first()["r"] or 0
+        found = last_marks_by_rule(control, self.RULES).collect()  # one row per object
+        self._marks = {(r["rule"], r["object"]): r["last_mark"] for r in found}
+
+    def get(self, name_col: str, name: str):
+        return self._marks.get((name_col, name))
+
+    def note(self, run: dict) -> None:
+        """A run that has been logged, as a row of the control table."""
+        self.last_run = max(self.last_run, run["RUN_ID"])
+        mark = run["MAX_TIMESTAMP"]
+        if run["STATUS"] != "SUCCESS" or mark is None or mark == datetime.fromisoformat(SENTINEL):
+            return
+        for rule, (by, need_rows) in self.RULES.items():
+            if run["ROWS_INSERTED"] or not need_rows:
+                self._marks[rule, run[by]] = mark
+
+
+def last_mark(control: DataFrame | Marks, source: str, obj_type: str, source_object: str, target_table: str,
               lookback: timedelta | None = None):
     """Where the next incremental read of one object starts, or None for a full extract.
 
     File jobs look up their target (upper case) among runs that inserted rows and fall through to the
     source-object rule when there is none; OData jobs go by target with a lookback of two days, truncated
-    to the day; all others go by source object with ten minutes.
+    to the day; all others go by source object with ten minutes. Given :class:`Marks`, nothing is read.
     """
-    def lookup(name_col, name, need_rows):
-        return usable_runs(control.where(F.col(name_col) == name), need_rows).agg(
+    def lookup(name_col, name):
+        if isinstance(control, Marks):
+            return control.get(name_col, name)
+        return usable_runs(control.where(F.col(name_col) == name), Marks.RULES[name_col][1]).agg(
             F.max_by("MAX_TIMESTAMP", "RUN_ID").alias("m")).first()["m"]
 
     if obj_type.lower() == "file":
-        mark = lookup("TARGET_TABLE_NAME", target_table.upper(), True)
+        mark = lookup("TARGET_TABLE_NAME", target_table.upper())
         if mark is not None:
             return mark - (lookback or LOOKBACK)
     if source.lower() == "sap_odata":
-        mark = lookup("TARGET_TABLE_NAME", target_table.upper(), True)
+        mark = lookup("TARGET_TABLE_NAME", target_table.upper())
         if mark is None:
             return None
         return (mark - (lookback or ODATA_LOOKBACK)).replace(hour=0, minute=0, second=0, microsecond=0)
-    mark = lookup("SOURCE_OBJECT_NAME", source_object, False)
+    mark = lookup("SOURCE_OBJECT_NAME", source_object)
     return None if mark is None else _to_millis(mark - (lookback or LOOKBACK))
 
 

@@ -26,7 +26,7 @@ from tidemark.functions.typemap import cast_to
 from tidemark.operators.audit import CONTROL_SCHEMA
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.evolve import drift, evolve
-from tidemark.operators.increment import changed_since, last_mark, new_mark
+from tidemark.operators.increment import Marks, changed_since, last_mark, new_mark
 from tidemark.operators.merge import (
     changed_since_stamp, choose_strategy, delete_by_feed, has_changes, hot_keys, master_refresh, merge, next_version,
 )
@@ -99,6 +99,7 @@ class Loader:
     def _run(self, jobs, incremental):
         jobs = read_jobs(self.spark, jobs) if isinstance(jobs, str) else list(jobs)
         self._ensure_control()
+        self._marks = Marks(self.control())  # the log is read once per load, not once per job
         # Jobs of one target run in the order given; only different targets run side by side.
         groups: dict[str, list[int]] = {}
         for i, job in enumerate(jobs):
@@ -258,7 +259,7 @@ class Loader:
         return archive.diff(snapshot, archive.current())
 
     def _mark(self, job):
-        return last_mark(self.control(), job.source, job.obj_type, job.obj_name, job.sf_tbl)
+        return last_mark(self._marks, job.source, job.obj_type, job.obj_name, job.sf_tbl)
 
     # -- control table ---------------------------------------------------------------------------------
 
@@ -267,10 +268,10 @@ class Loader:
 
     def _audit(self, o: Outcome, start, end):
         with self._log:
-            last = self.control().agg(F.max("RUN_ID").alias("r")).first()["r"]
-            row = self._audit_row(o, start, end, (last or 0) + 1)
+            row = self._audit_row(o, start, end, self._marks.last_run + 1)
             values = tuple(row.get(f.name) for f in CONTROL_SCHEMA.fields)
             self._append(self.spark.createDataFrame([values], CONTROL_SCHEMA).coalesce(1))
+            self._marks.note(row)
 
     def _audit_row(self, o: Outcome, start, end, run_id: int) -> dict:
         job = o.job
