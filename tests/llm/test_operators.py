@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 
 import numpy as np
 import pytest
@@ -232,6 +233,29 @@ def test_surrogates_stay_distinct(spark):
     assert len({r.surrogate for r in table.table(table.mentions()).collect()}) == 9
 
 
+def test_surnames_alone_are_the_same_person(spark):
+    texts = ["Mary Smith called. Later Smith left, SMITH said. Mary Jane Watson came. Smithers stays.", "Smith alone. I saw Mary. Then Dr. Watson went. Then on."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in pii.Surrogates(docs, "k").replaced().orderBy("doc_id").collect()]
+    mary, smith = out[0].split()[:2]
+    watson = out[0].split()[-4]
+    assert out[0] == f"{mary} {smith} called. Later {smith} left, {smith.upper()} said. {mary} {out[0].split()[9]} {watson} came. Smithers stays."
+    assert not {"Smith", "Watson", "Jane"} & set(re.findall(r"\w+", out[0])) and mary != "Mary"
+    assert out[1] == f"Smith alone. I saw {mary}. Then Dr. {watson} went. Then on."
+
+
+def test_surrogates_widen_when_forms_run_out(spark):
+    """All 676 addresses of one letter on each side are real, so none of that form is left."""
+    letters = [chr(97 + i) for i in range(26)]
+    texts = [f"{a}@{b}.co" for a in letters for b in letters]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r.text for r in pii.Surrogates(docs, "k").replaced().collect()]
+    assert len(set(new)) == 676 and not set(new) & set(texts) and all(re.fullmatch(r"[a-z]+@[a-z]\.co", x) for x in new)
+    one = spark.createDataFrame([("ip", "3.4.5.6"), ("surname", "smith")], "kind string, real string")
+    wide = [r[0] for r in one.select(pii.draw(F.col("kind"), F.col("real"), F.lit(9), "k")).collect()]
+    assert re.fullmatch(r"(\d{1,3}\.){3}\d{1,3}", wide[0]) and len(wide[0]) > 7 and len(wide[1]) >= 13
+
+
 # -- language model ------------------------------------------------------------------------------------------
 def test_model_is_normalised_and_learns(spark):
     rng = np.random.default_rng(3)

@@ -38,8 +38,13 @@ PATTERNS = {
     "ssn": r"(?=[0-9]{3}-)(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "card": r"(?=[0-9]{4})(?<![0-9])(?:[0-9]{4}(?:[ \-]?[0-9]{4}){2}[ \-]?[0-9]{1,7}(?![0-9])|3[47][0-9]{2}[ \-]?[0-9]{6}[ \-]?[0-9]{5}(?![0-9]))",
     "phone": r"(?=[+(0-9])(?<![0-9+])(?:(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9])|\+[0-9]{8,15}(?![0-9]))",
-    "name": rf"(?=\p{{Lu}})(?<!{_LETTER})(?:(?:{_NAMES})(?!{_LETTER})|(?<=(?<!{_LETTER})(?:{_NAMES}|{_TITLES})\.? )\p{{Lu}}{_LETTER}{{1,30}}+)",
+    "name": rf"(?=\p{{Lu}})(?<!{_LETTER})(?:(?:{_NAMES})(?!{_LETTER})"
+            rf"|(?<=(?<!{_LETTER})(?:(?:{_NAMES})(?: \p{{Lu}}{_LETTER}{{1,30}})?|(?:{_TITLES})\.?) )\p{{Lu}}{_LETTER}{{1,30}}+)",
 }
+#: A capitalised word, which may be a surname told elsewhere in its text.
+CAPITALISED = rf"(?<!{_LETTER})\p{{Lu}}{_LETTER}++"
+#: After so many draws that met others, a surrogate may take a wider form than its mention's: any octets, longer names and addresses.
+NARROW_DRAWS = 6
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 DIGITAL = ("ssn", "card", "phone")
 
@@ -109,10 +114,13 @@ def draw(kind: Column, real: Column, attempt: Column, key: str) -> Column:
         return out.when(c.rlike("[a-z]"), letter(i, "a", 26)).when(c.rlike("[A-Z]"), letter(i, "A", 26)).otherwise(c)
 
     plain = F.array_join(F.transform(F.split(real, ""), swapped), "")
-    octets = F.transform(F.split(real, r"\."), lambda o, i: F.when(F.length(o) == 1, pick(i, 9) + 1).when(
+    wider = F.greatest(attempt - (NARROW_DRAWS - 1), F.lit(0))  # 0 while the form is the mention's own
+    more = F.transform(F.sequence(F.lit(0), wider), lambda i: F.when(i > 0, letter(i + 40, "a", 26)).otherwise(""))
+    plain = F.when((kind == "email") & (wider > 0), F.concat(F.array_join(more, ""), plain)).otherwise(plain)
+    octets = F.transform(F.split(real, r"\."), lambda o, i: F.when(wider > 0, pick(i, 254) + 1).when(F.length(o) == 1, pick(i, 9) + 1).when(
         F.length(o) == 2, pick(i, 90) + 10).otherwise(pick(i, 156) + 100).cast("string"))
     cyrillic = real.rlike(r"\p{IsCyrillic}")
-    count = 2 + F.pmod(attempt, F.lit(3))
+    count = 2 + F.pmod(attempt, F.lit(3)) + wider
     syllables = F.array_join(F.transform(F.sequence(F.lit(0), count), lambda i: F.when(
         cyrillic, F.element_at(F.array(*map(F.lit, CYRILLIC)), pick(i, len(CYRILLIC)) + 1)).otherwise(
         F.element_at(F.array(*map(F.lit, LATIN)), pick(i, len(LATIN)) + 1))), "")
@@ -124,6 +132,19 @@ def draw(kind: Column, real: Column, attempt: Column, key: str) -> Column:
             .when(kind == "card", card).otherwise(plain))
 
 
+def _as_name(mention: Column, surrogate: Column) -> Column:
+    return F.when((F.length(mention) > 1) & (mention == F.upper(mention)), F.upper(surrogate)).when(
+        mention == F.lower(mention), surrogate).otherwise(F.initcap(surrogate))
+
+
+def with_surnames(part: Column, surnames: Column) -> Column:
+    """A part of a text between mentions, in which the surnames (lower case -> surrogate) that the text told elsewhere are replaced."""
+    words = F.regexp_extract_all(part, F.lit(CAPITALISED), F.lit(0))
+    news = F.transform(words, lambda w: F.coalesce(_as_name(w, F.element_at(surnames, F.lower(w))), w))
+    mixed = F.zip_with(F.split(part, CAPITALISED, -1), F.concat(news, F.array(F.lit(""))), lambda p, m: F.concat(p, m))
+    return F.array_join(mixed, "")
+
+
 def lay_out(kind: Column, mention: Column, surrogate: Column) -> Column:
     """The surrogate in the format of the mention: separators where they were, capitals as they were."""
     def digit(c, i):
@@ -135,16 +156,16 @@ def lay_out(kind: Column, mention: Column, surrogate: Column) -> Column:
         return F.when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
 
     letters = F.split(mention, "")
-    named = F.when((F.length(mention) > 1) & (mention == F.upper(mention)), F.upper(surrogate)).when(
-        mention == F.lower(mention), surrogate).otherwise(F.initcap(surrogate))
+    named = _as_name(mention, surrogate)
     return (F.when(kind.isin(*DIGITAL, "iban"), F.array_join(F.transform(letters, digit), ""))
-            .when(kind == "email", F.array_join(F.transform(letters, cased), ""))
+            .when(kind == "email", F.concat(F.array_join(F.transform(letters, cased), ""), F.substring(surrogate, F.length(mention) + 1, F.lit(99))))
             .when(kind.isin("given_m", "given_f", "surname"), named).otherwise(surrogate))
 
 
 class Surrogates:
     """Replaces personal data in ``docs``. The same key and referents give the same surrogates in every run, unless a collision
-    was settled otherwise because other referents were present. Null texts stay null; rows are known by id and text, so ids may be
+    was settled otherwise because other referents were present. A surname found after a given name or title is the same person's wherever
+    the text has it as a capitalised word; such further places are replaced but not counted. Null texts stay null; rows are known by id and text, so ids may be
     null or repeated; further columns stay as they are."""
 
     def __init__(self, docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", most_draws: int = 60):
@@ -179,12 +200,15 @@ class Surrogates:
         found = self.mentions()
         told = found.join(self.table(found), ["kind", "real"])
         told = told.withColumn("new", lay_out(F.col("kind"), F.col("mention"), F.col("surrogate")))
-        told = told.groupBy("id", "rk").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("new"), F.sum("n").alias("n"))
-        told = told.select(F.col("id").alias("t_id"), F.col("rk").alias("t_rk"), "new", "n")
+        surname = F.when(F.col("kind") == "surname", F.struct("real", "surrogate"))
+        told = told.groupBy("id", "rk").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("new"), F.sum("n").alias("n"),
+                                            F.map_from_entries(F.collect_set(surname)).alias("surnames"))
+        told = told.select(F.col("id").alias("t_id"), F.col("rk").alias("t_rk"), "new", "n", "surnames")
         rows = self.docs.join(told.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("t_id")) & (F.col("rk") == F.col("t_rk")), "left")
         text = F.col("row")[self.text_col]
         # Between n mentions there are n + 1 other parts.
         parts = F.split(text, ANY, -1)
+        parts = F.when(F.size("surnames") > 0, F.transform(parts, lambda p: with_surnames(p, F.col("surnames")))).otherwise(parts)
         news = F.concat(F.transform(mentions(text), lambda m: F.element_at("new", m)), F.array(F.lit("")))
         joined = F.array_join(F.flatten(F.zip_with(parts, news, lambda p, m: F.array(p, m))), "")
         text = F.when(F.col("new").isNull(), text).otherwise(joined)
