@@ -341,6 +341,35 @@ def test_toxicity_finds_insults_and_disguises(spark):
     assert len(wrong) <= 4
 
 
+def test_toxicity_features_by_hand(spark):
+    """Each feature counted by hand, over whole texts; empty and null texts have none."""
+    end = " ".join(["calm"] * 50_000) + " you idiot"
+    frame = spark.createDataFrame([(1, "You ARE an IDIOT! id1ot"), (2, None), (3, ""), (4, end)], "doc_id long, text string")
+    rows = frame.mapInArrow(toxicity._features(frozenset(["are"]), frozenset(["an"])), "doc_id long, features array<double>").collect()
+    got = {r.doc_id: r.features for r in rows}
+    assert got[1] == pytest.approx([20, 20, 20, 20, 4, 4, 1, 9 / 17, 40, 1 / 23, 0, math.log(6)])
+    assert got[2] == got[3] == [0.0] * toxicity.WIDTH
+    assert got[4][:7] == pytest.approx([100 / 50_002, 0, 0, 0, 1, 1, 1])
+
+
+def test_toxicity_calibration_is_monotone(spark):
+    rng = np.random.default_rng(5)
+    docs = []
+    for i in range(300):
+        w = [f"w{k}" for k in rng.integers(0, 100, 30)]
+        insults = int(rng.integers(0, 4))
+        w[:insults] = ["idiot"] * insults
+        docs.append((i, " ".join(w), int(rng.random() < insults / 3)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    model = toxicity.ToxicityModel(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert model.curve is not None
+    scored = {r.doc_id: r.score for r in model.score(frame.select("doc_id", "text")).collect()}
+    raw = {r.doc_id: r.raw for r in model._raw(model.featured(frame.select("doc_id", "text")).withColumn(
+        "x", toxicity.array_to_vector("features"))).collect()}
+    order = sorted(raw, key=raw.get)
+    assert all(scored[a] <= scored[b] + 1e-12 for a, b in zip(order, order[1:])) and 0 <= scored[order[0]] < scored[order[-1]] <= 1
+
+
 # -- chat ----------------------------------------------------------------------------------------------------
 def test_fold_events(spark):
     log = [(1, "a", 1, "start", "user", None), (1, "a", 2, "delta", None, "Hel"), (1, "a", 3, "delta", None, "lo"),
