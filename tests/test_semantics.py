@@ -239,3 +239,26 @@ def test_numbers_in_documents_become_text(spark):
     got = {r.i: r.t for r in df.select("i", F.to_json(numbers_to_text(F.parse_json("t"), ["a.b", "no.such"])).alias("t")).collect()}
     assert got.pop(99) is None
     assert {i: json.loads(t) if t is not None else None for i, t in got.items()} == {i: plain(d, ["a", "b"]) for i, d in enumerate(documents)}
+
+
+def test_documents_are_computed_once_for_all_paths(spark):
+    """Each path used to compute its document five times, so the work was five to the power of the number of paths."""
+    import json
+
+    from tidemark.functions.documents import numbers_to_text
+
+    paths = ["a.b", "a.b.c", "a", "a.b", "d.e", "d.f.g.h", "no.such", "d.f"]
+    documents = [
+        ({"a": 1, "d": 2, "f": 3}, {"a": "1", "d": 2, "f": 3}), ({"a": [1, {"b": 2.5, "c": 1}]}, {"a": [1, {"b": "2.5", "c": 1}]}),
+        ({"a": {"b": {"c": 1, "b": 1}}, "x": None}, {"a": {"b": {"c": "1", "b": 1}}, "x": None}), ({"a": {"b": [{"c": 1}, 2, None]}}, {"a": {"b": [{"c": "1"}, 2, None]}}),
+        ({"d": [{"e": 1, "f": 2}, {"f": [{"g": {"h": 3}}, {"g": [[{"h": 4}], {"h": 5}]}]}, []]}, {"d": [{"e": "1", "f": "2"}, {"f": [{"g": {"h": "3"}}, {"g": [[{"h": 4}], {"h": "5"}]}]}, []]}),
+        ([{"a": 1}, {"d": {"e": True}}, 3], [{"a": "1"}, {"d": {"e": True}}, 3]), (8, 8), (None, None)]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, (d, _) in enumerate(documents)] + [(99, None)], "i int, t string")
+    done = df.select("i", F.to_json(numbers_to_text(F.parse_json("t"), paths)).alias("t"))
+    plan = done._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson") + plan.count("parse_json") == 1 and len(plan) < 20_000
+    got = {r.i: r.t for r in done.collect()}
+    assert got.pop(99) is None
+    assert {i: json.loads(t) for i, t in got.items()} == {i: want for i, (_, want) in enumerate(documents)}
+    text = spark.range(1).select(F.to_json(numbers_to_text(F.parse_json(F.lit('{"a":1}')), [])).alias("t"))
+    assert text.first().t == '{"a":1}'

@@ -37,23 +37,49 @@ def numbers_to_text(document: Column, paths) -> Column:
     A path goes through arrays on its way: it holds for each of their elements. A path that a document lacks, or at which it has
     no number, changes nothing. Null documents stay null.
     """
+    tree = {}
     for path in paths:
-        document = _rewritten(document, path.split("."))
-    return document
+        below = tree
+        for key in path.split("."):
+            below = below.setdefault(key, {})
+        below[_HERE] = True
+    return _once(document, lambda d: _rewritten(d, tree)) if tree else document
 
 
-def _rewritten(value: Column, keys: list[str]) -> Column:
-    if not keys:
+_HERE = object()  # in a tree of keys: a path ends here
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, however often that names the value, with the value computed once: a column named twice is computed twice."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _rewritten(value: Column, tree: dict) -> Column:
+    """All paths in one pass. The size of the expression grows with the tree, its cost with the document."""
+    below = {k: v for k, v in tree.items() if k is not _HERE}
+    if _HERE in tree:
         number = F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-        return F.when(number, F.to_json(value).cast("variant")).otherwise(value)
+        value = F.when(number, F.to_json(value).cast("variant")).otherwise(value)
+    if not below:
+        return value
+
+    def changed(k, x):
+        first, *others = below
+        out = F.when(k == first, _rewritten(x, below[first]))
+        for key in others:
+            out = out.when(k == key, _rewritten(x, below[key]))
+        return out.otherwise(x)
 
     def inside(v):
-        fields = F.try_variant_get(v, "$", "map<string,variant>")
-        new = F.transform_values(fields, lambda k, x: F.when(k == keys[0], _rewritten(x, keys[1:])).otherwise(x))
-        return F.when(fields.isNotNull(), F.to_variant_object(new)).otherwise(v)
+        new = F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), changed)
+        return F.coalesce(F.to_variant_object(new), v)
+
+    def elements(v):
+        many = F.try_variant_get(v, "$", "array<variant>")
+        return _once(many, lambda m: _once(
+            F.transform(F.coalesce(m, F.array(v)), inside), lambda new: F.when(m.isNotNull(), F.to_variant_object(new)).otherwise(F.get(new, 0))))
 
-    many = F.try_variant_get(value, "$", "array<variant>")
-    return F.when(many.isNotNull(), F.to_variant_object(F.transform(many, inside))).otherwise(inside(value))
+    return _once(value, elements)
 
 
 def _is_number(dtype: T.DataType, path) -> bool:
