@@ -113,3 +113,25 @@ def test_batches_are_counted_in_the_pass_that_writes_them(spark, tmp_path):
     log = spark.read.parquet(f"{tmp_path}/audit").where("rows_read > 0").collect()
     assert {r.query for r in log} == {"counted"} and len({r.batch_id for r in log}) == 2
     assert sorted(tuple(r.observed[k] for k in ("read.rows", "read.odd", "written.rows")) for r in log) in ([("10", "5", "10"), ("10", "5", "9")], [("10", "5", "9"), ("10", "5", "10")])
+
+
+def test_a_type_is_one_batch_of_many_files(spark, tmp_path, monkeypatch):
+    """One file per type came from one task that sorted all events."""
+    from tidemark.workload import loads
+    from tidemark.workload.fixtures import table
+
+    kind = F.when(F.col("id") % 10 != 0, F.concat(F.lit("kind"), F.col("id") % 3))
+    spark.range(0, 400, 1, 4).select(
+        (F.col("id") % 390).alias("event_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), (F.col("id") % 50).alias("user_id"), kind.alias("event_type"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") % 40).cast("double")).alias("value"), F.lit("{}").alias("props")).write.parquet(f"{tmp_path}/in/events.parquet")
+    monkeypatch.setattr(loads, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    got = loads.stream_audit(spark, f"{tmp_path}/in")
+    kept = F.col("value") >= 20
+    want = table(spark, f"{tmp_path}/in", "events").groupBy("event_type").agg(
+        F.count(F.lit(1)), F.lit(0), F.count_if(~F.coalesce(kept, F.lit(False))), F.count_if(kept), F.max(F.when(kept, F.col("user_id"))))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+    log = spark.read.parquet(f"{tmp_path}/stream-audit/audit").where("rows_read > 0").collect()
+    assert len(log) == 4 and len({r.batch_id for r in log}) == 4 and len({r.query for r in log}) == 1
+    landed = spark.read.parquet(f"{tmp_path}/stream-audit/landing").select("event_type", F.input_file_name().alias("file")).distinct()
+    assert [r["count"] for r in landed.groupBy("event_type").count().collect()] == [4] * 4
+    assert spark.read.parquet(f"{tmp_path}/stream-audit/out").count() == sum(r.written for r in got.collect())

@@ -16,9 +16,10 @@ from tidemark.operators.merge import choose_strategy, has_changes, hot_keys, mer
 from tidemark.sinks.tables import VersionedTable, target_struct
 
 
-def read_landing(spark: SparkSession, folder: str, schema, pattern: str | None = None, files_per_batch: int = 1000) -> DataFrame:
-    """New Parquet files of a folder as a stream."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+def read_landing(spark: SparkSession, folder: str, schema, pattern: str | None = None, files_per_batch: int | None = 1000) -> DataFrame:
+    """New Parquet files of a folder as a stream; without ``files_per_batch`` all that are new make one batch."""
+    reader = spark.readStream.schema(schema)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).parquet(folder)
 
 
